@@ -15,7 +15,7 @@ def _col(column: Column | str) -> Column:
 
 def tokens(column: Column | str, pattern: str = TAB) -> Column:
     """Lower-cased tokens without empty ones; null in, null out."""
-    return F.filter(F.split(F.lower(_col(column)), pattern), lambda t: t != "")
+    return F.array_remove(F.split(F.lower(_col(column)), pattern), "")
 
 
 def list_items(column: Column | str, separator: str = TAB) -> Column:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 
-from impressa.operators.joins import spread_join
+from impressa.operators.joins import hot_keys, spread_join
 from impressa.operators.ordering import number_rows
 
 
@@ -19,16 +19,18 @@ def encode_ids(df: DataFrame, indexes: dict[str, DataFrame]) -> DataFrame:
 
     ``indexes`` maps id columns to index tables. A frequent id is spread by the other columns.
     """
-    for id_column, index in indexes.items():
-        spread_by = next(c for c in df.columns if c != id_column)
-        df = spread_join(df, index, id_column, spread_by).drop(id_column)
-    return df
+    return _replace(df, indexes)
 
 
 def decode_ids(df: DataFrame, indexes: dict[str, DataFrame]) -> DataFrame:
     """Replace each index column by its id."""
-    for id_column, index in indexes.items():
-        index_column = f"{id_column}_index"
-        spread_by = next(c for c in df.columns if c != index_column)
-        df = spread_join(df, index, index_column, spread_by).drop(index_column)
+    return _replace(df, {f"{id_column}_index": index for id_column, index in indexes.items()})
+
+
+def _replace(df: DataFrame, lookups: dict[str, DataFrame]) -> DataFrame:
+    # Frequent keys are looked for in the input, where counting them reads one column.
+    hot = {column: hot_keys(df, column) for column in lookups}
+    for column, lookup in lookups.items():
+        spread_by = next(c for c in df.columns if c != column)
+        df = spread_join(df, lookup, column, spread_by, hot=hot[column]).drop(column)
     return df

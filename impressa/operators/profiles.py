@@ -11,7 +11,10 @@ from pyspark.sql import functions as F
 
 from impressa.functions.similarity import unit_score
 from impressa.operators.joins import hot_keys, spread_join
-from impressa.sources.schemas import ITEM, LABELS, USER
+from impressa.sources.schemas import ITEM, KEYS, LABELS, USER
+
+# A user with more items than this is worked on in several pieces; each item unfolds into terms.
+HOT_USER_PAIRS = 50_000
 
 
 def pair_counts(interactions: DataFrame) -> DataFrame:
@@ -22,24 +25,46 @@ def pair_counts(interactions: DataFrame) -> DataFrame:
     )
 
 
-def _pair_terms(pairs: DataFrame, vectors: DataFrame) -> DataFrame:
-    """Pairs with one row per term of the item; the item's vector travels once, as an array."""
-    joined = spread_join(pairs, vectors, ITEM, USER)
-    return joined.select(*pairs.columns, F.inline("terms"))
+def _pair_vectors(pairs: DataFrame, vectors: DataFrame) -> DataFrame:
+    """Pairs with the item's vector; it travels as an array and is unfolded where it is used."""
+    return spread_join(pairs, vectors, ITEM, USER)
+
+
+def _by_user(df: DataFrame, pairs: DataFrame) -> DataFrame:
+    """``df`` partitioned by user, rows of frequent users in several pieces by item (``_piece``).
+
+    The number of partitions is explicit: the rows fan out afterwards, so that merging small
+    partitions by their present size would leave too few tasks.
+    """
+    tasks = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    hot = hot_keys(pairs, USER, min_rows=HOT_USER_PAIRS)
+    if hot is None:
+        return df.withColumn("_piece", F.lit(0)).repartition(tasks, USER)
+    piece = F.pmod(F.xxhash64(ITEM), F.col("_salts")).cast("int")
+    return (
+        df.join(F.broadcast(hot), USER, "left")
+        .withColumn("_piece", F.coalesce(piece, F.lit(0)))
+        .drop("_salts")
+        .repartition(tasks, USER, "_piece")
+    )
 
 
 def class_means(pairs: DataFrame, vectors: DataFrame) -> DataFrame:
     """(user, term_index, pos_<label>, neg_<label>...): mean vectors of both classes.
 
-    Sums are built map-side per (user, term); the class sizes join on at that level, where a user
-    has no more rows than there are terms.
+    The vectors of a user come together before they are unfolded, so the sums per (user, term)
+    need no shuffle of single terms; only frequent users are added up from several pieces. Class
+    sizes join on at that level, where a user has no more rows than there are terms.
     """
-    sums = []
+    sums = {}
     for label in LABELS:
         engaged = F.col(f"n_{label}")
-        sums.append(F.sum(engaged * F.col("weight")).alias(f"pos_{label}"))
-        sums.append(F.sum((F.col("n") - engaged) * F.col("weight")).alias(f"neg_{label}"))
-    summed = _pair_terms(pairs, vectors).groupBy(USER, "term_index").agg(*sums)
+        sums[f"pos_{label}"] = F.sum(engaged * F.col("weight"))
+        sums[f"neg_{label}"] = F.sum((F.col("n") - engaged) * F.col("weight"))
+    spread = _by_user(_pair_vectors(pairs, vectors), pairs)
+    terms = spread.select(USER, "_piece", "n", *[f"n_{e}" for e in LABELS], F.inline("terms"))
+    pieces = terms.groupBy(USER, "_piece", "term_index").agg(*[c.alias(k) for k, c in sums.items()])
+    summed = pieces.groupBy(USER, "term_index").agg(*[F.sum(k).alias(k) for k in sums])
     sizes = pairs.groupBy(USER).agg(
         F.sum("n").alias("n"), *[F.sum(f"n_{label}").alias(f"n_{label}") for label in LABELS]
     )
@@ -74,7 +99,7 @@ def profile_scores(pairs: DataFrame, vectors: DataFrame, user_profiles: DataFram
     lengths = user_profiles.groupBy(USER).agg(*squares)
     lengths = lengths.select(USER, *[F.sqrt(f"square_{e}").alias(f"length_{e}") for e in LABELS])
     wanted = pairs.select(USER, ITEM).distinct()
-    terms = _pair_terms(wanted, vectors)
+    terms = _pair_vectors(wanted, vectors).select(*KEYS, F.inline("terms"))
     # A frequent user has the most lookups in its most frequent term: one per item.
     matched = spread_join(
         terms,

@@ -12,6 +12,7 @@ from impressa.operators.coldstart import full_train, missing_ids, partnered_fill
 from impressa.operators.joins import join_labels, join_predictions
 from impressa.plans import oracle
 from impressa.plans.registry import query
+from impressa.session import materialize
 from impressa.sources import views, writers
 from impressa.sources.readers import read_table
 from impressa.sources.schemas import ITEM, KEYS, LABELS, USER
@@ -415,13 +416,16 @@ def _cold_split(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]
     orders = read_table(spark, folder, "orders").select("o_orderkey", "o_custkey", "o_orderpriority")
     lines = read_table(spark, folder, "lineitem").select("l_orderkey", "l_partkey")
     pairs = lines.join(orders, lines.l_orderkey == orders.o_orderkey).select(
-        F.col("o_custkey").alias(_USER_IX), F.col("l_partkey").alias(_ITEM_IX), "o_orderpriority"
+        F.col("o_custkey").alias(_USER_IX),
+        F.col("l_partkey").alias(_ITEM_IX),
+        (F.col("o_orderpriority") == "1-URGENT").alias("urgent"),
     )
+    # The fill looks at the ids of both parts several times, so the pairs are written once.
+    pairs = materialize(pairs.distinct())
     zero = [F.lit(0).cast("tinyint").alias(e) for e in LABELS]
-    urgent = F.col("o_orderpriority") == "1-URGENT"
     return tuple(
-        pairs.filter(part).select(_ITEM_IX, _USER_IX).distinct().select("*", *zero)
-        for part in (urgent, ~urgent)
+        pairs.filter(part).select(_ITEM_IX, _USER_IX, *zero)
+        for part in (F.col("urgent"), ~F.col("urgent"))
     )
 
 

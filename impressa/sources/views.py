@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from impressa.functions.hashing import HASH_RANGE, key_hash
 from impressa.functions.labels import with_labels
 from impressa.functions.text import WHITESPACE
-from impressa.operators.joins import spread_join
+from impressa.operators.joins import hot_keys, spread_join
 from impressa.sources import schemas
 from impressa.sources.readers import read_table
 from impressa.sources.schemas import ITEM, LABELS, USER
@@ -63,7 +63,7 @@ def item_texts(spark: SparkSession, folder: str) -> DataFrame:
 def item_attributes(spark: SparkSession, folder: str) -> DataFrame:
     """Log columns that belong to the item. Lists are tab-separated, some are null."""
     documents = read_table(spark, folder, "documents")
-    words = F.filter(F.split("text", WHITESPACE), lambda w: w != "")
+    words = F.array_remove(F.split("text", WHITESPACE), "")
     size = F.col("n_chars")
     media = (
         F.when(F.pmod(size, F.lit(4)) == 1, "Photo")
@@ -106,8 +106,10 @@ def impressions(spark: SparkSession, folder: str) -> DataFrame:
     The text of an item is attached to each of its impressions, as in a raw log. Frequent items
     and users are split over many tasks.
     """
-    log = spread_join(exposures(spark, folder), item_attributes(spark, folder), ITEM, "row_id")
-    log = spread_join(log, user_attributes(spark, folder), USER, "row_id")
+    shown = exposures(spark, folder)
+    log = spread_join(shown, item_attributes(spark, folder), ITEM, "row_id")
+    # Frequent users are looked for before the items are attached, on one column.
+    log = spread_join(log, user_attributes(spark, folder), USER, "row_id", hot=hot_keys(shown, USER))
     follows = F.pmod(F.col("row_id"), F.lit(2)) == 0
     return log.withColumn("engaged_follows_engaging", follows).select(
         "row_id", *schemas.RAW_LOG.names
