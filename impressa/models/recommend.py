@@ -60,12 +60,22 @@ def fit_implicit(
     return als.fit(ratings(train, label))
 
 
-def _with_factors(model: ALSModel, rows: DataFrame, user: str, item: str) -> DataFrame:
+HotKeys = dict[str, DataFrame | None]
+
+
+def frequent_ids(rows: DataFrame, user: str = USER_INDEX, item: str = ITEM_INDEX) -> HotKeys:
+    """Frequent users and items of the rows, to be passed to several scorings of them."""
+    return {column: hot_keys(rows, column) for column in (user, item)}
+
+
+def _with_factors(
+    model: ALSModel, rows: DataFrame, user: str, item: str, hot: HotKeys | None
+) -> DataFrame:
     """Rows with arrays ``user_factors`` and ``item_factors``, null for unknown ids.
 
     Frequent users and items are split over many tasks, which ``model.transform`` cannot do.
     """
-    hot = {column: hot_keys(rows, column) for column in (user, item)}
+    hot = frequent_ids(rows, user, item) if hot is None else hot
     joined = rows
     for column, spread_by, factors, name in (
         (user, item, model.userFactors, "user_factors"),
@@ -85,9 +95,10 @@ def score_pairs(
     unknown: float | None = 0.0,
     user: str = USER_INDEX,
     item: str = ITEM_INDEX,
+    hot: HotKeys | None = None,
 ) -> DataFrame:
     """Rows with column ``prediction``. Unknown ids score ``unknown``; with None they vanish."""
-    scored = _with_factors(model, rows, user, item)
+    scored = _with_factors(model, rows, user, item, hot)
     prediction = F.when(
         F.col("user_factors").isNotNull() & F.col("item_factors").isNotNull(),
         dot("user_factors", "item_factors"),
@@ -133,10 +144,11 @@ def grid_search(
 ) -> DataFrame:
     """(engagement, alpha, rank, log_loss, skipped, areaUnderPR-<t>...) for each setting."""
     results = []
+    hot = frequent_ids(test)
     for label in labels:
         for alpha in alphas:
             for rank in ranks:
-                scored = score_pairs(fit_implicit(train, label, rank, alpha, seed), test)
+                scored = score_pairs(fit_implicit(train, label, rank, alpha, seed), test, hot=hot)
                 table = evaluation.evaluation_table(scored, label, {"mf": "prediction"}, thresholds)
                 results.append(
                     table.drop("model_name").select(
@@ -153,7 +165,7 @@ def factor_features(model: ALSModel, rows: DataFrame) -> DataFrame:
     """Rows with the factors of their user and item joined into one vector, zeros for unknown ids."""
     zeros = F.array_repeat(F.lit(0.0), model.rank)
     both = F.concat(F.coalesce("user_factors", zeros), F.coalesce("item_factors", zeros))
-    joined = _with_factors(model, rows, USER_INDEX, ITEM_INDEX)
+    joined = _with_factors(model, rows, USER_INDEX, ITEM_INDEX, None)
     return joined.select(*rows.columns, array_to_vector(both).alias("factors"))
 
 

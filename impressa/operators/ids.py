@@ -22,15 +22,19 @@ def encode_ids(df: DataFrame, indexes: dict[str, DataFrame]) -> DataFrame:
     return _replace(df, indexes)
 
 
-def decode_ids(df: DataFrame, indexes: dict[str, DataFrame]) -> DataFrame:
-    """Replace each index column by its id."""
-    return _replace(df, {f"{id_column}_index": index for id_column, index in indexes.items()})
+def decode_ids(
+    df: DataFrame, indexes: dict[str, DataFrame], keep_index: bool = False
+) -> DataFrame:
+    """Replace each index column by its id, or add the id beside it."""
+    lookups = {f"{id_column}_index": index for id_column, index in indexes.items()}
+    return _replace(df, lookups, keep_index)
 
 
-def _replace(df: DataFrame, lookups: dict[str, DataFrame]) -> DataFrame:
+def _replace(df: DataFrame, lookups: dict[str, DataFrame], keep: bool = False) -> DataFrame:
     # Frequent keys are looked for in the input, where counting them reads one column.
     hot = {column: hot_keys(df, column) for column in lookups}
     for column, lookup in lookups.items():
         spread_by = next(c for c in df.columns if c != column)
-        df = spread_join(df, lookup, column, spread_by, hot=hot[column]).drop(column)
+        df = spread_join(df, lookup, column, spread_by, hot=hot[column])
+        df = df if keep else df.drop(column)
     return df

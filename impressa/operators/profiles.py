@@ -30,23 +30,24 @@ def _pair_vectors(pairs: DataFrame, vectors: DataFrame) -> DataFrame:
     return spread_join(pairs, vectors, ITEM, USER)
 
 
-def _by_user(df: DataFrame, pairs: DataFrame) -> DataFrame:
-    """``df`` partitioned by user, rows of frequent users in several pieces by item (``_piece``).
+def _by_user(df: DataFrame, pairs: DataFrame) -> tuple[DataFrame, list[str]]:
+    """``df`` partitioned by user, and the partitioning columns.
 
-    The number of partitions is explicit: the rows fan out afterwards, so that merging small
-    partitions by their present size would leave too few tasks.
+    Rows of frequent users lie in several pieces by item (``_piece``). The number of partitions is
+    explicit: rows fan out afterwards, so that merging small partitions by their present size
+    would leave too few tasks.
     """
     tasks = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     hot = hot_keys(pairs, USER, min_rows=HOT_USER_PAIRS)
     if hot is None:
-        return df.withColumn("_piece", F.lit(0)).repartition(tasks, USER)
+        return df.repartition(tasks, USER), [USER]
     piece = F.pmod(F.xxhash64(ITEM), F.col("_salts")).cast("int")
-    return (
+    pieces = (
         df.join(F.broadcast(hot), USER, "left")
         .withColumn("_piece", F.coalesce(piece, F.lit(0)))
         .drop("_salts")
-        .repartition(tasks, USER, "_piece")
     )
+    return pieces.repartition(tasks, USER, "_piece"), [USER, "_piece"]
 
 
 def class_means(pairs: DataFrame, vectors: DataFrame) -> DataFrame:
@@ -61,10 +62,11 @@ def class_means(pairs: DataFrame, vectors: DataFrame) -> DataFrame:
         engaged = F.col(f"n_{label}")
         sums[f"pos_{label}"] = F.sum(engaged * F.col("weight"))
         sums[f"neg_{label}"] = F.sum((F.col("n") - engaged) * F.col("weight"))
-    spread = _by_user(_pair_vectors(pairs, vectors), pairs)
-    terms = spread.select(USER, "_piece", "n", *[f"n_{e}" for e in LABELS], F.inline("terms"))
-    pieces = terms.groupBy(USER, "_piece", "term_index").agg(*[c.alias(k) for k, c in sums.items()])
-    summed = pieces.groupBy(USER, "term_index").agg(*[F.sum(k).alias(k) for k in sums])
+    spread, by = _by_user(_pair_vectors(pairs, vectors), pairs)
+    terms = spread.select(*by, "n", *[f"n_{e}" for e in LABELS], F.inline("terms"))
+    summed = terms.groupBy(*by, "term_index").agg(*[c.alias(k) for k, c in sums.items()])
+    if len(by) > 1:
+        summed = summed.groupBy(USER, "term_index").agg(*[F.sum(k).alias(k) for k in sums])
     sizes = pairs.groupBy(USER).agg(
         F.sum("n").alias("n"), *[F.sum(f"n_{label}").alias(f"n_{label}") for label in LABELS]
     )

@@ -42,21 +42,24 @@ def fit_vocabulary(
 ) -> DataFrame:
     """(term, term_index, df, idf): the ``size`` most frequent terms, ties in term order.
 
-    ``documents`` holds the ids of the documents to fit on. With ``weight`` a document stands for
-    that many rows (impressions of an item), counted without repeating its text.
+    ``counts`` holds the terms of ``documents``, which has one row per document. With ``weight`` a
+    document stands for that many rows (impressions of an item), counted without repeating its
+    text; counts of documents without a weight are left out then.
     """
-    w = F.col(weight) if weight else F.lit(1)
-    fitted = documents.select(doc_id, w.cast("bigint").alias("_w"))
-    total = fitted.agg(F.sum("_w")).scalar()
-    totals = (
-        counts.join(fitted, doc_id)
-        .groupBy("term")
-        .agg(F.sum(F.col("tf") * F.col("_w")).alias("n"), F.sum("_w").alias("df"))
-    )
+    if weight is None:
+        total = documents.agg(F.count("*").alias("n"))
+        sums = [F.sum("tf").alias("n"), F.count("*").alias("df")]
+        fitted = counts
+    else:
+        total = documents.agg(F.sum(weight).alias("n"))
+        sums = [F.sum(F.col("tf") * F.col(weight)).alias("n"), F.sum(weight).alias("df")]
+        fitted = counts.join(documents.select(doc_id, weight), doc_id)
+    totals = fitted.groupBy("term").agg(*sums)
     ranked = number_rows(totals, [F.desc("n"), "term"], "term_index")
+    idf = inverse_document_frequency(total.scalar(), F.col("df"))
     return materialize(
         ranked.filter(F.col("term_index") < size).select(
-            "term", "term_index", "df", inverse_document_frequency(total, F.col("df")).alias("idf")
+            "term", "term_index", "df", idf.alias("idf")
         )
     )
 

@@ -18,19 +18,32 @@ from impressa.sources.schemas import ITEM, KEYS, LABELS, USER
 
 # Bucket counts that earlier forests were trained with.
 _FOREST_BUCKETS = (8, 12)
+_BUCKETS = (features.HASHTAG_BUCKETS, features.TEXT_BUCKETS)
 
 # ---------------------------------------------------------------- feature vectors
 
 
-def _prepared(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
-    """(train, test) rows ready for the feature stages, written once for the passes of the fits."""
-    log = views.impressions(spark, folder)
-    prepared = materialize(features.prepare(log, keep=("row_id",)))
+def _prepared(
+    spark: SparkSession, folder: str, buckets: tuple[int, int] = _BUCKETS
+) -> tuple[DataFrame, DataFrame]:
+    """(train, test) rows ready for the feature stages, written once for the passes of the fits.
+
+    Rows grow a lot when the term counts of the item come in, so they are dealt out evenly to an
+    explicit number of tasks while they are narrow.
+    """
+    tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    shown = views.exposures(spark, folder)
+    # Written out, the hashed items have a known size, and each text is hashed once.
+    seen = views.item_attributes(spark, folder).join(shown.select(ITEM).distinct(), ITEM, "left_semi")
+    items = materialize(features.hash_items(seen, *buckets))
+    log = views.attach(shown.repartition(tasks, "row_id"), items, views.user_attributes(spark, folder))
+    prepared = materialize(features.prepare_hashed(log, keep=("row_id",)))
     return sampling.split(prepared, 0.9, 42, "row_id")
 
 
-def _printed(vectors: DataFrame) -> DataFrame:
-    return vectors.withColumn(features.VECTOR, F.col(features.VECTOR).cast("string"))
+def _plain(vectors: DataFrame) -> DataFrame:
+    """The vector as a struct (type, size, indices, values)."""
+    return vectors.withColumn(features.VECTOR, F.unwrap_udt(features.VECTOR))
 
 
 @query("assemble_features")
@@ -39,36 +52,36 @@ def assemble_features(spark, folder):
     from pyspark.ml.feature import VectorAssembler
 
     train, _ = _prepared(spark, folder)
-    numbers = train.drop("hashtags", "text_tokens", *features.CATEGORY_COLUMNS)
+    numbers = train.drop("hashtags_tf", "tweet_text_tf", *features.CATEGORY_COLUMNS)
     inputs = features.feature_columns(numbers, (*KEYS, *LABELS, "row_id"))
     assembler = VectorAssembler(inputCols=inputs, outputCol=features.VECTOR)
-    return _printed(assembler.transform(numbers).select("row_id", *KEYS, features.VECTOR))
+    return _plain(assembler.transform(numbers).select("row_id", *KEYS, features.VECTOR))
 
 
 @query("feature_vectors_train")
 def feature_vectors_train(spark, folder):
     train, _ = _prepared(spark, folder)
-    model = features.fit_features(train)
-    return _printed(features.features(model, train, keep=("row_id",)))
+    model = features.fit_features(train, hashed=True)
+    return _plain(features.features(model, train, keep=("row_id",)))
 
 
 @query("feature_vectors_test")
 def feature_vectors_test(spark, folder):
     train, test = _prepared(spark, folder)
-    model = features.fit_features(train)
-    return _printed(features.features(model, test, keep=("row_id",)))
+    model = features.fit_features(train, hashed=True)
+    return _plain(features.features(model, test, keep=("row_id",)))
 
 
 @query("explain_encoding_ml")
 def explain_encoding_ml(spark, folder):
-    train, _ = _prepared(spark, folder)
-    return features.encoding_table(features.fit_features(train, *_FOREST_BUCKETS), train)
+    train, _ = _prepared(spark, folder, _FOREST_BUCKETS)
+    return features.encoding_table(features.fit_features(train, hashed=True), train)
 
 
 def _forest_rows(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
     """Feature vectors of both parts, written once for the four labels and their passes."""
-    train, test = _prepared(spark, folder)
-    model = features.fit_features(train, *_FOREST_BUCKETS)
+    train, test = _prepared(spark, folder, _FOREST_BUCKETS)
+    model = features.fit_features(train, hashed=True)
     return tuple(
         materialize(features.features(model, part, keep=("row_id",))) for part in (train, test)
     )

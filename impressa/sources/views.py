@@ -100,20 +100,27 @@ def user_attributes(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def attach(shown: DataFrame, items: DataFrame, users: DataFrame) -> DataFrame:
+    """Exposures with the attributes of their item and user.
+
+    Frequent items and users are split over many tasks; both are looked for on one column, before
+    anything is attached.
+    """
+    hot = {c: hot_keys(shown, c) for c in (ITEM, USER)}
+    log = spread_join(shown, items, ITEM, "row_id", hot=hot[ITEM])
+    log = spread_join(log, users, USER, "row_id", hot=hot[USER])
+    return log.withColumn("engaged_follows_engaging", F.pmod(F.col("row_id"), F.lit(2)) == 0)
+
+
 def impressions(spark: SparkSession, folder: str) -> DataFrame:
     """The whole 24-column impression log with a row id in front.
 
-    The text of an item is attached to each of its impressions, as in a raw log. Frequent items
-    and users are split over many tasks.
+    The text of an item is attached to each of its impressions, as in a raw log.
     """
-    shown = exposures(spark, folder)
-    log = spread_join(shown, item_attributes(spark, folder), ITEM, "row_id")
-    # Frequent users are looked for before the items are attached, on one column.
-    log = spread_join(log, user_attributes(spark, folder), USER, "row_id", hot=hot_keys(shown, USER))
-    follows = F.pmod(F.col("row_id"), F.lit(2)) == 0
-    return log.withColumn("engaged_follows_engaging", follows).select(
-        "row_id", *schemas.RAW_LOG.names
+    log = attach(
+        exposures(spark, folder), item_attributes(spark, folder), user_attributes(spark, folder)
     )
+    return log.select("row_id", *schemas.RAW_LOG.names)
 
 
 def model_scores(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
