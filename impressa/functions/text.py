@@ -36,4 +36,4 @@ def csv_line(*columns: Column | str) -> Column:
 def positive_probability(printed: Column | str) -> Column:
     """P(1) out of a printed probability vector ``[p0,p1]``."""
     inner = F.regexp_replace(_col(printed), r"[\[\]]", "")
-    return F.split(inner, ",").getItem(1).try_cast("double")
+    return F.get(F.split(inner, ","), 1).try_cast("double")

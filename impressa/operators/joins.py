@@ -14,7 +14,7 @@ _MAX_HOT_KEYS = 100_000
 
 
 def hot_keys(
-    df: DataFrame, key: str, weight: str | None = None, min_rows: int = HOT_KEY_ROWS
+    df: DataFrame, key: str, weight: str | None = None, min_rows: int | None = None
 ) -> DataFrame | None:
     """(key, _salts) for keys with too many rows for one task, or None if there are none.
 
@@ -24,7 +24,7 @@ def hot_keys(
     rows = F.sum(weight) if weight else F.count("*")
     counts = df.filter(F.col(key).isNotNull()).groupBy(key).agg(rows.alias("rows"))
     size = counts.agg(F.max("rows").alias("top"), F.sum("rows").alias("total")).first()
-    piece = max(min_rows, (size["total"] or 0) // _MAX_HOT_KEYS)
+    piece = max(min_rows or HOT_KEY_ROWS, (size["total"] or 0) // _MAX_HOT_KEYS)
     if (size["top"] or 0) <= piece:
         return None
     pieces = F.ceil(F.col("rows") / piece).cast("int")
@@ -38,7 +38,6 @@ def spread_join(
     spread_by: str,
     how: str = "inner",
     hot: DataFrame | None | str = "look",
-    min_rows: int = HOT_KEY_ROWS,
     also_on: tuple[str, ...] = (),
 ) -> DataFrame:
     """Join ``facts`` with ``lookup`` on ``key``, with the rows of frequent keys split.
@@ -50,7 +49,7 @@ def spread_join(
     if how not in ("inner", "left"):
         raise ValueError(f"cannot spread a {how} join")
     if isinstance(hot, str):
-        hot = hot_keys(facts, key, min_rows=min_rows)
+        hot = hot_keys(facts, key)
     on = [key, *also_on]
     if hot is None:
         return facts.join(lookup, on, how)

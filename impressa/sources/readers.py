@@ -28,13 +28,15 @@ def read_delimited(
 ) -> DataFrame:
     """Columns of ``schema`` out of a delimited file; with a header they are found by name.
 
-    Values are read as text and cast, so that a bad one becomes null.
+    Values are read as text and cast, so that a bad one becomes null. Files with the log's
+    separator have no quoting.
     """
+    quote = "" if sep == FIELD_SEPARATOR else '"'
     if not header:
         text = T.StructType([T.StructField(f.name, T.StringType()) for f in schema.fields])
-        df = spark.read.csv(path, schema=text, sep=sep, header=False)
+        df = spark.read.csv(path, schema=text, sep=sep, header=False, quote=quote)
     else:
-        df = spark.read.csv(path, sep=sep, header=True)
+        df = spark.read.csv(path, sep=sep, header=True, quote=quote)
         missing = [f.name for f in schema.fields if f.name not in df.columns]
         if missing:
             raise ValueError(f"{path} has no column {', '.join(missing)}")

@@ -66,7 +66,7 @@ def write_submission(predictions: DataFrame, path: str, score: str = "prediction
 
 def write_lines(df: DataFrame, path: str) -> None:
     """One comma-joined text line per row."""
-    df.select(csv_line(*df.columns).alias("value")).write.mode("overwrite").text(path)
+    df.select(csv_line(*[F.col(f"`{c}`") for c in df.columns]).alias("value")).write.mode("overwrite").text(path)
 
 
 def rounded(df: DataFrame, digits: int = 3) -> DataFrame:
