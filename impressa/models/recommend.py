@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 from functools import reduce
 
@@ -17,6 +18,7 @@ from pyspark.sql import functions as F
 from impressa.functions.similarity import dot
 from impressa.operators import evaluation
 from impressa.operators.joins import hot_keys, spread_join
+from impressa.session import materialize
 from impressa.sources.schemas import ITEM, LABELS, USER
 
 USER_INDEX, ITEM_INDEX = f"{USER}_index", f"{ITEM}_index"
@@ -25,6 +27,10 @@ USER_INDEX, ITEM_INDEX = f"{USER}_index", f"{ITEM}_index"
 ITERATIONS, REGULARISATION = 5, 0.01
 SEED = 42
 
+# Ratings that one block of users or items should hold.
+RATINGS_PER_BLOCK = 500_000
+_LEAST_BLOCKS = 4
+
 
 def ratings(train: DataFrame, label: str) -> DataFrame:
     """(user index, item index, rating) of the engaged pairs, repeats added up.
@@ -42,6 +48,17 @@ def ratings(train: DataFrame, label: str) -> DataFrame:
     )
 
 
+def _fit(als: ALS, rated: DataFrame) -> ALSModel:
+    """Fit on a written table, with blocks in proportion to the ratings.
+
+    Factors are checkpointed between iterations where the session has a checkpoint folder.
+    """
+    stored = materialize(rated)
+    tasks = int(stored.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    blocks = max(_LEAST_BLOCKS, min(tasks, math.ceil(stored.count() / RATINGS_PER_BLOCK)))
+    return als.setNumBlocks(blocks).setCheckpointInterval(2).fit(stored)
+
+
 def fit_implicit(
     train: DataFrame, label: str, rank: int = 10, alpha: float = 1.0, seed: int = SEED
 ) -> ALSModel:
@@ -57,7 +74,7 @@ def fit_implicit(
         ratingCol="rating",
         seed=seed,
     )
-    return als.fit(ratings(train, label))
+    return _fit(als, ratings(train, label))
 
 
 HotKeys = dict[str, DataFrame | None]
@@ -119,7 +136,7 @@ def fit_explicit(ratings_table: DataFrame, user: str, item: str, rating: str, se
         ratingCol=rating,
         seed=seed,
     )
-    return als.fit(ratings_table)
+    return _fit(als, ratings_table.select(user, item, rating))
 
 
 def recommendations(nested: DataFrame, key: str, other: str) -> DataFrame:

@@ -14,8 +14,11 @@ _SMALL_INDEX_ROWS = 100_000
 
 
 def missing_ids(train: DataFrame, test: DataFrame, id_column: str) -> DataFrame:
-    """Distinct ids of test that train does not have."""
-    return test.select(id_column).subtract(train.select(id_column))
+    """Distinct ids of test that train does not have.
+
+    Both sides are reduced to distinct ids before they meet, so that a frequent id is one row.
+    """
+    return test.select(id_column).distinct().subtract(train.select(id_column).distinct())
 
 
 def _numbered(ids: DataFrame, id_column: str) -> tuple[DataFrame, int]:

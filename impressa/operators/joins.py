@@ -43,10 +43,11 @@ def spread_join(
     """Join ``facts`` with ``lookup`` on ``key``, with the rows of frequent keys split.
 
     Frequent keys get a salt from the hash of ``spread_by`` on the fact side; only their lookup
-    rows are repeated, once per salt. Without a frequent key this is a plain join. The caller may
-    pass the result of :func:`hot_keys` as ``hot``; ``also_on`` names further key columns.
+    rows are repeated, once per salt. Every fact row still meets the same lookup rows, so inner,
+    left, semi and anti joins keep their meaning. Without a frequent key this is a plain join. The
+    caller may pass the result of :func:`hot_keys` as ``hot``; ``also_on`` names further key columns.
     """
-    if how not in ("inner", "left"):
+    if how not in ("inner", "left", "left_semi", "left_anti"):
         raise ValueError(f"cannot spread a {how} join")
     if isinstance(hot, str):
         hot = hot_keys(facts, key)

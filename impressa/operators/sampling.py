@@ -67,7 +67,6 @@ def split_fixed_size(df: DataFrame, n_test: int, seed: int, key: str) -> tuple[D
 def sample_cohort(df: DataFrame, id_column: str, n: int, seed: int) -> DataFrame:
     """All rows of n randomly chosen distinct ids."""
     ids = df.select(id_column).distinct()
-    # Written out, the cohort has a known size, which decides between broadcast and shuffle.
     return keep_ids(df, materialize(ids.filter(lowest_n(ids, n, seed, id_column))))
 
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -9,7 +10,7 @@ from impressa.functions import labels as L
 from impressa.functions import similarity, text
 from impressa.operators import aggregates, cleaning, ids, ordering
 from impressa.operators.coldstart import full_train, missing_ids, partnered_fill, zipped_fill
-from impressa.operators.joins import join_labels, join_predictions
+from impressa.operators.joins import join_labels, join_predictions, spread_join
 from impressa.plans import oracle
 from impressa.plans.registry import query
 from impressa.session import materialize
@@ -229,8 +230,6 @@ def epoch_to_timestamp(spark, folder):
 )
 def cosine_pairs(spark, folder):
     # Each vector against the mean vector of its class.
-    from pyspark.ml.functions import array_to_vector, vector_to_array
-
     vectors = read_table(spark, folder, "embeddings").select(
         "vec_id", "label", F.col("embedding").cast("array<double>").alias("embedding")
     )
@@ -238,7 +237,9 @@ def cosine_pairs(spark, folder):
         vectors.withColumn("v", array_to_vector("embedding")), ["label"], "v"
     ).select("label", vector_to_array("mean").alias("mean"))
     score = similarity.unit_score(similarity.cosine("embedding", "mean"))
-    return vectors.join(means, "label").select("vec_id", "label", F.round(score, 6).alias("score"))
+    # There are few classes, so each is frequent.
+    paired = spread_join(vectors, materialize(means), "label", "vec_id")
+    return paired.select("vec_id", "label", F.round(score, 6).alias("score"))
 
 
 @query(
@@ -583,7 +584,8 @@ def token_length_histogram(spark, folder):
     lengths = read_table(spark, folder, "documents").select(
         F.size(text.tokens("text", text.WHITESPACE)).alias("n_tokens")
     )
-    return aggregates.histogram(lengths, "n_tokens", 10).select("bin", "n")
+    # The texts are tokenised once, for the bounds and for the bins.
+    return aggregates.histogram(materialize(lengths), "n_tokens", 10).select("bin", "n")
 
 
 # ---------------------------------------------------------------- numbering, limits, sets

@@ -53,7 +53,7 @@ def hashing_tf_ml(spark, folder):
 _VOCABULARY = f"""{TERMS},
 vocabulary AS (SELECT term, count(*) AS df, ln(((SELECT count(*) FROM documents) + 1) / (count(*) + 1)) AS idf,
                       row_number() OVER (ORDER BY sum(tf) DESC, term) - 1 AS term_index
-               FROM counts GROUP BY 1)"""
+               FROM counts GROUP BY 1 QUALIFY term_index < {textweights.VOCABULARY_SIZE})"""
 
 
 @query("idf", f"WITH {_VOCABULARY} SELECT term, term_index, df, round(idf, 9) AS idf FROM vocabulary")
@@ -168,7 +168,7 @@ shown AS (SELECT tweet_id, count(*) AS w FROM train GROUP BY 1),
 vocabulary AS (
   SELECT term, row_number() OVER (ORDER BY sum(tf * w) DESC, term) - 1 AS term_index,
          ln(((SELECT count(*) FROM train) + 1) / (sum(w) + 1)) AS idf
-  FROM counts JOIN shown USING (tweet_id) GROUP BY 1),
+  FROM counts JOIN shown USING (tweet_id) GROUP BY 1 QUALIFY term_index < {textweights.VOCABULARY_SIZE}),
 weighted AS (SELECT tweet_id, term_index, tf * idf AS w FROM counts JOIN vocabulary USING (term)),
 lengths AS (SELECT tweet_id, sqrt(sum(w * w)) AS length FROM weighted GROUP BY 1),
 vectors AS (SELECT tweet_id, term_index, coalesce(w / nullif(length, 0), 0) AS weight
@@ -201,7 +201,8 @@ def _feedback(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame, D
     vocabulary = textweights.fit_vocabulary(counts, shown, ITEM, weight="shown")
     weighted = textweights.weighted_terms(counts, vocabulary, ITEM)
     vectors = materialize(textweights.document_vectors(weighted, ITEM))
-    return profiles.pair_counts(train), test.select(*KEYS).distinct(), vectors
+    pairs = materialize(profiles.pair_counts(train))
+    return pairs, materialize(test.select(*KEYS).distinct()), vectors
 
 
 @query(

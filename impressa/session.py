@@ -8,6 +8,10 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 
+# Folders made for local sessions that name none, by application.
+_local_folders: dict[str, str] = {}
+
+
 def scratch_dir(spark: SparkSession) -> str:
     """Shared folder for intermediate tables, as named by ``spark.checkpoint.dir``.
 
@@ -16,10 +20,12 @@ def scratch_dir(spark: SparkSession) -> str:
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
         return configured
-    if not spark.sparkContext.master.startswith("local"):
+    context = spark.sparkContext
+    if not context.master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder that every executor can reach")
-    spark.conf.set("spark.checkpoint.dir", tempfile.mkdtemp(prefix="impressa-"))
-    return spark.conf.get("spark.checkpoint.dir")
+    if context.applicationId not in _local_folders:
+        _local_folders[context.applicationId] = tempfile.mkdtemp(prefix="impressa-")
+    return _local_folders[context.applicationId]
 
 
 def materialize(df: DataFrame) -> DataFrame:

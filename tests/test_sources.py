@@ -151,3 +151,27 @@ def test_materialize_writes_under_the_configured_folder(spark):
     [path] = {f.rsplit("/", 1)[0] for f in df.inputFiles()}
     assert scratch_dir(spark) in path and df.count() == 10
     assert scratch_dir(spark) == spark.conf.get("spark.checkpoint.dir")
+
+
+class _Session:
+    """The parts of a session that the choice of the folder looks at."""
+
+    class _Context:
+        applicationId = "app"
+
+        def __init__(self, master):
+            self.master = master
+
+    class _Conf:
+        def get(self, key, default=None):
+            return default
+
+    def __init__(self, master):
+        self.sparkContext, self.conf = self._Context(master), self._Conf()
+
+
+def test_scratch_folder_without_a_setting():
+    folder = scratch_dir(_Session("local[2]"))
+    assert scratch_dir(_Session("local[2]")) == folder
+    with pytest.raises(ValueError, match=r"spark\.checkpoint\.dir"):
+        scratch_dir(_Session("yarn"))
