@@ -57,11 +57,8 @@ def class_means(pairs: DataFrame, vectors: DataFrame) -> DataFrame:
     need no shuffle of single terms; only frequent users are added up from several pieces. Class
     sizes join on at that level, where a user has no more rows than there are terms.
     """
-    sums = {}
-    for label in LABELS:
-        engaged = F.col(f"n_{label}")
-        sums[f"pos_{label}"] = F.sum(engaged * F.col("weight"))
-        sums[f"neg_{label}"] = F.sum((F.col("n") - engaged) * F.col("weight"))
+    sums = {"all": F.sum(F.col("n") * F.col("weight"))}
+    sums |= {f"pos_{e}": F.sum(F.col(f"n_{e}") * F.col("weight")) for e in LABELS}
     spread, by = _by_user(_pair_vectors(pairs, vectors), pairs)
     terms = spread.select(*by, "n", *[f"n_{e}" for e in LABELS], F.inline("terms"))
     summed = terms.groupBy(*by, "term_index").agg(*[c.alias(k) for k, c in sums.items()])
@@ -72,9 +69,10 @@ def class_means(pairs: DataFrame, vectors: DataFrame) -> DataFrame:
     )
     means = []
     for label in LABELS:
-        engaged = F.col(f"n_{label}")
-        for name, size in ((f"pos_{label}", engaged), (f"neg_{label}", F.col("n") - engaged)):
-            means.append(F.coalesce(F.col(name) / F.nullif(size, F.lit(0)), F.lit(0.0)).alias(name))
+        total, size = F.col(f"pos_{label}"), F.col(f"n_{label}")
+        means.append(F.when(size > 0, total / size).otherwise(0.0).alias(f"pos_{label}"))
+        total, size = F.col("all") - total, F.col("n") - size
+        means.append(F.when(size > 0, total / size).otherwise(0.0).alias(f"neg_{label}"))
     return summed.join(sizes, USER).select(USER, "term_index", *means)
 
 

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
+from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -49,8 +52,6 @@ def _plain(vectors: DataFrame) -> DataFrame:
 @query("assemble_features")
 def assemble_features(spark, folder):
     """Flags and scaled numbers as one vector, in table order."""
-    from pyspark.ml.feature import VectorAssembler
-
     train, _ = _prepared(spark, folder)
     numbers = train.drop("hashtags_tf", "tweet_text_tf", *features.CATEGORY_COLUMNS)
     inputs = features.feature_columns(numbers, (*KEYS, *LABELS, "row_id"))
@@ -94,6 +95,12 @@ def rf_predict(spark, folder):
     return writers.class_predictions(model.transform(test))
 
 
+@query("rf_job")
+def rf_job(spark, folder):
+    train, test = _forest_rows(spark, folder)
+    return jobs.forest_job(train, test, trees=5)
+
+
 @query("rf_grid_search")
 def rf_grid_search(spark, folder):
     train, _ = _forest_rows(spark, folder)
@@ -115,6 +122,44 @@ def _indexed(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame, di
     return train, test, indexes
 
 
+@query(
+    "mf_split_job",
+    f"""WITH {oracle.INTERACTIONS},
+        items AS (SELECT tweet_id, row_number() OVER (ORDER BY tweet_id) - 1 AS tweet_id_index
+                  FROM (SELECT DISTINCT tweet_id FROM interactions)),
+        users AS (SELECT engaging_user_id, row_number() OVER (ORDER BY engaging_user_id) - 1 AS engaging_user_id_index
+                  FROM (SELECT DISTINCT engaging_user_id FROM interactions)),
+        indexed AS (
+          SELECT *, row_number() OVER (ORDER BY {oracle.key_hash(42, 'row_id')}, row_id) <= 1000 AS held_out
+          FROM interactions JOIN items USING (tweet_id) JOIN users USING (engaging_user_id)),
+        train AS (SELECT * FROM indexed WHERE NOT held_out), test AS (SELECT * FROM indexed WHERE held_out),
+        new_items AS (SELECT tweet_id_index, row_number() OVER (ORDER BY tweet_id_index) - 1 AS i
+                      FROM (SELECT tweet_id_index FROM test EXCEPT SELECT tweet_id_index FROM train)),
+        new_users AS (SELECT engaging_user_id_index, row_number() OVER (ORDER BY engaging_user_id_index) - 1 AS i
+                      FROM (SELECT engaging_user_id_index FROM test EXCEPT SELECT engaging_user_id_index FROM train)),
+        sizes AS (SELECT (SELECT count(*) FROM new_items) AS ni, (SELECT count(*) FROM new_users) AS nu),
+        slots AS (SELECT unnest(range(greatest(ni, nu))) AS slot, ni, nu FROM sizes),
+        fill AS (
+          SELECT coalesce(n.tweet_id_index, (SELECT min(tweet_id_index) FROM train)) AS tweet_id_index,
+                 coalesce(u.engaging_user_id_index, (SELECT min(engaging_user_id_index) FROM train))
+                   AS engaging_user_id_index
+          FROM slots LEFT JOIN new_items n ON n.i = slot % ni LEFT JOIN new_users u ON u.i = slot % nu)
+        SELECT 'test' AS part, tweet_id_index, engaging_user_id_index, CAST("like" AS TINYINT) AS "like",
+               CAST(reply AS TINYINT) AS reply, CAST(retweet AS TINYINT) AS retweet,
+               CAST(retweet_with_comment AS TINYINT) AS retweet_with_comment FROM test
+        UNION ALL SELECT 'train', tweet_id_index, engaging_user_id_index, CAST("like" AS TINYINT),
+               CAST(reply AS TINYINT), CAST(retweet AS TINYINT), CAST(retweet_with_comment AS TINYINT) FROM train
+        UNION ALL SELECT 'train', tweet_id_index, engaging_user_id_index, 0::TINYINT, 0::TINYINT, 0::TINYINT, 0::TINYINT
+               FROM fill""",
+)
+def mf_split_job(spark, folder):
+    log = views.interactions(spark, folder, "tinyint").drop("value")
+    train, test, _ = jobs.split_job(log)
+    return train.withColumn("part", F.lit("train")).unionByName(
+        test.withColumn("part", F.lit("test"))
+    )
+
+
 @query("als_predict")
 def als_predict(spark, folder):
     train, test, _ = _indexed(spark, folder)
@@ -201,11 +246,15 @@ def neural_cf_predict(spark, folder):
 _MODELS = ["mf", "rf", "nncf"]
 
 
-def _stacking(spark: SparkSession, folder: str, label: str) -> tuple[DataFrame, DataFrame]:
-    """(train, test) pairs with three scores and the label of the pair."""
-    labels = views.interactions(spark, folder).groupBy(*KEYS).agg(F.max(label).alias("label"))
-    rows = materialize(stacking.stacking_rows(views.model_scores(spark, folder), labels))
-    return sampling.split(rows, 0.5, 42, *KEYS)
+def _stacking(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
+    """(train, test) pairs with three scores and the labels of the pair, written once."""
+    base = join_predictions(views.model_scores(spark, folder), KEYS)
+    pairs = views.interactions(spark, folder).groupBy(*KEYS).agg(*[F.max(e).alias(e) for e in LABELS])
+    return sampling.split(materialize(base.join(pairs, KEYS)), 0.5, 42, *KEYS)
+
+
+def _labelled(rows: DataFrame, label: str) -> DataFrame:
+    return rows.select(*KEYS, *_MODELS, F.col(label).alias("label"))
 
 
 @query(
@@ -228,25 +277,24 @@ def stacker_single(spark, folder):
 
 @query("stacker_fit")
 def stacker_fit(spark, folder):
-    train, test = _stacking(spark, folder, "like")
-    return stacking.stacked_scores(stacking.fit_stacker(train, _MODELS), test)
+    train, test = _stacking(spark, folder)
+    model = stacking.fit_stacker(_labelled(train, "like"), _MODELS)
+    return stacking.stacked_scores(model, _labelled(test, "like"))
 
 
 @query("stacker_evaluate")
 def stacker_evaluate(spark, folder):
-    train, test = _stacking(spark, folder, "like")
-    model = stacking.fit_stacker(train, _MODELS)
-    return stacking.evaluate_stacker(model, test, _MODELS, ENSEMBLE_THRESHOLDS)
+    train, test = _stacking(spark, folder)
+    tables = []
+    for label in LABELS:
+        model = stacking.fit_stacker(_labelled(train, label), _MODELS)
+        table = stacking.evaluate_stacker(model, _labelled(test, label), _MODELS, ENSEMBLE_THRESHOLDS)
+        tables.append(table.withColumn("engagement", F.lit(label)))
+    return reduce(DataFrame.unionByName, tables)
 
 
 @query("stacker_coefficients")
 def stacker_coefficients(spark, folder):
-    base = materialize(join_predictions(views.model_scores(spark, folder), KEYS))
-    pairs = materialize(
-        views.interactions(spark, folder).groupBy(*KEYS).agg(*[F.max(e).alias(e) for e in LABELS])
-    )
-    fitted = {}
-    for label in LABELS:
-        rows = base.join(pairs.select(*KEYS, F.col(label).alias("label")), KEYS)
-        fitted[label] = stacking.fit_stacker(rows, _MODELS)
+    train, _ = _stacking(spark, folder)
+    fitted = {e: stacking.fit_stacker(_labelled(train, e), _MODELS) for e in LABELS}
     return stacking.coefficients(spark, fitted, _MODELS)

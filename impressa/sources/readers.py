@@ -10,8 +10,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from impressa.functions.text import positive_probability
 from impressa.sources import schemas
-from impressa.sources.schemas import FIELD_SEPARATOR, KEYS
+from impressa.sources.schemas import FIELD_SEPARATOR, ITEM, KEYS, USER
 
 
 def read_raw_log(spark: SparkSession, path: str) -> DataFrame:
@@ -84,6 +85,16 @@ def read_predictions(
     return tables
 
 
+def read_class_predictions(spark: SparkSession, path: str) -> DataFrame:
+    """(item, user, positive_probability, prediction) of written class predictions.
+
+    Columns are found by name, so a leading row number does not matter.
+    """
+    df = read_delimited(spark, path, schemas.PRINTED_PREDICTIONS, sep=",")
+    p = positive_probability("probability")
+    return df.select(ITEM, USER, p.alias("positive_probability"), "prediction")
+
+
 def read_labels(spark: SparkSession, path: str, label: str) -> DataFrame:
     """(user, item, label) with the chosen engagement as byte column ``label``."""
     schema = schemas.struct(f"engaging_user_id string, tweet_id string, {label} tinyint")

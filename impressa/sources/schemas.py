@@ -66,6 +66,9 @@ INDEXED_INTERACTIONS = struct(
     + ", ".join(f"{label} tinyint" for label in LABELS)
 )
 PREDICTIONS = struct("engaging_user_id string, tweet_id string, prediction double")
+PRINTED_PREDICTIONS = struct(
+    "tweet_id string, engaging_user_id string, probability string, prediction double"
+)
 RATINGS = struct("userId int, movieId int, rating double, timestamp bigint")
 
 

@@ -64,6 +64,13 @@ def write_submission(predictions: DataFrame, path: str, score: str = "prediction
     submission(predictions, score).write.mode("overwrite").csv(path, header=False)
 
 
+def write_by_label(predictions: DataFrame, path: str, score: str = "prediction") -> None:
+    """(item, user, score) as delimited text, one folder per value of ``engagement``."""
+    columns = [ITEM, USER, score, "engagement"]
+    writer = predictions.select(*columns).write.mode("overwrite").partitionBy("engagement")
+    writer.csv(path, sep=FIELD_SEPARATOR, header=True, quote="", emptyValue="")
+
+
 def write_lines(df: DataFrame, path: str) -> None:
     """One comma-joined text line per row."""
     df.select(csv_line(*[F.col(f"`{c}`") for c in df.columns]).alias("value")).write.mode("overwrite").text(path)

@@ -8,8 +8,8 @@ import __spark_entry__ as entry_points
 from impressa.models import classify, features, jobs, recommend, stacking
 from impressa.models.recommend import ITEM_INDEX, USER_INDEX
 from impressa.operators import ids, joins
-from impressa.sources import views, writers
-from impressa.sources.schemas import ITEM, KEYS, LABELS, USER
+from impressa.sources import readers, views, writers
+from impressa.sources.schemas import FIELD_SEPARATOR, ITEM, KEYS, LABELS, USER
 
 QUERIES, ORACLES = entry_points.queries(), entry_points.oracle_sql()
 
@@ -96,6 +96,9 @@ def test_forest_probabilities(spark, log, tmp_path):
     back = spark.read.csv(str(tmp_path / "rf"), header=True)
     assert back.columns == [ITEM, USER, "probability", "prediction"]
     assert back.filter(F.col("probability").rlike(r"^\[[0-9.E-]+,[0-9.E-]+\]$")).count() == 1000
+    read = readers.read_class_predictions(spark, str(tmp_path / "rf")).collect()
+    wanted = sorted((r[ITEM], r[USER], r["positive_probability"], r["prediction"]) for r in rows)
+    assert sorted(map(tuple, read)) == wanted
 
 
 # ---------------------------------------------------------------- factorisation
@@ -142,12 +145,25 @@ def test_factorisation_job_covers_every_pair_and_label(spark, indexed, tmp_path)
     first = run()
     assert first.count() == 2 * pairs.count()
     assert first.select(*KEYS, "engagement").distinct().count() == 2 * pairs.count()
-    assert sorted(p.name for p in tmp_path.iterdir()) == ["model_like_a10_r3", "model_reply_a10_r3"]
+    assert sorted(p.name for p in tmp_path.glob("model*")) == ["model_like_a10_r3", "model_reply_a10_r3"]
     assert run().exceptAll(first).count() == 0
+    writers.write_by_label(first, str(tmp_path / "out"))
+    written = spark.read.option("sep", FIELD_SEPARATOR).csv(str(tmp_path / "out"), header=True)
+    assert written.columns == [ITEM, USER, "prediction", "engagement"]
+    assert written.groupBy("engagement").count().count() == 2 and written.count() == first.count()
     wrong = first.filter((F.col("prediction") >= 0.001).cast("int") != F.col("prediction_bool"))
     assert wrong.count() == 0
 
 
+def test_split_job_gives_every_test_id_a_train_row(spark, small):
+    log = views.interactions(spark, small, "tinyint").drop("value")
+    train, test, indexes = jobs.split_job(log, n_test=900)
+    assert test.count() == 900 and train.count() >= 100
+    for column in (ITEM_INDEX, USER_INDEX):
+        assert test.select(column).subtract(train.select(column)).count() == 0
+    assert set(indexes) == {ITEM, USER}
+
+
 def test_recommendations_have_at_most_k_ranked_rows(spark, small):
     table = QUERIES["als_topk_users"](spark, small)
     stats = table.groupBy("user").agg(F.count("*").alias("n"), F.max("rank").alias("m"))

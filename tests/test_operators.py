@@ -84,6 +84,38 @@ def test_spread_join_equals_plain_join(spark, monkeypatch, how):
     assert sorted(map(str, spread.collect())) == sorted(map(str, plain.collect()))
 
 
+def test_spread_join_leaves_no_task_with_the_frequent_key(spark, monkeypatch):
+    settings = {"spark.sql.adaptive.enabled": "false", "spark.sql.autoBroadcastJoinThreshold": "-1"}
+    before = {name: spark.conf.get(name) for name in settings}
+    try:
+        for name, value in settings.items():
+            spark.conf.set(name, value)
+        lookup = spark.range(-1, 50).select(F.col("id").alias("k"))
+        largest = {}
+        for limit in (10**6, 50):
+            monkeypatch.setattr(joins, "HOT_KEY_ROWS", limit)
+            joined = joins.spread_join(_skewed(spark), lookup, "k", "row")
+            sizes = joined.groupBy(F.spark_partition_id()).count()
+            largest[limit] = max(r["count"] for r in sizes.collect())
+            assert joined.count() == 3000
+    finally:
+        for name, value in before.items():
+            spark.conf.set(name, value)
+    assert largest[10**6] > 1000 and largest[50] < 700
+
+
+@pytest.mark.parametrize("how", ["left_semi", "left_anti"])
+def test_large_id_tables_split_frequent_ids(spark, monkeypatch, how):
+    facts = _skewed(spark).unionByName(spark.createDataFrame([(-5, None)], "row long, k long"))
+    wanted = spark.range(-1, 10).select(F.col("id").alias("k"))
+    filtered = cleaning.keep_ids if how == "left_semi" else cleaning.remove_ids
+    expected = facts.join(wanted, "k", how).orderBy("row").select("row", "k").collect()
+    assert filtered(facts, wanted).orderBy("row").select("row", "k").collect() == expected
+    monkeypatch.setattr(cleaning, "_SMALL_TABLE_ROWS", 0)
+    monkeypatch.setattr(joins, "HOT_KEY_ROWS", 50)
+    assert filtered(facts, wanted).orderBy("row").select("row", "k").collect() == expected
+
+
 def test_hot_keys_are_found_with_enough_pieces(spark, monkeypatch):
     monkeypatch.setattr(joins, "HOT_KEY_ROWS", 100)
     assert rows(joins.hot_keys(_skewed(spark), "k")) == [(-1, 10)]
