@@ -2,30 +2,23 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
 
-# Folders made for local sessions that name none, by application.
-_local_folders: dict[str, str] = {}
-
-
 def scratch_dir(spark: SparkSession) -> str:
     """Shared folder for intermediate tables, as named by ``spark.checkpoint.dir``.
 
-    A folder on this machine is used only for a local master, where every task sees it.
+    Where that is unset, a folder in the warehouse, which all executors reach as well.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None)
-    if configured:
-        return configured
-    context = spark.sparkContext
-    if not context.master.startswith("local"):
-        raise ValueError("set spark.checkpoint.dir to a folder that every executor can reach")
-    if context.applicationId not in _local_folders:
-        _local_folders[context.applicationId] = tempfile.mkdtemp(prefix="impressa-")
-    return _local_folders[context.applicationId]
+    return configured or f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_scratch"
+
+
+def scratch_path(spark: SparkSession) -> str:
+    """A new path under the scratch folder, owned by this application."""
+    return f"{scratch_dir(spark)}/{spark.sparkContext.applicationId}/{uuid.uuid4().hex}"
 
 
 def materialize(df: DataFrame) -> DataFrame:
@@ -33,8 +26,22 @@ def materialize(df: DataFrame) -> DataFrame:
 
     Cuts the lineage in storage that outlives an executor, fixes values that depend on the
     physical layout (partition numbers), and gives the planner true sizes for broadcast choices.
+    The table is deleted when the application ends.
     """
     spark = df.sparkSession
-    path = f"{scratch_dir(spark)}/{spark.sparkContext.applicationId}/{uuid.uuid4().hex}"
+    path = scratch_path(spark)
     df.write.parquet(path)
+    delete_at_end(spark, path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def delete_at_end(spark: SparkSession, path: str) -> None:
+    """Let the file system drop ``path`` when the driver ends."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(target)
+
+
+def discard(spark: SparkSession, path: str) -> None:
+    """Drop an intermediate table that nothing reads any more."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from impressa.functions.labels import with_labels
 from impressa.models.recommend import fit_explicit
-from impressa.session import materialize, scratch_dir
+from impressa.session import discard, materialize, scratch_dir, scratch_path
 from impressa.sources import readers, schemas, views, writers
 from impressa.sources.schemas import FIELD_SEPARATOR, ITEM, USER
 
@@ -156,22 +156,26 @@ def test_materialize_writes_under_the_configured_folder(spark):
 class _Session:
     """The parts of a session that the choice of the folder looks at."""
 
-    class _Context:
-        applicationId = "app"
-
-        def __init__(self, master):
-            self.master = master
-
     class _Conf:
+        def __init__(self, settings):
+            self.settings = settings
+
         def get(self, key, default=None):
-            return default
+            return self.settings.get(key, default)
+
+    def __init__(self, **settings):
+        self.conf = self._Conf({k.replace("__", "."): v for k, v in settings.items()})
+
 
-    def __init__(self, master):
-        self.sparkContext, self.conf = self._Context(master), self._Conf()
+def test_scratch_folder_without_a_setting_lies_in_the_warehouse():
+    shared = _Session(spark__sql__warehouse__dir="hdfs://nn/warehouse/")
+    assert scratch_dir(shared) == "hdfs://nn/warehouse/_scratch"
+    both = _Session(spark__sql__warehouse__dir="hdfs://nn/w", spark__checkpoint__dir="hdfs://nn/c")
+    assert scratch_dir(both) == "hdfs://nn/c"
 
 
-def test_scratch_folder_without_a_setting():
-    folder = scratch_dir(_Session("local[2]"))
-    assert scratch_dir(_Session("local[2]")) == folder
-    with pytest.raises(ValueError, match=r"spark\.checkpoint\.dir"):
-        scratch_dir(_Session("yarn"))
+def test_discard_deletes_a_table(spark):
+    path = scratch_path(spark)
+    spark.range(3).write.parquet(path)
+    discard(spark, path)
+    assert not Path(path).exists()
