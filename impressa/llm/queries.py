@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from impressa.llm import mixing, sharding, topk, warc
+from impressa.llm import bpe, language, mixing, piecewise, prefixes, sharding, topk, warc
 from impressa.session import delete_at_end, materialize, scratch_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -171,3 +172,49 @@ def op6_sharding(spark: SparkSession, folder: str) -> DataFrame:
         "slot",
         F.lit(None).cast("int").alias("grown_shard"),
     )
+
+
+# ---------------------------------------------------------------- 2 byte-level BPE
+
+
+@query("op2_bpe")
+def op2_bpe(spark: SparkSession, folder: str) -> DataFrame:
+    return bpe.round_trip(
+        table(spark, folder, "documents"),
+        public_tokenizers.path("byte_bpe_50k.tiktoken"),
+        public_tokenizers.PATTERN,
+    )
+
+
+# ---------------------------------------------------------------- 7 document fingerprints
+
+
+@query("op7_piecewise_hash")
+def op7_piecewise_hash(spark: SparkSession, folder: str) -> DataFrame:
+    return piecewise.compare_with_next(table(spark, folder, "documents"))
+
+
+# ---------------------------------------------------------------- 8 language
+
+
+@query("op8_language")
+def op8_language(spark: SparkSession, folder: str) -> DataFrame:
+    """Learned from the documents whose id's CRC-32 does not leave remainder 1 by 3."""
+    documents = table(spark, folder, "documents")
+    held_out = language.fold("doc_id") == 1
+    model = language.learn(documents.filter(~held_out))
+    predicted = language.identify(documents, model)
+    return predicted.select("doc_id", held_out.alias("held_out"), "lang_pred", "score", "languages")
+
+
+# ---------------------------------------------------------------- 9 token counts
+
+TOKEN_LIMIT = 4096
+
+
+@query("op9_token_counts")
+def op9_token_counts(spark: SparkSession, folder: str) -> DataFrame:
+    counted = prefixes.token_totals(
+        table(spark, folder, "documents"), public_tokenizers.path("piece_bpe_32k.model")
+    )
+    return counted.withColumn("over_limit", F.col("n_tokens") > TOKEN_LIMIT)
