@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from impressa.llm import bpe, language, mixing, piecewise, prefixes, sharding, topk, warc
+from impressa.llm import bpe, language, minhash, mixing, piecewise, prefixes, sharding, topk, warc
 from impressa.session import delete_at_end, materialize, scratch_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -31,6 +31,14 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+# ---------------------------------------------------------------- 1 near-duplicates
+
+
+@query("op1_minhash")
+def op1_minhash(spark: SparkSession, folder: str) -> DataFrame:
+    return minhash.near_duplicates(table(spark, folder, "documents"))
+
+
 # ---------------------------------------------------------------- 3 WARC
 
 
