@@ -1,8 +1,77 @@
-"""Corpus preparation in stages."""
+"""Corpus preparation: language, near-duplicates, secrets, source mix, tokens.
 
-STAGES = []
+Every stage takes (spark, docs, sf_dir) and gives a DataFrame, which is written and read again as
+the next stage's ``docs``. All but the last return the columns of ``documents``.
+"""
+
+from __future__ import annotations
+
+import public_tokenizers
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from impressa.llm import bpe, language, minhash, mixing, secret_scan
+from impressa.session import delete_at_end, discard, scratch_path
+
+# A document stays if one learned language has at least this share of it.
+LEAST_SHARE = 0.5
+
+
+def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents written mostly in one of the languages that the corpus is labelled with."""
+    known = language.identify(docs, language.learn(docs), carry=docs.columns)
+    kept = (F.col("lang_pred") != language.UNKNOWN) & (F.col("score") >= LEAST_SHARE)
+    return known.filter(kept).select(*docs.columns)
+
+
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near copies, that with the smallest doc_id."""
+    gone = minhash.near_duplicates(docs).filter(~F.col("kept")).select("doc_id").distinct()
+    return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
+
+
+def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents, with secrets in their texts replaced by a mark."""
+    return secret_scan.redact(docs, secret_scan.scan(docs))
+
+
+def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The documents as often as the mix of sources takes them."""
+    size = mixing.word_count(F.col("text"))
+    return mixing.mixed_copies(docs, size, mixing.mix(docs, size))
+
+
+def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """(doc_id, lang, source, ids, n_tokens): the byte-level BPE ids of every text of the mix."""
+    encoded = bpe.encode_documents(
+        docs,
+        public_tokenizers.path("byte_bpe_50k.tiktoken"),
+        public_tokenizers.PATTERN,
+        carry=("doc_id", "lang", "source"),
+    )
+    return encoded.withColumn("n_tokens", F.size("ids").cast("bigint"))
+
+
+STAGES = [
+    ("language_id", language_id),
+    ("near_duplicates", near_duplicates),
+    ("secrets", secrets),
+    ("source_mix", source_mix),
+    ("tokens", tokens),
+]
+
+# Mixtures by EM, MinHash, forests and BPE are beyond SQL.
 ORACLE_SQL = None
 
 
-def run(spark, sf_dir):
-    return spark.read.parquet(f"{sf_dir}/documents.parquet")
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages over ``documents``, each written and read again; read copies are deleted."""
+    docs, before = spark.read.parquet(f"{sf_dir}/documents.parquet"), None
+    for _, stage in STAGES:
+        result, path = stage(spark, docs, sf_dir), scratch_path(spark)
+        result.write.parquet(path)
+        delete_at_end(spark, path)
+        if before is not None:
+            discard(spark, before)
+        docs, before = spark.read.schema(result.schema).parquet(path), path
+    return docs

@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterator, Sequence
 
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType, _parse_datatype_string
 
@@ -27,26 +28,36 @@ def pieces(batch: pa.RecordBatch, text: str = "text") -> Iterator[pa.RecordBatch
         yield batch.slice(start)
 
 
-def map_pieces(
-    df: DataFrame, prepare: Callable[[], Callable], schema: str, text: str = "text"
+def map_texts(
+    documents: DataFrame, carry: Sequence[str], prepare: Callable[[], Callable], schema: str
 ) -> DataFrame:
-    """Rows of ``schema`` from a function of pieces of ``df``.
+    """The ``carry`` columns of every row of ``documents``, and columns of ``schema`` made of its text.
 
-    ``prepare`` is called once a task and returns a function from a record batch to a dictionary of
-    columns of ``schema``.
+    ``prepare`` is called once a task and returns a function from a list of texts, null as the
+    empty text, to a dictionary of the columns of ``schema``. Carried columns may have any name
+    that is not one of ``schema``.
     """
-    arrow = to_arrow_schema(_struct(schema))
+    inner = {f"_carried{i}": c for i, c in enumerate(carry)}
+    types = [documents.schema[c].dataType.simpleString() for c in carry]
+    kept = [f"{name} {kind}" for name, kind in zip(inner, types, strict=True)]
+    full = ", ".join([*kept, schema])
+    arrow = to_arrow_schema(_struct(full))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         function = prepare()
         for batch in batches:
-            for piece in pieces(batch, text):
-                columns = function(piece)
+            for piece in pieces(batch):
+                columns = function([t or "" for t in piece["text"].to_pylist()])
                 yield pa.RecordBatch.from_arrays(
-                    [_array(columns[f.name], f.type) for f in arrow], schema=arrow
+                    [
+                        piece[f.name] if f.name in inner else _array(columns[f.name], f.type)
+                        for f in arrow
+                    ],
+                    schema=arrow,
                 )
 
-    return df.mapInArrow(run, schema)
+    chosen = documents.select(*[F.col(f"`{c}`").alias(n) for n, c in inner.items()], "text")
+    return chosen.mapInArrow(run, full).withColumnsRenamed(inner)
 
 
 def _array(values: object, kind: pa.DataType) -> pa.Array:

@@ -22,7 +22,7 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 
-from impressa.llm.batches import map_pieces
+from impressa.llm.batches import map_texts
 
 # Pieces up to this many bytes are merged side by side.
 _SHORT = 64
@@ -220,45 +220,41 @@ def worker_encoder(vocabulary_path: str, pattern: str) -> Encoder:
 
 
 def encode_documents(
-    documents: DataFrame, vocabulary_path: str, pattern: str, id_column: str = "doc_id"
+    documents: DataFrame, vocabulary_path: str, pattern: str, carry: Sequence[str] = ("doc_id",)
 ) -> DataFrame:
-    """(id, ids array<int>) of every whole text; null is an empty text and has no ids."""
+    """The carried columns and ids array<int> of every whole text; null is empty and has no ids."""
 
-    def prepare() -> Callable[[pa.RecordBatch], dict]:
+    def prepare() -> Callable[[list[str]], dict]:
         encoder = worker_encoder(vocabulary_path, pattern)
 
-        def encode(batch: pa.RecordBatch) -> dict:
-            texts = [t or "" for t in batch["text"].to_pylist()]
-            return {"id": batch["id"], "ids": encoder.encode(texts)}
+        def encode(texts: list[str]) -> dict:
+            found = encoder.encode(texts)
+            ends = np.cumsum([0, *map(len, found)]).astype(np.int32)
+            return {"ids": pa.ListArray.from_arrays(ends, np.concatenate(found))}
 
         return encode
 
-    kind = documents.schema[id_column].dataType.simpleString()
-    chosen = documents.select(documents[id_column].alias("id"), "text")
-    return map_pieces(chosen, prepare, f"id {kind}, ids array<int>").withColumnRenamed(
-        "id", id_column
-    )
+    return map_texts(documents, carry, prepare, "ids array<int>")
 
 
 def round_trip(
-    documents: DataFrame, vocabulary_path: str, pattern: str, id_column: str = "doc_id"
+    documents: DataFrame, vocabulary_path: str, pattern: str, carry: Sequence[str] = ("doc_id",)
 ) -> DataFrame:
-    """(id, n_tokens, ids_sha256, decoded_sha256): texts encoded, and their ids decoded again.
+    """The carried columns, n_tokens, ids_sha256 and decoded_sha256 of every whole text.
 
-    The first digest is of the decimal ids joined by one space, the second of the decoded bytes.
-    Every row is handled by itself, so repeated rows, any ids and an empty table need no care.
+    Texts are encoded, and their ids decoded again. The first digest is of the decimal ids joined
+    by one space, the second of the decoded bytes. Every row is handled by itself, so repeated
+    rows, null ids and an empty table need no care.
     """
 
-    def prepare() -> Callable[[pa.RecordBatch], dict]:
+    def prepare() -> Callable[[list[str]], dict]:
         encoder = worker_encoder(vocabulary_path, pattern)
         decimal = {rank: str(rank) for rank in encoder.vocabulary.tokens}
 
-        def digests(batch: pa.RecordBatch) -> dict:
-            arrays = encoder.encode([t or "" for t in batch["text"].to_pylist()])
-            ids = [a.tolist() for a in arrays]
+        def digests(texts: list[str]) -> dict:
+            ids = [found.tolist() for found in encoder.encode(texts)]
             written = (" ".join(map(decimal.__getitem__, i)) for i in ids)
             return {
-                "id": batch["id"],
                 "n_tokens": [len(i) for i in ids],
                 "ids_sha256": [sha256(w.encode()).hexdigest() for w in written],
                 "decoded_sha256": [sha256(encoder.decode(i)).hexdigest() for i in ids],
@@ -266,8 +262,6 @@ def round_trip(
 
         return digests
 
-    kind = documents.schema[id_column].dataType.simpleString()
-    chosen = documents.select(documents[id_column].alias("id"), "text")
-    return map_pieces(
-        chosen, prepare, f"id {kind}, n_tokens bigint, ids_sha256 string, decoded_sha256 string"
-    ).withColumnRenamed("id", id_column)
+    return map_texts(
+        documents, carry, prepare, "n_tokens bigint, ids_sha256 string, decoded_sha256 string"
+    )

@@ -10,7 +10,7 @@ from __future__ import annotations
 
 import re
 from collections import Counter
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterator, Sequence
 from dataclasses import dataclass
 
 import numpy as np
@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from impressa.llm.batches import map_pieces, pieces
+from impressa.llm.batches import map_texts, pieces
 
 # Trigrams are counted in this many hash buckets, which bounds the model by the languages.
 BUCKETS = 1 << 16
@@ -206,8 +206,10 @@ class Identifier:
         result[[i for i, _ in held]] = best_mixtures(self.rows[at], starts)
 
 
-def identify(documents: DataFrame, model: Model, id_column: str = "doc_id") -> DataFrame:
-    """(id, lang_pred, score, languages) of every whole text, from the text alone.
+def identify(
+    documents: DataFrame, model: Model, carry: Sequence[str] = ("doc_id",)
+) -> DataFrame:
+    """The carried columns, lang_pred, score and languages of every whole text, from the text alone.
 
     ``languages`` lists (lang, share) by falling share, ties by name; the first is ``lang_pred`` and
     its share the score. A null text, a text without letters, and any text where no language was
@@ -215,18 +217,17 @@ def identify(documents: DataFrame, model: Model, id_column: str = "doc_id") -> D
     and null ids need no care.
     """
 
-    def prepare() -> Callable[[pa.RecordBatch], dict]:
+    def prepare() -> Callable[[list[str]], dict]:
         identifier = Identifier(model)
 
-        def predict(batch: pa.RecordBatch) -> dict:
-            shares = identifier.shares([t or "" for t in batch["text"].to_pylist()])
+        def predict(texts: list[str]) -> dict:
+            shares = identifier.shares(texts)
             order = (-shares).argsort(axis=1, kind="stable")
             found = [
                 [{"lang": model.languages[k], "share": row[k]} for k in by_share if row[k] > 0]
                 for row, by_share in zip(shares.tolist(), order.tolist(), strict=True)
             ]
             return {
-                "id": batch["id"],
                 "lang_pred": [f[0]["lang"] if f else UNKNOWN for f in found],
                 "score": [min(1.0, f[0]["share"]) if f else 0.0 for f in found],
                 "languages": found,
@@ -234,14 +235,12 @@ def identify(documents: DataFrame, model: Model, id_column: str = "doc_id") -> D
 
         return predict
 
-    kind = documents.schema[id_column].dataType.simpleString()
-    chosen = documents.select(documents[id_column].alias("id"), "text")
-    return map_pieces(
-        chosen,
+    return map_texts(
+        documents,
+        carry,
         prepare,
-        f"id {kind}, lang_pred string, score double, "
-        "languages array<struct<lang: string, share: double>>",
-    ).withColumnRenamed("id", id_column)
+        "lang_pred string, score double, languages array<struct<lang: string, share: double>>",
+    )
 
 
 def fold(id_column: str) -> Column:

@@ -20,7 +20,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from impressa.llm.batches import map_pieces
+from impressa.llm.batches import map_texts
 from impressa.llm.components import connected_components
 from impressa.session import materialize
 
@@ -89,11 +89,10 @@ def band_keys(values: np.ndarray) -> np.ndarray:
 def sketches(documents: DataFrame) -> DataFrame:
     """(id, n_shingles, set_key, bands) of ``documents`` (id, text); no key or bands without words."""
 
-    def prepare() -> Callable[[pa.RecordBatch], dict]:
-        def sketch(batch: pa.RecordBatch) -> dict:
-            sets = [shingles(t or "") for t in batch["text"].to_pylist()]
+    def prepare() -> Callable[[list[str]], dict]:
+        def sketch(texts: list[str]) -> dict:
+            sets = [shingles(text) for text in texts]
             return {
-                "id": batch["id"],
                 "n_shingles": [len(s) for s in sets],
                 "set_key": [xxhash.xxh3_128_digest(s.tobytes()) if len(s) else None for s in sets],
                 "bands": [band_keys(signature(s)) if len(s) else None for s in sets],
@@ -101,9 +100,8 @@ def sketches(documents: DataFrame) -> DataFrame:
 
         return sketch
 
-    kind = documents.schema["id"].dataType.simpleString()
-    schema = f"id {kind}, n_shingles bigint, set_key binary, bands array<bigint>"
-    return map_pieces(documents, prepare, schema)
+    schema = "n_shingles bigint, set_key binary, bands array<bigint>"
+    return map_texts(documents, ["id"], prepare, schema)
 
 
 # ---------------------------------------------------------------- verification

@@ -127,29 +127,28 @@ def first_words(text: Column, words: Column) -> Column:
     return F.array_join(F.slice(pieces, 1, words.cast("int")), "")
 
 
-def mixed_copies(documents: DataFrame, taken: DataFrame) -> DataFrame:
+def mixed_copies(documents: DataFrame, size: Column, taken: DataFrame) -> DataFrame:
     """The mix itself: a row of ``documents`` per copy taken, the last one cut where the budget ends.
 
-    ``taken`` has (doc_id, size, taken). Rows that share a doc_id and size are taken alike, as often
-    as the first of them. Documents of which nothing is taken are left out, as are null ids.
+    ``taken`` is the result of :func:`mix` for the same documents and size. Rows alike in doc_id,
+    source and size are taken as often as the first of them; documents of which nothing is taken
+    are left out. Copies are equal rows but for the cut one.
     """
     wanted = (
         taken.filter(F.col("taken") > 0)
-        .groupBy("doc_id")
-        .agg(F.max(F.struct("taken", "size")).alias("_take"))
+        .groupBy("doc_id", "source", "size")
+        .agg(F.max("taken").alias("taken"))
+        .alias("w")
     )
-    copies = documents.join(wanted, "doc_id").withColumn(
-        "_words",
-        F.explode(
-            F.transform(
-                F.sequence(F.lit(0), F.ceil(F.col("_take.taken") / F.col("_take.size")) - 1),
-                lambda i: F.least(
-                    F.col("_take.size"), F.col("_take.taken") - i * F.col("_take.size")
-                ),
-            )
-        ),
+    sized = documents.withColumn("_size", size).alias("d")
+    same = [F.col(f"d.{c}").eqNullSafe(F.col(f"w.{c}")) for c in ("doc_id", "source")]
+    joined = sized.join(wanted, [*same, F.col("_size") == F.col("w.size")]).select(
+        "d.*", F.col("w.taken").alias("_taken")
     )
-    text = F.when(F.col("_words") == F.col("_take.size"), F.col("text")).otherwise(
+    copy = F.sequence(F.lit(0), F.ceil(F.col("_taken") / F.col("_size")) - 1)
+    left = F.transform(copy, lambda i: F.least(F.col("_size"), F.col("_taken") - i * F.col("_size")))
+    copies = joined.withColumn("_words", F.explode(left))
+    text = F.when(F.col("_words") == F.col("_size"), F.col("text")).otherwise(
         first_words(F.col("text"), F.col("_words"))
     )
     return copies.select(

@@ -15,12 +15,11 @@ from collections.abc import Callable, Sequence
 from functools import lru_cache
 from itertools import chain, pairwise
 
-import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from sentencepiece import SentencePieceProcessor
 
-from impressa.llm.batches import map_pieces
+from impressa.llm.batches import map_texts
 
 # Fixed value: the sign that stands for a space in pieces.
 SPACE = "▁"
@@ -191,42 +190,35 @@ def worker_counter(model_path: str) -> PrefixCounter:
     return PrefixCounter(PieceVocabulary.load(model_path))
 
 
-def _mapped(documents: DataFrame, model_path: str, columns: Callable, schema: str, id_column: str):
-    def prepare() -> Callable[[pa.RecordBatch], dict]:
-        counter = worker_counter(model_path)
-        return lambda batch: {
-            "id": batch["id"],
-            **columns(counter, [t or "" for t in batch["text"].to_pylist()]),
-        }
-
-    kind = documents.schema[id_column].dataType.simpleString()
-    chosen = documents.select(documents[id_column].alias("id"), "text")
-    return map_pieces(chosen, prepare, f"id {kind}, {schema}").withColumnRenamed("id", id_column)
-
-
-def token_totals(documents: DataFrame, model_path: str, id_column: str = "doc_id") -> DataFrame:
-    """(id, n_bytes, n_tokens) of every whole text; null is an empty text and has none.
+def token_totals(
+    documents: DataFrame, model_path: str, carry: Sequence[str] = ("doc_id",)
+) -> DataFrame:
+    """The carried columns, n_bytes and n_tokens of every whole text; null is empty and has none.
 
     Rows are handled one by one: repeated rows, null ids and an empty table need no care. Memory
     grows with the longest text only.
     """
 
-    def columns(counter: PrefixCounter, texts: list[str]) -> dict:
-        return {
+    def prepare() -> Callable[[list[str]], dict]:
+        counter = worker_counter(model_path)
+        return lambda texts: {
             "n_bytes": [len(t.encode()) for t in texts],
             "n_tokens": counter.totals(texts),
         }
 
-    return _mapped(documents, model_path, columns, "n_bytes bigint, n_tokens bigint", id_column)
+    return map_texts(documents, carry, prepare, "n_bytes bigint, n_tokens bigint")
 
 
-def prefix_counts(documents: DataFrame, model_path: str, id_column: str = "doc_id") -> DataFrame:
-    """(id, prefix_tokens array<int>): token counts of the prefixes of 0, 1, ... all characters."""
+def prefix_counts(
+    documents: DataFrame, model_path: str, carry: Sequence[str] = ("doc_id",)
+) -> DataFrame:
+    """The carried columns and prefix_tokens array<int>: tokens of the prefixes of 0, 1, ... characters."""
 
-    def columns(counter: PrefixCounter, texts: list[str]) -> dict:
-        return {"prefix_tokens": [counter.prefixes(t) for t in texts]}
+    def prepare() -> Callable[[list[str]], dict]:
+        counter = worker_counter(model_path)
+        return lambda texts: {"prefix_tokens": [counter.prefixes(t) for t in texts]}
 
-    return _mapped(documents, model_path, columns, "prefix_tokens array<int>", id_column)
+    return map_texts(documents, carry, prepare, "prefix_tokens array<int>")
 
 
 def tokens_at(prefix_tokens: Column, characters: Column) -> Column:

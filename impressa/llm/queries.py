@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from impressa.llm import bpe, language, minhash, mixing, piecewise, prefixes, sharding, topk, warc
+from impressa.llm import bpe, language, minhash, mixing, piecewise, prefixes, secret_scan, sharding, topk, warc
 from impressa.session import delete_at_end, materialize, scratch_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -226,3 +226,15 @@ def op9_token_counts(spark: SparkSession, folder: str) -> DataFrame:
         table(spark, folder, "documents"), public_tokenizers.path("piece_bpe_32k.model")
     )
     return counted.withColumn("over_limit", F.col("n_tokens") > TOKEN_LIMIT)
+
+
+# ---------------------------------------------------------------- 10 secrets
+
+
+@query("op10_secrets")
+def op10_secrets(spark: SparkSession, folder: str) -> DataFrame:
+    """The findings left when false positives are removed; of the value only a digest is shown."""
+    found = secret_scan.scan(table(spark, folder, "documents"))
+    return found.filter("is_secret").select(
+        "doc_id", "kind", "start", "length", F.sha2("value", 256).alias("value_sha256"), "probability"
+    )
