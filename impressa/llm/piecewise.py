@@ -153,7 +153,7 @@ def _with_ranges(documents: DataFrame, ranges: int) -> DataFrame:
     """
     places = [i / ranges for i in range(1, ranges)]
     cuts = documents.agg(F.percentile_approx(F.col("id").cast("double"), places, 10_000)).first()[0]
-    splits = [float("-inf"), *sorted(set(cuts or [])), float("inf")]
+    splits = [float("-inf"), *sorted(set(cuts or [0.0])), float("inf")]
     numbered = documents.withColumn("_number", F.coalesce(F.col("id").cast("double"), F.lit(0.0)))
     ranged = Bucketizer(splits=splits, inputCol="_number", outputCol="_of").transform(numbered)
     return ranged.withColumn(
