@@ -230,7 +230,8 @@ def near_duplicates(documents: DataFrame, percent: int = 85, id_column: str = "d
     groups = _in_groups(members)
     order = ["cluster", "i", "j"]
     tasks = int(documents.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    placed = chosen.join(groups, "id").repartition(tasks, *order).sortWithinPartitions(*order)
+    # Clustered documents grow with all documents: the join is a shuffled one at every size.
+    placed = chosen.join(groups.hint("shuffle_hash"), "id").repartition(tasks, *order).sortWithinPartitions(*order)
     links = placed.select(*order, "id", "block", "text").mapInArrow(_links(percent), "a bigint, b bigint")
     same = distinct.select("set_key", F.col("id").alias("least"))
     rows = sketched.select("id", "n_shingles", "set_key").join(same, "set_key", "left")
