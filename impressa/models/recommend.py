@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import math
 from collections.abc import Sequence
 from functools import reduce
 
@@ -27,42 +26,41 @@ USER_INDEX, ITEM_INDEX = f"{USER}_index", f"{ITEM}_index"
 ITERATIONS, REGULARISATION = 5, 0.01
 SEED = 42
 
-# Ratings that one block of users or items should hold.
-RATINGS_PER_BLOCK = 500_000
-_LEAST_BLOCKS = 4
+# Blocks of users and of items. The first factors are drawn by block, so another number gives other
+# scores; it is a parameter of the model and never follows the data or the cluster.
+BLOCKS = 10
 
 
 def ratings(train: DataFrame, label: str) -> DataFrame:
-    """(user index, item index, rating) of the engaged pairs, repeats added up.
+    """(user index, item index, rating): how often each pair was engaged, repeats added up.
 
-    Pairs without the engagement carry no weight in an implicit fit, so they are not shuffled;
-    an id that only occurs in such pairs has no factors and scores 0.
+    Pairs shown without the engagement are rated 0: they add no preference, but their users and
+    items have factors as well, which all others are fitted against.
     """
-    return (
-        train.filter(F.col(label) == 1)
-        .groupBy(
-            F.col(USER_INDEX).cast("int").alias(USER_INDEX),
-            F.col(ITEM_INDEX).cast("int").alias(ITEM_INDEX),
-        )
-        .agg(F.count("*").cast("float").alias("rating"))
-    )
+    return train.groupBy(
+        F.col(USER_INDEX).cast("int").alias(USER_INDEX),
+        F.col(ITEM_INDEX).cast("int").alias(ITEM_INDEX),
+    ).agg(F.sum(label).cast("float").alias("rating"))
 
 
-def _fit(als: ALS, rated: DataFrame) -> ALSModel:
-    """Fit on a written table, with blocks in proportion to the ratings.
-
-    Factors are checkpointed between iterations where the session has a checkpoint folder.
-    """
-    stored = materialize(rated)
-    tasks = int(stored.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    blocks = max(_LEAST_BLOCKS, min(tasks, math.ceil(stored.count() / RATINGS_PER_BLOCK)))
-    return als.setNumBlocks(blocks).setCheckpointInterval(2).fit(stored)
+def _fit(als: ALS, rated: DataFrame, blocks: int) -> ALSModel:
+    """Fit on a written table; factors are checkpointed where the session has a checkpoint folder."""
+    return als.setNumBlocks(blocks).setCheckpointInterval(2).fit(rated)
 
 
 def fit_implicit(
-    train: DataFrame, label: str, rank: int = 10, alpha: float = 1.0, seed: int = SEED
+    train: DataFrame,
+    label: str,
+    rank: int = 10,
+    alpha: float = 1.0,
+    seed: int = SEED,
+    blocks: int = BLOCKS,
+    rated: DataFrame | None = None,
 ) -> ALSModel:
-    """Implicit-feedback factors of one label."""
+    """Implicit-feedback factors of one label.
+
+    ``rated`` are its ratings where they have been written before, for several fits.
+    """
     als = ALS(
         rank=rank,
         alpha=alpha,
@@ -74,7 +72,7 @@ def fit_implicit(
         ratingCol="rating",
         seed=seed,
     )
-    return _fit(als, ratings(train, label))
+    return _fit(als, materialize(ratings(train, label)) if rated is None else rated, blocks)
 
 
 HotKeys = dict[str, DataFrame | None]
@@ -126,7 +124,14 @@ def score_pairs(
     return scored.fillna(unknown, subset=["prediction"])
 
 
-def fit_explicit(ratings_table: DataFrame, user: str, item: str, rating: str, seed: int = SEED) -> ALSModel:
+def fit_explicit(
+    ratings_table: DataFrame,
+    user: str,
+    item: str,
+    rating: str,
+    seed: int = SEED,
+    blocks: int = BLOCKS,
+) -> ALSModel:
     """Explicit-rating factors of default rank."""
     als = ALS(
         maxIter=ITERATIONS,
@@ -136,7 +141,7 @@ def fit_explicit(ratings_table: DataFrame, user: str, item: str, rating: str, se
         ratingCol=rating,
         seed=seed,
     )
-    return _fit(als, ratings_table.select(user, item, rating))
+    return _fit(als, materialize(ratings_table.select(user, item, rating)), blocks)
 
 
 def recommendations(nested: DataFrame, key: str, other: str) -> DataFrame:
@@ -163,9 +168,11 @@ def grid_search(
     results = []
     hot = frequent_ids(test)
     for label in labels:
+        rated = materialize(ratings(train, label))
         for alpha in alphas:
             for rank in ranks:
-                scored = score_pairs(fit_implicit(train, label, rank, alpha, seed), test, hot=hot)
+                model = fit_implicit(train, label, rank, alpha, seed, rated=rated)
+                scored = score_pairs(model, test, hot=hot)
                 table = evaluation.evaluation_table(scored, label, {"mf": "prediction"}, thresholds)
                 results.append(
                     table.drop("model_name").select(

@@ -3,14 +3,23 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from impressa.operators.joins import hot_keys, spread_join
 from impressa.operators.ordering import number_rows
 
 
-def dense_id_index(df: DataFrame, id_column: str) -> DataFrame:
-    """(id, <id>_index): distinct ids numbered from 0 in id order."""
-    ids = df.select(id_column).distinct()
+# Column of an index with the number of rows that have the id.
+ROWS = "n"
+
+
+def dense_id_index(df: DataFrame, id_column: str, counted: bool = False) -> DataFrame:
+    """(id, <id>_index): distinct ids numbered from 0 in id order.
+
+    With ``counted`` also ``n``, the rows of the id: encoding and decoding find frequent ids there
+    instead of looking through the rows that they join.
+    """
+    ids = df.groupBy(id_column).agg(F.count("*").alias(ROWS)) if counted else df.select(id_column).distinct()
     return number_rows(ids, [id_column], f"{id_column}_index")
 
 
@@ -31,10 +40,12 @@ def decode_ids(
 
 
 def _replace(df: DataFrame, lookups: dict[str, DataFrame], keep: bool = False) -> DataFrame:
-    # Frequent keys are looked for in the input, where counting them reads one column.
-    hot = {column: hot_keys(df, column) for column in lookups}
+    hot = {
+        column: hot_keys(lookup, column, weight=ROWS) if ROWS in lookup.columns else hot_keys(df, column)
+        for column, lookup in lookups.items()
+    }
     for column, lookup in lookups.items():
         spread_by = next(c for c in df.columns if c != column)
-        df = spread_join(df, lookup, column, spread_by, hot=hot[column])
+        df = spread_join(df, lookup.drop(ROWS), column, spread_by, hot=hot[column])
         df = df if keep else df.drop(column)
     return df

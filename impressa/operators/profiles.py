@@ -30,7 +30,7 @@ def _pair_vectors(pairs: DataFrame, vectors: DataFrame) -> DataFrame:
     return spread_join(pairs, vectors, ITEM, USER)
 
 
-def _by_user(df: DataFrame, pairs: DataFrame) -> tuple[DataFrame, list[str]]:
+def _by_user(df: DataFrame, hot: DataFrame | None) -> tuple[DataFrame, list[str]]:
     """``df`` partitioned by user, and the partitioning columns.
 
     Rows of frequent users lie in several pieces by item (``_piece``). The number of partitions is
@@ -38,7 +38,6 @@ def _by_user(df: DataFrame, pairs: DataFrame) -> tuple[DataFrame, list[str]]:
     would leave too few tasks.
     """
     tasks = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    hot = hot_keys(pairs, USER, min_rows=HOT_USER_PAIRS)
     if hot is None:
         return df.repartition(tasks, USER), [USER]
     piece = F.pmod(F.xxhash64(ITEM), F.col("_salts")).cast("int")
@@ -55,11 +54,12 @@ def class_means(pairs: DataFrame, vectors: DataFrame) -> DataFrame:
 
     The vectors of a user come together before they are unfolded, so the sums per (user, term)
     need no shuffle of single terms; only frequent users are added up from several pieces. Class
-    sizes join on at that level, where a user has no more rows than there are terms.
+    sizes join on at that level, with the terms of a frequent user split.
     """
     sums = {"all": F.sum(F.col("n") * F.col("weight"))}
     sums |= {f"pos_{e}": F.sum(F.col(f"n_{e}") * F.col("weight")) for e in LABELS}
-    spread, by = _by_user(_pair_vectors(pairs, vectors), pairs)
+    hot = hot_keys(pairs, USER, min_rows=HOT_USER_PAIRS)
+    spread, by = _by_user(_pair_vectors(pairs, vectors), hot)
     terms = spread.select(*by, "n", *[f"n_{e}" for e in LABELS], F.inline("terms"))
     summed = terms.groupBy(*by, "term_index").agg(*[c.alias(k) for k, c in sums.items()])
     if len(by) > 1:
@@ -73,7 +73,8 @@ def class_means(pairs: DataFrame, vectors: DataFrame) -> DataFrame:
         means.append(F.when(size > 0, total / size).otherwise(0.0).alias(f"pos_{label}"))
         total, size = F.col("all") - total, F.col("n") - size
         means.append(F.when(size > 0, total / size).otherwise(0.0).alias(f"neg_{label}"))
-    return summed.join(sizes, USER).select(USER, "term_index", *means)
+    joined = spread_join(summed, sizes, USER, "term_index", hot=hot)
+    return joined.select(USER, "term_index", *means)
 
 
 def profiles(
@@ -99,6 +100,7 @@ def profile_scores(pairs: DataFrame, vectors: DataFrame, user_profiles: DataFram
     lengths = user_profiles.groupBy(USER).agg(*squares)
     lengths = lengths.select(USER, *[F.sqrt(f"square_{e}").alias(f"length_{e}") for e in LABELS])
     wanted = pairs.select(USER, ITEM).distinct()
+    hot = hot_keys(wanted, USER)
     terms = _pair_vectors(wanted, vectors).select(*KEYS, F.inline("terms"))
     # A frequent user has the most lookups in its most frequent term: one per item.
     matched = spread_join(
@@ -107,14 +109,14 @@ def profile_scores(pairs: DataFrame, vectors: DataFrame, user_profiles: DataFram
         USER,
         ITEM,
         how="left",
-        hot=hot_keys(wanted, USER),
+        hot=hot,
         also_on=("term_index",),
     )
     dots = matched.groupBy(USER, ITEM).agg(
         *[F.sum(F.col("weight") * F.coalesce(F.col(e), F.lit(0.0))).alias(e) for e in LABELS],
         F.sqrt(F.sum(F.col("weight") * F.col("weight"))).alias("length"),
     )
-    scored = spread_join(dots, lengths, USER, ITEM)
+    scored = spread_join(dots, lengths, USER, ITEM, hot=hot)
     return scored.select(
         USER,
         ITEM,

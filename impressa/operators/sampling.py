@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Row, Window
 from pyspark.sql import functions as F
 
 from impressa.functions.hashing import fraction_bound, key_hash
@@ -10,8 +10,10 @@ from impressa.operators.cleaning import keep_ids
 from impressa.operators.ordering import number_rows
 from impressa.session import materialize
 
-# Cut points are searched in 2^16 equal ranges of the hash.
-_RANGE_BITS = 60 - 16
+# Cut points are searched in 2^16 equal ranges of the hash, and those in 2^16 finer ones, until the
+# range that holds the cut has at most this many rows.
+_HASH_BITS, _STEP_BITS = 60, 16
+_RANGE_ROWS = 100_000
 
 
 def in_fraction(fraction: float, seed: int, *keys: str) -> Column:
@@ -25,35 +27,34 @@ def split(df: DataFrame, fraction: float, seed: int, *keys: str) -> tuple[DataFr
     return df.filter(first), df.filter(~first)
 
 
+def _range_of(hashed: DataFrame, bits: int, n: int) -> Row | None:
+    """The range of the n-th lowest hash: its number, its rows, and the rows up to its end."""
+    histogram = hashed.groupBy(F.shiftright("_h", bits).alias("_r")).agg(F.count("*").alias("_n"))
+    upto = Window.orderBy("_r").rowsBetween(Window.unboundedPreceding, 0)
+    reached = histogram.withColumn("_upto", F.sum("_n").over(upto)).filter(F.col("_upto") >= n)
+    return reached.orderBy("_r").first()
+
+
 def lowest_n(df: DataFrame, n: int, seed: int, key: str) -> Column:
     """Condition true for exactly the n rows of ``df`` with the lowest (hash, key); key is unique.
 
-    The n-th row is found from a histogram of the hash and a look into one of its 65,536 ranges,
-    so neither n rows nor the table pass through one task.
+    The n-th row is found from a histogram of the hash, refined within the range that holds it, and
+    a look into a range of few rows, so neither n rows nor the table pass through one task.
     """
     if n <= 0:
         return F.lit(False)
     hashed = df.select(key, key_hash(seed, key).alias("_h"))
-    histogram = hashed.groupBy(F.shiftright("_h", _RANGE_BITS).alias("_r")).agg(
-        F.count("*").alias("_n")
-    )
-    upto = Window.orderBy("_r").rowsBetween(Window.unboundedPreceding, 0)
-    reached = (
-        histogram.withColumn("_upto", F.sum("_n").over(upto))
-        .filter(F.col("_upto") >= n)
-        .orderBy("_r")
-        .first()
-    )
-    if reached is None:
-        return F.lit(True)
-    needed = n - (reached["_upto"] - reached["_n"])
-    last = (
-        hashed.filter(F.shiftright("_h", _RANGE_BITS) == reached["_r"])
-        .orderBy("_h", key)
-        .limit(needed)
-        .agg(F.max(F.struct("_h", key)).alias("cut"))
-        .first()["cut"]
-    )
+    needed, bits = n, _HASH_BITS
+    while True:
+        bits = max(0, bits - _STEP_BITS)
+        reached = _range_of(hashed, bits, needed)
+        if reached is None:
+            return F.lit(True)
+        needed -= reached["_upto"] - reached["_n"]
+        hashed = hashed.filter(F.shiftright("_h", bits) == reached["_r"])
+        if reached["_n"] <= _RANGE_ROWS or not bits:
+            break
+    last = hashed.orderBy("_h", key).limit(needed).agg(F.max(F.struct("_h", key)).alias("cut")).first()["cut"]
     h = key_hash(seed, key)
     return (h < last["_h"]) | ((h == last["_h"]) & (F.col(key) <= last[key]))
 

@@ -10,9 +10,6 @@ from impressa.operators.joins import hot_keys, spread_join
 from impressa.operators.ordering import number_rows
 from impressa.session import materialize
 
-# Fixed value: the default vocabulary size of the count vectoriser.
-VOCABULARY_SIZE = 1 << 18
-
 
 def term_counts(df: DataFrame, doc_id: str, tokens: Column) -> DataFrame:
     """(doc, term, tf). The token lists are counted map-side before the shuffle."""
@@ -38,9 +35,11 @@ def fit_vocabulary(
     documents: DataFrame,
     doc_id: str,
     weight: str | None = None,
-    size: int = VOCABULARY_SIZE,
+    size: int | None = None,
 ) -> DataFrame:
-    """(term, term_index, df, idf): the ``size`` most frequent terms, ties in term order.
+    """(term, term_index, df, idf): all terms by falling frequency, ties in term order.
+
+    With ``size`` only as many of the most frequent terms.
 
     ``counts`` holds the terms of ``documents``, which has one row per document. With ``weight`` a
     document stands for that many rows (impressions of an item), counted without repeating its
@@ -57,18 +56,15 @@ def fit_vocabulary(
     totals = fitted.groupBy("term").agg(*sums)
     ranked = number_rows(totals, [F.desc("n"), "term"], "term_index")
     idf = inverse_document_frequency(total.scalar(), F.col("df"))
-    return materialize(
-        ranked.filter(F.col("term_index") < size).select(
-            "term", "term_index", "df", idf.alias("idf")
-        )
-    )
+    kept = ranked if size is None else ranked.filter(F.col("term_index") < size)
+    return materialize(kept.select("term", "term_index", "df", idf.alias("idf")))
 
 
 def weighted_terms(counts: DataFrame, vocabulary: DataFrame, doc_id: str) -> DataFrame:
     """(doc, term, term_index, tf, weight) with weight = tf * idf; unknown terms vanish.
 
-    The vocabulary has a bounded number of rows; its stored size decides on a broadcast, and
-    beyond that the documents of a frequent term are split.
+    The stored size of the vocabulary decides on a broadcast; beyond that the documents of a
+    frequent term are split.
     """
     hot = hot_keys(vocabulary, "term", weight="df")
     joined = spread_join(counts, vocabulary, "term", doc_id, hot=hot)

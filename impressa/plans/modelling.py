@@ -5,19 +5,20 @@ from __future__ import annotations
 from functools import reduce
 
 from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from impressa.models import classify, features, jobs, recommend, stacking
 from impressa.models.recommend import ITEM_INDEX, USER_INDEX
 from impressa.operators import aggregates, ids, sampling
-from impressa.operators.joins import join_predictions
 from impressa.plans import oracle
 from impressa.plans.registry import query
 from impressa.plans.scoring import ENSEMBLE_THRESHOLDS, GRID_THRESHOLDS
+from impressa.plans.textual import PREPARED_CATEGORIES
 from impressa.session import materialize
 from impressa.sources import views, writers
-from impressa.sources.schemas import ITEM, KEYS, LABELS, USER
+from impressa.sources.schemas import BOOLEAN_COLUMNS, ITEM, KEYS, LABELS, NUMERIC_COLUMNS, USER
 
 # Bucket counts that earlier forests were trained with.
 _FOREST_BUCKETS = (8, 12)
@@ -49,14 +50,25 @@ def _plain(vectors: DataFrame) -> DataFrame:
     return vectors.withColumn(features.VECTOR, F.unwrap_udt(features.VECTOR))
 
 
-@query("assemble_features")
+_ASSEMBLED = [*BOOLEAN_COLUMNS, *NUMERIC_COLUMNS]
+
+
+@query(
+    "assemble_features",
+    f"""WITH {oracle.IMPRESSIONS},
+        train AS (SELECT *, row_id % 2 = 0 AS engaged_follows_engaging FROM impressions
+                  WHERE {oracle.key_hash(42, 'row_id')} < {oracle.bound(0.9)})
+        SELECT row_id, tweet_id, engaging_user_id, unnest(range({len(_ASSEMBLED)}))::INTEGER AS slot,
+               unnest([{', '.join(f'{c}::DOUBLE' for c in _ASSEMBLED)}]) AS value FROM train""",
+)
 def assemble_features(spark, folder):
-    """Flags and scaled numbers as one vector, in table order."""
-    train, _ = _prepared(spark, folder)
-    numbers = train.drop("hashtags_tf", "tweet_text_tf", *features.CATEGORY_COLUMNS)
-    inputs = features.feature_columns(numbers, (*KEYS, *LABELS, "row_id"))
-    assembler = VectorAssembler(inputCols=inputs, outputCol=features.VECTOR)
-    return _plain(assembler.transform(numbers).select("row_id", *KEYS, features.VECTOR))
+    """Flags and numbers as one vector, in table order, a row per slot."""
+    log = views.impressions(spark, folder).select("row_id", *KEYS, *_ASSEMBLED)
+    train, _ = sampling.split(log, 0.9, 42, "row_id")
+    inputs = features.feature_columns(train, (*KEYS, "row_id"))
+    assembled = VectorAssembler(inputCols=inputs, outputCol=features.VECTOR).transform(train)
+    values = F.posexplode(vector_to_array(features.VECTOR)).alias("slot", "value")
+    return assembled.select("row_id", *KEYS, values)
 
 
 @query("feature_vectors_train")
@@ -73,7 +85,15 @@ def feature_vectors_test(spark, folder):
     return _plain(features.features(model, test, keep=("row_id",)))
 
 
-@query("explain_encoding_ml")
+@query(
+    "explain_encoding_ml",
+    f"""WITH {PREPARED_CATEGORIES}
+        SELECT "column", index::DOUBLE AS index,
+               CASE "column" WHEN 'present_media' THEN '[' || replace(lower(value), chr(9), ', ') || ']'
+                             ELSE value END AS value,
+               '(' || count(*) OVER (PARTITION BY "column") || ',[' || index || '],[1.0])' AS onehot
+        FROM indexes""",
+)
 def explain_encoding_ml(spark, folder):
     train, _ = _prepared(spark, folder, _FOREST_BUCKETS)
     return features.encoding_table(features.fit_features(train, hashed=True), train)
@@ -90,24 +110,47 @@ def _forest_rows(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame
 
 @query("rf_predict")
 def rf_predict(spark, folder):
+    """One held-out part, all labels."""
     train, test = _forest_rows(spark, folder)
-    model = classify.fit_forest(train, "like")
-    return writers.class_predictions(model.transform(test))
+    return jobs.forest_job(train, test)
+
+
+def _held_out(rows: DataFrame) -> dict[str, DataFrame]:
+    """The held-out rows in two parts: for fitting an ensemble, and for judging it."""
+    first, second = sampling.split(rows, 0.5, 43, "row_id")
+    return {"ensemble_train": first, "test": second}
 
 
 @query("rf_job")
 def rf_job(spark, folder):
+    """Both held-out parts, all labels."""
     train, test = _forest_rows(spark, folder)
-    return jobs.forest_job(train, test, trees=5)
+    parts = [
+        jobs.forest_job(train, part).withColumn("part", F.lit(name))
+        for name, part in _held_out(test).items()
+    ]
+    return reduce(DataFrame.unionByName, parts)
+
+
+# The whole grid (the job's default) takes 240 fits with trees up to 25 levels deep, over 15 minutes
+# for 9,000 rows here; the registered queries search this one for every label.
+_GRID = {"trees": (5,), "depths": (2, 5), "min_rows": (1, 3), "folds": 3}
 
 
 @query("rf_grid_search")
 def rf_grid_search(spark, folder):
+    """A row per label and setting."""
     train, _ = _forest_rows(spark, folder)
-    search = classify.forest_grid_search(
-        train, "like", ["row_id"], trees=(5,), depths=(2, 5), min_rows=(1, 3), folds=3
-    )
-    return classify.grid_results(search, spark)
+    results, _ = jobs.tuned_forest_job(train, {}, ["row_id"], **_GRID)
+    return results
+
+
+@query("rf_tuned_job")
+def rf_tuned_job(spark, folder):
+    """Both held-out parts, all labels, by the best forest of the grid."""
+    train, test = _forest_rows(spark, folder)
+    _, predictions = jobs.tuned_forest_job(train, _held_out(test), ["row_id"], **_GRID)
+    return predictions
 
 
 # ---------------------------------------------------------------- factorisation
@@ -116,7 +159,7 @@ def rf_grid_search(spark, folder):
 def _indexed(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame, dict[str, DataFrame]]:
     """(train, test, id indexes) of the interactions."""
     log = views.interactions(spark, folder).drop("value")
-    indexes = {c: materialize(ids.dense_id_index(log, c)) for c in (ITEM, USER)}
+    indexes = {c: materialize(ids.dense_id_index(log, c, counted=True)) for c in (ITEM, USER)}
     indexed = materialize(ids.encode_ids(log, indexes))
     train, test = sampling.split(indexed, 0.9, 42, "row_id")
     return train, test, indexes
@@ -163,25 +206,29 @@ def mf_split_job(spark, folder):
 @query("als_predict")
 def als_predict(spark, folder):
     train, test, _ = _indexed(spark, folder)
-    model = recommend.fit_implicit(train, "like")
-    return recommend.score_pairs(model, test).select(
-        "row_id", USER_INDEX, ITEM_INDEX, "like", "prediction"
-    )
+    hot = recommend.frequent_ids(test)
+    scored = [
+        recommend.score_pairs(recommend.fit_implicit(train, label), test, hot=hot).select(
+            "row_id", USER_INDEX, ITEM_INDEX, F.lit(label).alias("engagement"),
+            F.col(label).alias("label"), "prediction",
+        )
+        for label in LABELS
+    ]
+    return reduce(DataFrame.unionByName, scored)
 
 
 @query("als_grid_search")
 def als_grid_search(spark, folder):
     train, test, _ = _indexed(spark, folder)
-    return recommend.grid_search(
-        train, test, GRID_THRESHOLDS, labels=["like", "reply"], alphas=[1.0, 10.0], ranks=[5]
-    )
+    return recommend.grid_search(train, test, GRID_THRESHOLDS)
 
 
 @query("mf_job")
 def mf_job(spark, folder):
+    """Both held-out parts, all labels, ids and indexes side by side."""
     train, test, indexes = _indexed(spark, folder)
-    pairs = test.select(USER_INDEX, ITEM_INDEX).distinct()
-    return jobs.factorisation_job(train, pairs, indexes, rank=10)
+    parts = {n: rows.select(USER_INDEX, ITEM_INDEX).distinct() for n, rows in _held_out(test).items()}
+    return jobs.factorisation_job(train, parts, indexes)
 
 
 def _explicit(spark: SparkSession, folder: str):
@@ -233,28 +280,69 @@ def als_topk_item_subset(spark, folder):
 @query("neural_cf_predict")
 def neural_cf_predict(spark, folder):
     train, test, indexes = _indexed(spark, folder)
-    factors = recommend.fit_implicit(train, "like", rank=8)
-    rows = materialize(recommend.factor_features(factors, train.select(USER_INDEX, ITEM_INDEX, "like")))
-    net = recommend.fit_neural(rows, "like", rank=8)
-    pairs = test.select(USER_INDEX, ITEM_INDEX).distinct()
-    scored = recommend.neural_scores(net, recommend.factor_features(factors, pairs))
-    return ids.decode_ids(scored, indexes).select(USER, ITEM, "prediction")
+    pairs = materialize(ids.decode_ids(test.select(USER_INDEX, ITEM_INDEX).distinct(), indexes, keep_index=True))
+    scored = [
+        jobs.neural_scores(recommend.fit_implicit(train, label, rank=8), train, pairs, label).select(
+            USER, ITEM, F.lit(label).alias("engagement"), "prediction"
+        )
+        for label in LABELS
+    ]
+    return reduce(DataFrame.unionByName, scored)
 
 
 # ---------------------------------------------------------------- stacker
 
 _MODELS = ["mf", "rf", "nncf"]
+# Scores of the base models by application and folder: written once for the queries that stack them.
+_base_scores: dict[tuple[str, str], dict[str, DataFrame]] = {}
 
 
-def _stacking(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
-    """(train, test) pairs with three scores and the labels of the pair, written once."""
-    base = join_predictions(views.model_scores(spark, folder), KEYS)
-    pairs = views.interactions(spark, folder).groupBy(*KEYS).agg(*[F.max(e).alias(e) for e in LABELS])
-    return sampling.split(materialize(base.join(pairs, KEYS)), 0.5, 42, *KEYS)
+def _stacking(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
+    """Pairs of both held-out parts with the scores of three models fitted on the train part.
 
-
-def _labelled(rows: DataFrame, label: str) -> DataFrame:
-    return rows.select(*KEYS, *_MODELS, F.col(label).alias("label"))
+    (user, item, engagement, mf, rf, nncf, label), a row per pair and label.
+    """
+    key = (spark.sparkContext.applicationId, folder)
+    if key not in _base_scores:
+        train, test, indexes = _indexed(spark, folder)
+        vectors, held_vectors = _forest_rows(spark, folder)
+        held, vector_parts = _held_out(test), _held_out(held_vectors)
+        rows = {name: [] for name in held}
+        pairs = {
+            name: materialize(
+                ids.decode_ids(
+                    part.groupBy(USER_INDEX, ITEM_INDEX).agg(*[F.max(e).alias(e) for e in LABELS]),
+                    indexes,
+                    keep_index=True,
+                )
+            )
+            for name, part in held.items()
+        }
+        for label in LABELS:
+            factors = recommend.fit_implicit(train, label)
+            forest = classify.fit_forest(vectors, label)
+            net = jobs.fit_net(factors, train, label)
+            for name, wanted in pairs.items():
+                named = wanted.select(USER_INDEX, ITEM_INDEX, *KEYS)
+                mf = recommend.score_pairs(factors, named)
+                nncf = recommend.neural_scores(net, recommend.factor_features(factors, named))
+                rf = writers.class_predictions(forest.transform(vector_parts[name]))
+                tables = {
+                    "mf": mf.withColumnRenamed("prediction", "mf"),
+                    "rf": rf.withColumnRenamed("positive_probability", "rf"),
+                    "nncf": nncf.withColumnRenamed("prediction", "nncf"),
+                }
+                labels = wanted.select(*KEYS, F.col(label).alias("label"))
+                joined = stacking.stacking_rows(tables, labels)
+                rows[name].append(joined.withColumn("engagement", F.lit(label)))
+        _base_scores[key] = {
+            name: materialize(reduce(DataFrame.unionByName, parts)) for name, parts in rows.items()
+        }
+    return _base_scores[key]
+
+
+def _of(rows: DataFrame, label: str) -> DataFrame:
+    return rows.filter(F.col("engagement") == label)
 
 
 @query(
@@ -277,24 +365,32 @@ def stacker_single(spark, folder):
 
 @query("stacker_fit")
 def stacker_fit(spark, folder):
-    train, test = _stacking(spark, folder)
-    model = stacking.fit_stacker(_labelled(train, "like"), _MODELS)
-    return stacking.stacked_scores(model, _labelled(test, "like"))
+    """Ensemble scores of the second held-out part."""
+    parts = _stacking(spark, folder)
+    scored = [
+        stacking.stacked_scores(
+            stacking.fit_stacker(_of(parts["ensemble_train"], label), _MODELS), _of(parts["test"], label)
+        )
+        for label in LABELS
+    ]
+    return reduce(DataFrame.unionByName, scored)
 
 
 @query("stacker_evaluate")
 def stacker_evaluate(spark, folder):
-    train, test = _stacking(spark, folder)
+    """Every base model and the ensemble, judged on the second held-out part."""
+    parts = _stacking(spark, folder)
     tables = []
     for label in LABELS:
-        model = stacking.fit_stacker(_labelled(train, label), _MODELS)
-        table = stacking.evaluate_stacker(model, _labelled(test, label), _MODELS, ENSEMBLE_THRESHOLDS)
+        model = stacking.fit_stacker(_of(parts["ensemble_train"], label), _MODELS)
+        test = _of(parts["test"], label).drop("engagement")
+        table = stacking.evaluate_stacker(model, test, _MODELS, ENSEMBLE_THRESHOLDS)
         tables.append(table.withColumn("engagement", F.lit(label)))
     return reduce(DataFrame.unionByName, tables)
 
 
 @query("stacker_coefficients")
 def stacker_coefficients(spark, folder):
-    train, _ = _stacking(spark, folder)
-    fitted = {e: stacking.fit_stacker(_labelled(train, e), _MODELS) for e in LABELS}
+    train = _stacking(spark, folder)["ensemble_train"]
+    fitted = {e: stacking.fit_stacker(_of(train, e), _MODELS) for e in LABELS}
     return stacking.coefficients(spark, fitted, _MODELS)

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from pyspark.ml.feature import HashingTF
-from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -46,14 +45,15 @@ def hashing_tf_ml(spark, folder):
         "doc_id", text.tokens("text", text.WHITESPACE).alias("tokens")
     )
     hashed = HashingTF(inputCol="tokens", outputCol="tf", numFeatures=1 << 10).transform(documents)
-    cells = hashed.select("doc_id", F.posexplode(vector_to_array("tf")).alias("bucket", "tf"))
-    return cells.filter("tf > 0")
+    sparse = hashed.select("doc_id", F.unwrap_udt("tf").alias("v"))
+    cells = sparse.select("doc_id", F.explode(F.arrays_zip("v.indices", "v.values")).alias("c"))
+    return cells.select("doc_id", F.col("c.indices").alias("bucket"), F.col("c.values").alias("tf"))
 
 
 _VOCABULARY = f"""{TERMS},
 vocabulary AS (SELECT term, count(*) AS df, ln(((SELECT count(*) FROM documents) + 1) / (count(*) + 1)) AS idf,
                       row_number() OVER (ORDER BY sum(tf) DESC, term) - 1 AS term_index
-               FROM counts GROUP BY 1 QUALIFY term_index < {textweights.VOCABULARY_SIZE})"""
+               FROM counts GROUP BY 1)"""
 
 
 @query("idf", f"WITH {_VOCABULARY} SELECT term, term_index, df, round(idf, 9) AS idf FROM vocabulary")
@@ -91,7 +91,7 @@ def _category_sql(column: str) -> str:
 
 
 # Encodings are fitted on one part of the rows and applied to all.
-_PREPARED = f"""{oracle.IMPRESSIONS},
+PREPARED_CATEGORIES = f"""{oracle.IMPRESSIONS},
 prepared AS (
   SELECT row_id, tweet_type, language, coalesce(present_media, 'none') AS present_media,
          CASE WHEN {oracle.key_hash(42, 'row_id')} < {oracle.bound(0.9)} THEN 'train' ELSE 'test' END AS part
@@ -108,14 +108,14 @@ def _prepared(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
 
 @query(
     "category_index",
-    f"""WITH {_PREPARED} SELECT value, n, index FROM indexes WHERE "column" = 'tweet_type'""",
+    f"""WITH {PREPARED_CATEGORIES} SELECT value, n, index FROM indexes WHERE "column" = 'tweet_type'""",
 )
 def category_index(spark, folder):
     _, train = _prepared(spark, folder)
     return encoding.category_index(train, "tweet_type")
 
 
-@query("explain_encoding", f"""WITH {_PREPARED} SELECT "column", value, n, index FROM indexes""")
+@query("explain_encoding", f"""WITH {PREPARED_CATEGORIES} SELECT "column", value, n, index FROM indexes""")
 def explain_encoding(spark, folder):
     _, train = _prepared(spark, folder)
     return encoding.category_indexes(train, CATEGORY_COLUMNS)
@@ -123,7 +123,7 @@ def explain_encoding(spark, folder):
 
 @query(
     "one_hot",
-    f"""WITH {_PREPARED},
+    f"""WITH {PREPARED_CATEGORIES},
         cells AS ({' UNION ALL '.join(
             f"""SELECT row_id, '{c}' AS "column", {c} AS value FROM prepared""" for c in CATEGORY_COLUMNS)})
         SELECT cells.row_id, cells."column", indexes.index, 1.0::DOUBLE AS value
@@ -168,7 +168,7 @@ shown AS (SELECT tweet_id, count(*) AS w FROM train GROUP BY 1),
 vocabulary AS (
   SELECT term, row_number() OVER (ORDER BY sum(tf * w) DESC, term) - 1 AS term_index,
          ln(((SELECT count(*) FROM train) + 1) / (sum(w) + 1)) AS idf
-  FROM counts JOIN shown USING (tweet_id) GROUP BY 1 QUALIFY term_index < {textweights.VOCABULARY_SIZE}),
+  FROM counts JOIN shown USING (tweet_id) GROUP BY 1),
 weighted AS (SELECT tweet_id, term_index, tf * idf AS w FROM counts JOIN vocabulary USING (term)),
 lengths AS (SELECT tweet_id, sqrt(sum(w * w)) AS length FROM weighted GROUP BY 1),
 vectors AS (SELECT tweet_id, term_index, coalesce(w / nullif(length, 0), 0) AS weight

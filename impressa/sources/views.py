@@ -8,7 +8,6 @@ from pyspark.sql import functions as F
 from impressa.functions.hashing import HASH_RANGE, key_hash
 from impressa.functions.labels import with_labels
 from impressa.functions.text import WHITESPACE
-from impressa.operators.joins import hot_keys, spread_join
 from impressa.sources import schemas
 from impressa.sources.readers import read_table
 from impressa.sources.schemas import ITEM, LABELS, USER
@@ -103,12 +102,10 @@ def user_attributes(spark: SparkSession, folder: str) -> DataFrame:
 def attach(shown: DataFrame, items: DataFrame, users: DataFrame) -> DataFrame:
     """Exposures with the attributes of their item and user.
 
-    Frequent items and users are split over many tasks; both are looked for on one column, before
-    anything is attached.
+    Plain joins: small attribute tables are broadcast, and the rows of a frequent item or user are
+    split by the adaptive skew join, so that no job runs before the caller asks for rows.
     """
-    hot = {c: hot_keys(shown, c) for c in (ITEM, USER)}
-    log = spread_join(shown, items, ITEM, "row_id", hot=hot[ITEM])
-    log = spread_join(log, users, USER, "row_id", hot=hot[USER])
+    log = shown.join(items, ITEM).join(users, USER)
     return log.withColumn("engaged_follows_engaging", F.pmod(F.col("row_id"), F.lit(2)) == 0)
 
 

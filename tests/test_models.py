@@ -129,32 +129,94 @@ def test_scores_equal_the_model_and_unknown_ids_score_zero(spark, indexed, monke
     assert split.exceptAll(known).count() == 0 and split.count() == known.count()
 
 
-def test_pairs_without_engagement_do_not_change_the_fit(spark, indexed):
+def test_pairs_without_engagement_are_rated_zero(indexed):
     rows, _ = indexed
-    engaged = recommend.ratings(rows, "like")
-    assert engaged.filter("rating < 1").count() == 0
-    assert engaged.agg(F.sum("rating")).first()[0] == rows.agg(F.sum("like")).first()[0]
+    rated = recommend.ratings(rows, "like")
+    assert rated.count() == rows.select(USER_INDEX, ITEM_INDEX).distinct().count()
+    assert rated.agg(F.sum("rating")).first()[0] == rows.agg(F.sum("like")).first()[0]
 
 
-def test_factorisation_job_covers_every_pair_and_label(spark, indexed, tmp_path):
+def scores(model, rows):
+    pairs = rows.select(USER_INDEX, ITEM_INDEX).distinct()
+    scored = recommend.score_pairs(model, pairs).collect()
+    return {(r[USER_INDEX], r[ITEM_INDEX]): r["prediction"] for r in scored}
+
+
+def test_ids_without_engagement_have_factors_and_change_the_fit(indexed):
+    rows, _ = indexed
+    rows = rows.withColumn("like", F.when(F.col(USER_INDEX) % 2 == 0, F.col("like")).otherwise(0))
+    whole = recommend.fit_implicit(rows, "like", rank=3)
+    engaged = recommend.fit_implicit(rows.filter("like = 1"), "like", rank=3)
+    assert whole.userFactors.count() == rows.select(USER_INDEX).distinct().count()
+    assert engaged.userFactors.count() < whole.userFactors.count()
+    both = rows.filter("like = 1")
+    a, b = scores(whole, both), scores(engaged, both)
+    assert max(abs(a[k] - b[k]) for k in a) > 1e-4
+
+
+def test_scores_do_not_depend_on_the_number_of_partitions(spark, indexed):
+    rows, _ = indexed
+    found, before = [], spark.conf.get("spark.sql.shuffle.partitions")
+    try:
+        for partitions in ("4", "16"):
+            spark.conf.set("spark.sql.shuffle.partitions", partitions)
+            found.append(scores(recommend.fit_implicit(rows, "like", rank=3), rows))
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    assert found[0].keys() == found[1].keys()
+    assert max(abs(found[0][k] - found[1][k]) for k in found[0]) < 1e-4
+
+
+def test_factorisation_job_covers_every_part_pair_and_label(spark, indexed, tmp_path):
     rows, indexes = indexed
     pairs = rows.select(USER_INDEX, ITEM_INDEX).distinct()
-    run = lambda: jobs.factorisation_job(
-        rows, pairs, indexes, rank=3, labels=["like", "reply"], model_folder=str(tmp_path)
+    parts = {"a": pairs.filter(f"{USER_INDEX} % 2 = 0"), "b": pairs}
+    n = parts["a"].count() + pairs.count()
+    run = lambda alpha=10.0: jobs.factorisation_job(
+        rows, parts, indexes, rank=3, alpha=alpha, labels=["like", "reply"], model_folder=str(tmp_path)
     )
     first = run()
-    assert first.count() == 2 * pairs.count()
-    assert first.select(*KEYS, "engagement").distinct().count() == 2 * pairs.count()
-    assert sorted(p.name for p in tmp_path.glob("model*")) == ["model_like_a10_r3", "model_reply_a10_r3"]
+    assert first.count() == 2 * n
+    assert first.select("part", *KEYS, "engagement").distinct().count() == 2 * n
+    names = {jobs.factorisation_name(e, 3, 10.0) for e in ("like", "reply")}
+    assert {p.name for p in tmp_path.glob("als-*")} == names
     assert run().exceptAll(first).count() == 0
     writers.write_by_label(first, str(tmp_path / "out"))
     written = spark.read.option("sep", FIELD_SEPARATOR).csv(str(tmp_path / "out"), header=True)
-    assert written.columns == [ITEM, USER, "prediction", "engagement"]
+    assert {ITEM, USER, "prediction", "engagement"} <= set(written.columns)
     assert written.groupBy("engagement").count().count() == 2 and written.count() == first.count()
     wrong = first.filter((F.col("prediction") >= 0.001).cast("int") != F.col("prediction_bool"))
     assert wrong.count() == 0
 
 
+def test_models_of_other_settings_are_not_reused(indexed, tmp_path):
+    rows, indexes = indexed
+    parts = {"all": rows.select(USER_INDEX, ITEM_INDEX).distinct()}
+    one, other = (
+        {tuple(r[k] for k in KEYS): r["prediction"] for r in jobs.factorisation_job(
+            rows, parts, indexes, rank=3, alpha=alpha, labels=["like"], model_folder=str(tmp_path)
+        ).collect()}
+        for alpha in (1.0, 1.9)
+    )
+    assert one.keys() == other.keys() and any(abs(one[k] - other[k]) > 1e-6 for k in one)
+
+
+def test_tuned_forests_predict_both_parts(spark, log):
+    prepared = features.prepare(log, keep=("row_id",))
+    vectors = features.features(features.fit_features(prepared, 8, 12), prepared, keep=("row_id",)).cache()
+    parts = {"a": vectors.filter("row_id < 40"), "b": vectors.filter("row_id >= 960")}
+    results, predictions = jobs.tuned_forest_job(
+        vectors, parts, ["row_id"], labels=["like", "reply"], trees=(2,), depths=(2, 3), min_rows=(1,), folds=2
+    )
+    assert results.count() == 4 and set(results.columns) >= {"engagement", "areaUnderPR"}
+    counts = {(r["part"], r["engagement"]): r["count"] for r in predictions.groupBy("part", "engagement").count().collect()}
+    assert counts == {(p, e): 40 for p in "ab" for e in ("like", "reply")}
+
+
+def test_the_whole_grid_is_the_default():
+    assert (classify.TREES, classify.DEPTHS, classify.MIN_ROWS, classify.FOLDS) == ((20, 50), (5, 10, 25), (1, 3), 5)
+
+
 def test_split_job_gives_every_test_id_a_train_row(spark, small):
     log = views.interactions(spark, small, "tinyint").drop("value")
     train, test, indexes = jobs.split_job(log, n_test=900)

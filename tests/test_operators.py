@@ -206,7 +206,7 @@ def test_lowest_n_is_exact(spark, n):
 
 
 def test_lowest_n_finds_its_cut_within_one_range(spark, monkeypatch):
-    monkeypatch.setattr(sampling, "_RANGE_BITS", 59)
+    monkeypatch.setattr(sampling, "_STEP_BITS", 1)
     df = spark.range(500)
     _, test = sampling.split_fixed_size(df, 123, 3, "id")
     hashed = sorted((r["h"], r["id"]) for r in df.select(sampling.key_hash(3, "id").alias("h"), "id").collect())
@@ -428,3 +428,51 @@ def test_profile_class_weights(spark):
     )
     built = profiles.profiles(profiles.pair_counts(log), vectors, positive=2.0, negative=0.5)
     assert rows(built, "term_index", "like") == [(0, 2.0), (1, -0.5)]
+
+
+# ---------------------------------------------------------------- bounds that must not cut
+
+
+def test_vocabulary_has_every_term(spark):
+    n = (1 << 18) + 1000
+    counts = spark.range(n).select(
+        (F.col("id") % 100).alias("doc"), F.concat(F.lit("t"), "id").alias("term"), F.lit(1).cast("bigint").alias("tf")
+    )
+    fitted = textweights.fit_vocabulary(counts, spark.range(100).withColumnRenamed("id", "doc"), "doc")
+    assert fitted.count() == n
+    few = textweights.fit_vocabulary(counts, spark.range(100).withColumnRenamed("id", "doc"), "doc", size=7)
+    assert few.count() == 7
+
+
+@pytest.mark.parametrize("n", [0, 1, 250, 999, 1000, 2000])
+def test_exact_samples_with_refined_ranges(spark, n, monkeypatch):
+    monkeypatch.setattr(sampling, "_RANGE_ROWS", 1)
+    monkeypatch.setattr(sampling, "_STEP_BITS", 4)
+    df = spark.range(1000)
+    chosen = df.filter(sampling.lowest_n(df, n, 3, "id"))
+    by_hash = sorted(df.select(sampling.key_hash(3, "id"), "id").collect())
+    assert sorted(r["id"] for r in chosen.collect()) == sorted(i for _, i in by_hash[:n])
+
+
+def jobs_of(spark, build):
+    """Spark jobs that run while a query is built."""
+    spark.sparkContext.setJobGroup("counted", "counted")
+    try:
+        build()
+        return len(spark.sparkContext.statusTracker().getJobIdsForGroup("counted"))
+    finally:
+        spark.sparkContext.setJobGroup("", "")
+
+
+def test_attached_views_run_no_job_and_counted_indexes_round_trip(spark, small):
+    from impressa.sources import views
+
+    # The footers of the three tables are read, and nothing else.
+    assert jobs_of(spark, lambda: views.impressions(spark, small)) <= 3
+    log = views.interactions(spark, small)
+    indexes = {c: ids.dense_id_index(log, c, counted=True) for c in (ITEM, USER)}
+    assert set(indexes[ITEM].columns) == {ITEM, f"{ITEM}_index", "n"}
+    encoded = ids.encode_ids(log.select("row_id", *KEYS), indexes)
+    again = ids.decode_ids(encoded, indexes)
+    assert set(again.columns) == {"row_id", *KEYS}
+    assert again.select("row_id", *KEYS).exceptAll(log.select("row_id", *KEYS)).count() == 0
