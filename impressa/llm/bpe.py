@@ -30,7 +30,7 @@ _SIDE_BY_SIDE = 1 << 14
 _NONE = np.int64(1) << 62
 _ID_BITS = 24
 # Encodings of distinct pieces kept by a worker; beyond it the store starts afresh.
-_KEPT_PIECES = 600_000
+_KEPT_PIECES = 300_000
 
 
 class Vocabulary:

@@ -25,10 +25,11 @@ BUCKETS = 1 << 16
 UNKNOWN = "und"
 # Added to each count, so that an unseen trigram is possible in every language.
 _SMOOTHING = 0.1
-_ROUNDS = 12
+# Rounds of EM for proportions, and those for the order in which languages are tried.
+_ROUNDS, _ORDERING_ROUNDS = 15, 3
 # Elements of the word-by-language table of documents handled at once.
-_TABLE = 1 << 21
-_KEPT_WORDS = 400_000
+_TABLE = 1 << 18
+_KEPT_WORDS = 200_000
 _LETTERS = re.compile(r"[^\W\d_]+")
 
 
@@ -106,21 +107,19 @@ def learn(labelled: DataFrame) -> Model:
 
 
 def mixtures(
-    likelihood: np.ndarray, starts: np.ndarray, allowed: np.ndarray
+    likelihood: np.ndarray, starts: np.ndarray, rounds: int = _ROUNDS
 ) -> tuple[np.ndarray, np.ndarray]:
-    """Proportions of the allowed languages and log likelihood of each document, by EM.
+    """Proportions of the languages (columns) and log likelihood of each document, by EM.
 
     ``likelihood`` has a row per word, scaled by any factor of the word; documents begin at
-    ``starts``; ``allowed`` has a row per document.
+    ``starts``.
     """
     sizes = np.diff(np.append(starts, len(likelihood)))
-    shares = allowed / allowed.sum(axis=1, keepdims=True)
-    for _ in range(_ROUNDS):
+    shares = np.full((len(starts), likelihood.shape[1]), 1 / likelihood.shape[1])
+    for _ in range(rounds):
         joint = likelihood * np.repeat(shares, sizes, axis=0)
         joint /= joint.sum(axis=1, keepdims=True)
         shares = np.add.reduceat(joint, starts, axis=0) / sizes[:, None]
-        shares *= allowed
-        shares /= shares.sum(axis=1, keepdims=True)
     total = (likelihood * np.repeat(shares, sizes, axis=0)).sum(axis=1)
     return shares, np.add.reduceat(np.log(total), starts)
 
@@ -128,32 +127,38 @@ def mixtures(
 def best_mixtures(log_likelihood: np.ndarray, starts: np.ndarray) -> np.ndarray:
     """Proportions of the language set with the best penalised likelihood, for each document.
 
-    Languages join in the order of their proportions among all languages, and each costs half the
-    logarithm of the number of words. A language that does not hold one word is not tried.
+    Languages join in the order of their proportions among all languages, each at the price of half
+    the logarithm of the number of words, as long as that makes the value better. A language that
+    does not hold one word is not tried.
     """
     top = log_likelihood.max(axis=1, keepdims=True)
     likelihood = np.exp(np.maximum(log_likelihood - top, -60.0))
     sizes = np.diff(np.append(starts, len(likelihood)))
-    n_docs, n_langs = len(starts), likelihood.shape[1]
-    everything = np.ones((n_docs, n_langs))
-    shares, _ = mixtures(likelihood, starts, everything)
-    rank = (-shares).argsort(axis=1, kind="stable").argsort(axis=1, kind="stable")
-    best = np.zeros((n_docs, n_langs))
-    best_value = np.full(n_docs, -np.inf)
-    words_of = np.repeat(np.arange(n_docs), sizes)
-    for size in range(1, n_langs + 1):
-        tried = np.flatnonzero((size == 1) | (np.sort(-shares, axis=1)[:, size - 1] * -sizes >= 1.0))
+    first, _ = mixtures(likelihood, starts, _ORDERING_ROUNDS)
+    order = (-first).argsort(axis=1, kind="stable")
+    words_held = np.take_along_axis(first, order, axis=1) * sizes[:, None]
+    price = 0.5 * np.log(sizes + 1.0)
+    best = np.zeros_like(first)
+    np.put_along_axis(best, order[:, :1], 1.0, axis=1)
+    single = likelihood[np.arange(len(likelihood)), np.repeat(order[:, 0], sizes)]
+    best_value = np.add.reduceat(np.log(single), starts) - price
+    better = np.arange(len(starts))
+    for size in range(2, likelihood.shape[1] + 1):
+        tried = better[words_held[better, size - 1] >= 1.0]
         if not len(tried):
             break
-        chosen = np.isin(words_of, tried)
         counts = sizes[tried]
-        part_starts = np.concatenate(([0], counts.cumsum()[:-1]))
-        allowed = (rank[tried] < size).astype(float)
-        part, value = mixtures(likelihood[chosen], part_starts, allowed)
-        value = value - 0.5 * size * np.log(counts + 1.0)
-        better = value > best_value[tried]
-        at = tried[better]
-        best[at], best_value[at] = part[better], value[better]
+        chosen = np.zeros(len(starts), bool)
+        chosen[tried] = True
+        columns = np.repeat(order[tried, :size], counts, axis=0)
+        part = np.take_along_axis(likelihood[np.repeat(chosen, sizes)], columns, axis=1)
+        shares, value = mixtures(part, np.concatenate(([0], counts.cumsum()[:-1])))
+        value = value - size * price[tried]
+        gain = value > best_value[tried]
+        better = tried[gain]
+        best[better] = 0
+        best[better[:, None], order[better, :size]] = shares[gain]
+        best_value[better] = value[gain]
     return best
 
 

@@ -174,7 +174,7 @@ def test_em_gives_the_most_likely_proportions():
     """For two components the likelihood has one maximum, found here by trying all proportions."""
     rng = np.random.RandomState(2)
     table = rng.uniform(0.05, 1, (400, 2))
-    shares, value = language.mixtures(table, np.array([0, 150]), np.ones((2, 2)))
+    shares, value = language.mixtures(table, np.array([0, 150]))
     grid = np.linspace(0.0005, 0.9995, 2000)
     for part, own, reached in ((table[:150], shares[0], value[0]), (table[150:], shares[1], value[1])):
         tried = np.log(part[:, :1] * grid + part[:, 1:] * (1 - grid)).sum(axis=0)
