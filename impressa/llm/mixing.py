@@ -95,9 +95,12 @@ def mix(
     by size. A null doc_id is hashed as an empty string, a null source is a source of its own, and
     documents without words take nothing. Columns other than doc_id and source may have any name.
     """
-    keyed = documents.select(
-        "doc_id", "source", size.cast("bigint").alias("size"),
-        key_hash(seed, F.col("doc_id")).alias("_key"),
+    # Written, so that sampling the ranges and sorting do not read the texts twice.
+    keyed = materialize(
+        documents.select(
+            "doc_id", "source", size.cast("bigint").alias("size"),
+            key_hash(seed, F.col("doc_id")).alias("_key"),
+        )
     )
     order = [F.asc_nulls_last("source"), "_key", F.asc_nulls_first("doc_id"), "size"]
     placed = running_totals(keyed, order, ["size"])
