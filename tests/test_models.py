@@ -14,7 +14,8 @@ from impressa.sources.schemas import FIELD_SEPARATOR, ITEM, KEYS, LABELS, USER
 QUERIES, ORACLES = entry_points.queries(), entry_points.oracle_sql()
 
 
-@pytest.mark.parametrize("name", sorted(set(QUERIES) - set(ORACLES)))
+# Queries of the optional part have tests of their own.
+@pytest.mark.parametrize("name", sorted(set(QUERIES) - set(ORACLES) - set(entry_points.LLM_QUERIES)))
 def test_query_gives_rows(spark, small, name):
     table = QUERIES[name](spark, small).toArrow()
     assert table.num_rows > 0 and len(set(table.column_names)) == table.num_columns
