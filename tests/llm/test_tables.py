@@ -6,7 +6,9 @@ import random
 import zlib
 from collections import Counter
 from hashlib import sha256
+from pathlib import Path
 
+import duckdb
 import pytest
 from pyspark.sql import functions as F
 
@@ -364,6 +366,17 @@ def test_queries_take_tables_with_nulls(spark, tmp_path):
     assert queries.QUERIES["op10_secrets"](spark, folder).count() == 0
 
 
+@pytest.mark.parametrize("name", sorted(queries.ORACLES))
+def test_same_rows_as_duckdb(spark, medium, name):
+    connection = duckdb.connect()
+    for path in Path(medium).glob("*.parquet"):
+        connection.execute(f"CREATE VIEW {path.stem} AS SELECT * FROM read_parquet('{path}')")
+    theirs = connection.sql(queries.ORACLES[name])
+    ours = queries.QUERIES[name](spark, medium).select(*theirs.columns)
+    assert Counter(map(tuple, ours.collect())) == Counter(theirs.fetchall())
+    connection.close()
+
+
 def test_every_operator_has_a_query():
     numbers = {int(name[2:].split("_")[0]) for name in queries.QUERIES}
     assert numbers == set(range(1, 11))
