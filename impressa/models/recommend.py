@@ -59,6 +59,8 @@ def fit_implicit(
 ) -> ALSModel:
     """Implicit-feedback factors of one label.
 
+    An id without any engagement is solved without regularisation, from the factors of the other
+    side alone: there must be at least ``rank`` engaged users and items, else the fit fails.
     ``rated`` are its ratings where they have been written before, for several fits.
     """
     als = ALS(
