@@ -20,9 +20,12 @@ LEAST_SHARE = 0.3
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents written to a good part in a language that the corpus is labelled with."""
-    known = language.identify(docs, language.learn(docs), carry=docs.columns)
+    # Columns travel under other names, so that they may be called like those of the operator.
+    held = {f"_held{i}": c for i, c in enumerate(docs.columns)}
+    renamed = docs.select("text", *[F.col(f"`{c}`").alias(name) for name, c in held.items()])
+    known = language.identify(renamed, language.learn(docs), carry=list(held))
     kept = (F.col("lang_pred") != language.UNKNOWN) & (F.col("score") >= LEAST_SHARE)
-    return known.filter(kept).select(*docs.columns)
+    return known.filter(kept).select(*[F.col(name).alias(c) for name, c in held.items()])
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -346,7 +346,8 @@ def test_run_is_all_stages(spark, small, stages):
 def test_stages_take_nulls_and_empty_tables(spark, small):
     odd = [(None, "the of and that is", None, None, None), (1, None, "en", "a", 0), (2, "", None, None, 1), (2, "", None, None, 1)]
     for rows in (odd, []):
-        docs = spark.createDataFrame(rows, DOCUMENT)
+        clashing = ("score", "lang_pred", "languages", "size", "taken", "kept", "value", "id", "n_tokens")
+        docs = spark.createDataFrame(rows, DOCUMENT).withColumns({c: F.lit("x") for c in clashing})
         for _, stage in corpus_pipeline.STAGES:
             docs = spark.createDataFrame(stage(spark, docs, small).collect(), stage(spark, docs, small).schema)
         assert docs.count() <= len(rows)
