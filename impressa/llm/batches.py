@@ -12,7 +12,7 @@ from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType, _parse_datatype_string
 
 # Texts are handled in pieces of about this many bytes; a longer text is a piece by itself.
-PIECE_BYTES = 4 << 20
+PIECE_BYTES = 2 << 20
 
 
 def pieces(batch: pa.RecordBatch, text: str = "text") -> Iterator[pa.RecordBatch]:

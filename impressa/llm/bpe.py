@@ -26,7 +26,7 @@ from impressa.llm.batches import map_texts
 
 # Pieces up to this many bytes are merged side by side.
 _SHORT = 64
-_SIDE_BY_SIDE = 1 << 14
+_SIDE_BY_SIDE = 1 << 12
 _NONE = np.int64(1) << 62
 _ID_BITS = 24
 # Encodings of distinct pieces kept by a worker; beyond it the store starts afresh.
