@@ -13,18 +13,17 @@ from pyspark.sql import functions as F
 from impressa.llm import bpe, language, minhash, mixing, secret_scan
 from impressa.session import delete_at_end, discard, scratch_path
 
-# A document stays if one learned language has at least this share of it; short texts with numbers
-# and keys among their words may have less than half.
-LEAST_SHARE = 0.3
+# A document goes if more than this share of its words fits none of the learned languages.
+MOST_UNKNOWN = 0.5
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents written to a good part in a language that the corpus is labelled with."""
+    """Documents written mostly in languages that the corpus is labelled with."""
     # Columns travel under other names, so that they may be called like those of the operator.
     held = {f"_held{i}": c for i, c in enumerate(docs.columns)}
     renamed = docs.select("text", *[F.col(f"`{c}`").alias(name) for name, c in held.items()])
     known = language.identify(renamed, language.learn(docs), carry=list(held))
-    kept = (F.col("lang_pred") != language.UNKNOWN) & (F.col("score") >= LEAST_SHARE)
+    kept = (F.col("lang_pred") != language.UNKNOWN) & (F.col("unknown") <= MOST_UNKNOWN)
     return known.filter(kept).select(*[F.col(name).alias(c) for name, c in held.items()])
 
 

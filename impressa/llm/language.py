@@ -63,6 +63,15 @@ class Model:
     languages: tuple[str, ...]
     log_p: np.ndarray
 
+    def unknown_log_p(self) -> np.ndarray:
+        """Log probability that a language outside the model gives each trigram, by language.
+
+        Half way between the mean log probability of a language's own trigrams and that of buckets
+        drawn evenly, so that it needs no other language and no second look at the texts.
+        """
+        own = (np.exp(self.log_p) * self.log_p).sum(axis=0)
+        return (own - np.log(BUCKETS)) / 2
+
 
 def learn(labelled: DataFrame) -> Model:
     """A model of all rows of ``labelled`` (lang, text); null languages and texts are left out.
@@ -162,25 +171,56 @@ def best_mixtures(log_likelihood: np.ndarray, starts: np.ndarray) -> np.ndarray:
     return best
 
 
+def unknown_shares(
+    log_likelihood: np.ndarray, trigrams: np.ndarray, starts: np.ndarray, shares: np.ndarray,
+    unknown_log_p: np.ndarray,
+) -> np.ndarray:
+    """Share of the words of each document that no language of its mixture explains, by EM.
+
+    The mixture, with its ``shares`` held, is one component; a language that gives ``unknown_log_p``
+    to any trigram is the other.
+    """
+    sizes = np.diff(np.append(starts, len(log_likelihood)))
+    top = log_likelihood.max(axis=1)
+    likelihood = np.exp(np.maximum(log_likelihood - top[:, None], -60.0))
+    known = top + np.log((likelihood * np.repeat(shares, sizes, axis=0)).sum(axis=1))
+    outside = np.repeat(shares @ unknown_log_p, sizes) * trigrams
+    ratio = np.exp(np.clip(outside - known, -60.0, 60.0))
+    unknown = np.full(len(starts), 0.5)
+    for _ in range(_ROUNDS):
+        part = np.repeat(unknown, sizes)
+        part = part * ratio / (part * ratio + 1 - part)
+        unknown = np.minimum(np.add.reduceat(part, starts) / sizes, 1.0)
+    return unknown
+
+
 class Identifier:
     """Finds the mixtures of texts, keeping the likelihoods of words seen before."""
 
     def __init__(self, model: Model):
         self.model = model
+        self.unknown_log_p = model.unknown_log_p()
         self.place: dict[str, int] = {}
-        self.rows = np.zeros((0, len(model.languages)))
+        # Log likelihoods of a word by language, and its number of trigrams.
+        self.rows = np.zeros((0, len(model.languages) + 1))
 
     def _learn(self, distinct: list[str]) -> None:
         word, bucket = trigram_buckets(distinct)
         log_p = self.model.log_p[bucket]
-        found = np.add.reduceat(log_p, np.flatnonzero(np.diff(word, prepend=-1)), axis=0)
+        begins = np.flatnonzero(np.diff(word, prepend=-1))
+        found = np.column_stack((np.add.reduceat(log_p, begins, axis=0), np.diff(np.append(begins, len(word)))))
         self.place.update(zip(distinct, range(len(self.place), len(self.place) + len(distinct)), strict=True))
         self.rows = np.concatenate((self.rows, found))
 
     def shares(self, texts: list[str]) -> np.ndarray:
         """Proportions of languages, a row per text; a text without letters has none."""
+        return self.fits(texts)[:, :-1]
+
+    def fits(self, texts: list[str]) -> np.ndarray:
+        """Proportions of languages, then the share of unknown words; 1 for a text without letters."""
         languages = len(self.model.languages)
-        result = np.zeros((len(texts), languages))
+        result = np.zeros((len(texts), languages + 1))
+        result[:, -1] = 1.0
         if not languages:
             return result
         held: list[tuple[int, list[str]]] = []
@@ -208,17 +248,21 @@ class Identifier:
         at = np.fromiter(map(self.place.__getitem__, flat), np.int64, len(flat))
         sizes = [len(found) for _, found in held]
         starts = np.concatenate(([0], np.cumsum(sizes)[:-1]))
-        result[[i for i, _ in held]] = best_mixtures(self.rows[at], starts)
+        log_likelihood, trigrams = self.rows[at, :-1], self.rows[at, -1]
+        shares = best_mixtures(log_likelihood, starts)
+        unknown = unknown_shares(log_likelihood, trigrams, starts, shares, self.unknown_log_p)
+        result[[i for i, _ in held]] = np.column_stack((shares, unknown))
 
 
 def identify(
     documents: DataFrame, model: Model, carry: Sequence[str] = ("doc_id",)
 ) -> DataFrame:
-    """The carried columns, lang_pred, score and languages of every whole text, from the text alone.
+    """The carried columns, lang_pred, score, languages and unknown of whole texts, from these alone.
 
     ``languages`` lists (lang, share) by falling share, ties by name; the first is ``lang_pred`` and
-    its share the score. A null text, a text without letters, and any text where no language was
-    learned have ``und``, score 0 and no languages. Rows are handled one by one, so repeated rows
+    its share the score. ``unknown`` is the share of words that these languages do not explain. A null
+    text, a text without letters, and any text where no language was learned have ``und``, score 0,
+    no languages and unknown 1. Rows are handled one by one, so repeated rows
     and null ids need no care.
     """
 
@@ -226,7 +270,8 @@ def identify(
         identifier = Identifier(model)
 
         def predict(texts: list[str]) -> dict:
-            shares = identifier.shares(texts)
+            fits = identifier.fits(texts)
+            shares = fits[:, :-1]
             order = (-shares).argsort(axis=1, kind="stable")
             found = [
                 [{"lang": model.languages[k], "share": row[k]} for k in by_share if row[k] > 0]
@@ -236,6 +281,7 @@ def identify(
                 "lang_pred": [f[0]["lang"] if f else UNKNOWN for f in found],
                 "score": [min(1.0, f[0]["share"]) if f else 0.0 for f in found],
                 "languages": found,
+                "unknown": fits[:, -1],
             }
 
         return predict
@@ -244,7 +290,8 @@ def identify(
         documents,
         carry,
         prepare,
-        "lang_pred string, score double, languages array<struct<lang: string, share: double>>",
+        "lang_pred string, score double, languages array<struct<lang: string, share: double>>, "
+        "unknown double",
     )
 
 

@@ -300,6 +300,33 @@ def test_language_stage_drops_what_has_no_language(stages):
     assert after.count() >= 0.97 * before.count()
 
 
+FOREIGN = {
+    "pl": "Wszyscy ludzie rodzą się wolni i równi pod względem swej godności i swych praw są oni obdarzeni rozumem",
+    "tr": "Bütün insanlar hür haysiyet ve haklar bakımından eşit doğarlar akıl ve vicdana sahiptirler",
+    "ru": "Все люди рождаются свободными и равными в своем достоинстве и правах они наделены разумом и совестью",
+    "zh": "人人生而自由 在尊严和权利上一律平等 他们赋有理性和良心",
+}
+
+
+def test_language_stage_drops_what_fits_no_learned_language(spark, medium):
+    labelled = spark.read.parquet(f"{medium}/documents.parquet")
+    rng = random.Random(4)
+    gibberish = " ".join("".join(rng.choice("bcdfghjklmnpqrstvwxz") for _ in range(rng.randrange(3, 9))) for _ in range(40))
+    planted = [(-1 - i, t, None, "planted", len(t)) for i, t in enumerate([*FOREIGN.values(), gibberish])]
+    docs = labelled.unionByName(spark.createDataFrame(planted, labelled.schema))
+    kept = {r["doc_id"] for r in corpus_pipeline.language_id(spark, docs, medium).collect()}
+    assert not {row[0] for row in planted} & kept
+    # Whole languages that nobody labelled go as well, the others stay.
+    for lang in ("es", "fr"):
+        unlabelled = F.when(F.col("lang") != lang, F.col("lang")).alias("lang")
+        hidden = labelled.select("doc_id", "text", unlabelled, "source", "n_chars")
+        stayed = corpus_pipeline.language_id(spark, hidden, medium).groupBy("lang").count()
+        before = {r["lang"]: r["count"] for r in hidden.groupBy("lang").count().collect()}
+        after = {r["lang"]: r["count"] for r in stayed.collect()}
+        assert after.get(None, 0) <= 0.05 * before[None]
+        assert all(after[known] >= 0.97 * before[known] for known in before if known)
+
+
 def test_duplicate_stage_keeps_the_smallest_of_each_group(stages):
     before, after = stages[1]
     kept = {r["doc_id"] for r in minhash.near_duplicates(before).collect() if r["kept"]}
