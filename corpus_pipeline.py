@@ -11,10 +11,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from impressa.llm import bpe, language, minhash, mixing, secret_scan
-from impressa.session import delete_at_end, discard, scratch_path
+from impressa.session import delete_at_end, discard, materialize, scratch_path
 
 # A document goes if more than this share of its words fits none of the learned languages.
 MOST_UNKNOWN = 0.5
+# Key of a row within the stage that removes near-duplicates.
+_KEY = "_row_key"
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -28,9 +30,15 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies, that with the smallest doc_id."""
-    gone = minhash.near_duplicates(docs).filter(~F.col("kept")).select("doc_id").distinct()
-    return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
+    """One row of each group of near copies, that with the smallest doc_id.
+
+    Rows are compared by a key of their own, so that repeated rows, rows that share a doc_id and rows
+    without one are each judged by their own text. Keys rise with doc_id, null ids last, then by text.
+    """
+    order = [F.col("doc_id").asc_nulls_last(), F.xxhash64("text")]
+    keyed = materialize(docs.orderBy(*order).withColumn(_KEY, F.monotonically_increasing_id()))
+    found = minhash.near_duplicates(keyed.select(_KEY, "text"), id_column=_KEY)
+    return keyed.join(found.filter(~F.col("kept")).select(_KEY), _KEY, "left_anti").select(*docs.columns)
 
 
 def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

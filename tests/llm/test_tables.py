@@ -333,6 +333,14 @@ def test_duplicate_stage_keeps_the_smallest_of_each_group(stages):
     assert sorted(r["doc_id"] for r in after.collect()) == sorted(kept)
 
 
+def test_duplicate_stage_keeps_one_row_of_each_group(spark, small):
+    one, two, three = ("the first text of all " * 5, "quite another one here " * 5, "a third without any id " * 5)
+    rows = [(5, one), (5, two), (3, two), (7, three), (7, three), (None, three), (None, "x y z"), (None, "x y z"), (9, ""), (9, None)]
+    docs = spark.createDataFrame([(i, t, "en", "a", 1) for i, t in rows], DOCUMENT).repartition(4)
+    kept = [(r["doc_id"], r["text"]) for r in corpus_pipeline.near_duplicates(spark, docs, small).collect()]
+    assert Counter(kept) == Counter([(5, one), (3, two), (7, three), (None, "x y z"), (9, ""), (9, None)])
+
+
 def test_secret_stage_changes_only_secrets(stages):
     before, after = stages[2]
     secrets = {}
