@@ -42,8 +42,8 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents, with secrets in their texts replaced by a mark."""
-    return secret_scan.redact(docs, secret_scan.scan(docs))
+    """All documents, with secrets in their texts replaced by a mark, each row's own only."""
+    return secret_scan.redact_rows(docs)
 
 
 def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

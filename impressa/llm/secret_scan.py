@@ -54,6 +54,9 @@ CANDIDATE = (
 NEIGHBOURHOOD = 40
 # At most so many labelled findings of either label, by hash of the finding, train a forest.
 TRAINING_FINDINGS = 20_000
+# Values of at least so many characters are secret wherever the same text repeats them.
+COPIED = 8
+_KEY = "_row_key"
 
 FEATURES = (
     "length", "digits", "uppers", "distinct", "transitions", "dictionary", "path_signs", "dots",
@@ -223,18 +226,19 @@ def classify(found: DataFrame, model: PipelineModel | None) -> DataFrame:
     ).drop("_features", "_raw", "_probability", "_class")
 
 
-def scan(documents: DataFrame, labelled: DataFrame | None = None) -> DataFrame:
+def scan(documents: DataFrame, labelled: DataFrame | None = None, key: str = "doc_id") -> DataFrame:
     """(doc_id, kind, value, start, length, probability, is_secret) of all findings.
 
-    ``documents`` has (doc_id, text) and may have more columns; texts are searched whole. The forest
+    ``documents`` has (doc_id, text) and may have more columns; ``key`` names another column than
+    doc_id to tell findings by, here and in the result. Texts are searched whole. The forest
     is trained on ``labelled``, findings with features and a 0/1 label, or else on the findings of
     these documents that speak for themselves. Repeated rows give repeated findings; null and empty
     texts and an empty table give none; a null doc_id stays null.
     """
-    found = materialize(with_silver_label(with_features(candidates(documents.select("doc_id", "text")))))
+    found = materialize(with_silver_label(with_features(candidates(documents.select(F.col(key).alias("doc_id"), "text")))))
     model = train(found if labelled is None else labelled)
     return classify(found, model).select(
-        "doc_id",
+        F.col("doc_id").alias(key),
         "kind",
         "value",
         "start",
@@ -248,7 +252,8 @@ def redact(documents: DataFrame, findings: DataFrame, mark: str = "<secret>") ->
     """``documents`` with the values of secrets replaced by ``mark``; other columns as they are.
 
     Secrets are gathered per document, distinct values only, and longer ones are replaced first.
-    Rows that share a doc_id, and those without one, lose the secrets of all of them.
+    Rows that share a doc_id, and those without one, lose the secrets of all of them; where ids may
+    be shared or missing, use :func:`redact_rows`.
     """
     secrets = (
         findings.filter("is_secret")
@@ -267,3 +272,34 @@ def redact(documents: DataFrame, findings: DataFrame, mark: str = "<secret>") ->
     )
     text = F.when(F.col("_values").isNull(), F.col("text")).otherwise(cleaned)
     return joined.select(*[text.alias(c) if c == "text" else F.col(c) for c in documents.columns])
+
+
+def redact_rows(documents: DataFrame, mark: str = "<secret>") -> DataFrame:
+    """``documents`` scanned and with the secrets of each row replaced by ``mark`` in that row only.
+
+    Rows get a key of their own by being written, so ids may be missing or shared and no group is
+    larger than the findings of one text. Findings are replaced where they are, from the last to the
+    first; then other copies of their values in the same text, if not shorter than ``COPIED``.
+    """
+    keyed = materialize(documents.withColumn(_KEY, F.monotonically_increasing_id()))
+    secrets = (
+        scan(keyed, key=_KEY)
+        .filter("is_secret")
+        .groupBy(_KEY)
+        .agg(F.collect_set(F.struct("start", "length", "value")).alias("_spans"))
+    )
+    text = F.aggregate(
+        F.reverse(F.array_sort("_spans")),
+        F.col("text"),
+        lambda t, s: F.concat(
+            F.substring(t, F.lit(1), s["start"].cast("int")),
+            F.lit(mark),
+            F.substring(t, (s["start"] + s["length"] + 1).cast("int"), F.length(t)),
+        ),
+    )
+    values = F.array_distinct(F.transform("_spans", lambda s: F.struct(s["length"].alias("n"), s["value"].alias("v"))))
+    copied = F.reverse(F.array_sort(F.filter(values, lambda v: v["n"] >= COPIED)))
+    text = F.aggregate(copied, text, lambda t, s: F.replace(t, s["v"], F.lit(mark)))
+    text = F.when(F.col("_spans").isNull(), F.col("text")).otherwise(text)
+    joined = keyed.join(secrets, _KEY, "left")
+    return joined.select(*[text.alias(c) if c == "text" else F.col(c) for c in documents.columns])

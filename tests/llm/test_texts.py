@@ -283,3 +283,13 @@ def test_longer_secrets_are_redacted_first(spark):
     df = spark.createDataFrame([(1, "abcdef123 abc")], "doc_id bigint, text string")
     found = spark.createDataFrame([(1, "abc", True), (1, "abcdef123", True)], "doc_id bigint, value string, is_secret boolean")
     assert secret_scan.redact(df, found).first()["text"] == "<secret> <secret>"
+
+
+def test_rows_lose_their_own_secrets_only(spark):
+    docs = [(None, "password=ab12cd34ef é"), (None, "the commit ab12cd34ef, é"), (7, "é token=zy98xw76vu then zy98xw76vu"), (7, "see zy98xw76vu"), (8, None)]
+    df = spark.createDataFrame(docs, "doc_id bigint, text string").withColumns({"value": F.lit(1), "start": F.lit(2)})
+    cleaned = secret_scan.redact_rows(df)
+    assert cleaned.columns == df.columns
+    assert sorted(((r["doc_id"], r["text"]) for r in cleaned.collect()), key=str) == sorted([
+        (None, "password=<secret> é"), docs[1], (7, "é token=<secret> then <secret>"), docs[3], docs[4]
+    ], key=str)
