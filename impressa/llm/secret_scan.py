@@ -1,6 +1,6 @@
 """Secrets in texts: candidates by pattern, false positives removed by a random forest.
 
-Patterns raise every key, assignment and long token that could be a secret. Features describe the
+Patterns raise every key, password in a URL, assignment and long token that could be a secret. Features describe the
 candidate (length, character transitions, dictionary coverage, signs of a path) and the words
 around it. A forest trained on labelled findings decides which ones are secrets. All of it is
 column expressions and the ML library's own trees.
@@ -18,10 +18,14 @@ from pyspark.sql import functions as F
 from impressa.session import materialize
 
 # Formats of keys.
-PRIVATE_KEY = r"-----BEGIN [A-Z ]*PRIVATE KEY-----[A-Za-z0-9+/=\s]+-----END [A-Z ]*PRIVATE KEY-----"
+# The body of a private key goes to the next five dashes, with headers and written-out line ends.
+PRIVATE_KEY = (
+    r"-----BEGIN [A-Z0-9 ]*PRIVATE KEY(?: BLOCK)?-----(?>[\s\S]*?-----)"
+    r"END [A-Z0-9 ]*PRIVATE KEY(?: BLOCK)?-----"
+)
 CLOUD_KEY = r"(?:AKIA|ASIA)[A-Z0-9]{16}"
 PREFIXED_KEY = (
-    r"(?:gh[pousr]_[A-Za-z0-9]{36}|sk_live_[A-Za-z0-9]{16,}|AIza[A-Za-z0-9_-]{35}"
+    r"(?:gh[pousr]_[A-Za-z0-9]{36,}|sk_live_[A-Za-z0-9]{16,}|AIza[A-Za-z0-9_-]{35}"
     r"|xox[abprs]-[A-Za-z0-9-]{10,}|eyJ[A-Za-z0-9_-]+\.[A-Za-z0-9_-]+\.[A-Za-z0-9_-]+)"
 )
 CREDENTIAL_WORDS = (
@@ -44,12 +48,24 @@ DICTIONARY = (
 )
 _TOKEN = "A-Za-z0-9+/=_.@:~%-"
 _NAMED = "|".join(CREDENTIAL_WORDS)
-ASSIGNMENT = rf"(?i:{_NAMED})[\"']?\s{{0,3}}[:=]\s{{0,3}}[\"']?([^\s\"'<>]{{8,}})"
-CANDIDATE = (
-    rf"{PRIVATE_KEY}|(?<![A-Za-z0-9]){CLOUD_KEY}(?![A-Za-z0-9])"
-    rf"|(?<![A-Za-z0-9])(?i:{_NAMED})[\"']?\s{{0,3}}[:=]\s{{0,3}}[\"']?[^\s\"'<>]{{8,}}"
-    rf"|(?<![{_TOKEN}])(?=[A-Za-z+/=_.@:~%-]*[0-9])[{_TOKEN}]{{12,}}"
+# Patterns with a lead before the value, which is one of the groups that follow.
+URL_CREDENTIAL = r"(://[^\s/:@\"'<>]*:)([^\s/\"'<>]+)@"
+ASSIGNMENT = (
+    rf"((?i:{_NAMED})[A-Za-z0-9_-]{{0,20}}(?:\\?[\"'])?\s{{0,3}}(?::=|=>|={{1,3}}|:)\s{{0,3}})"
+    r"(?:\"([^\"\n]{8,})\"|'([^'\n]{8,})'|(?:\\?[\"'])?([^\s\"'<>]{8,}))"
 )
+# Searched one after the other, each in what the earlier ones have left.
+KINDS = {
+    "private_key": PRIVATE_KEY,
+    "cloud_key": rf"(?<![A-Za-z0-9]){CLOUD_KEY}(?![A-Za-z0-9])",
+    "prefixed_key": rf"(?<![A-Za-z0-9]){PREFIXED_KEY}",
+    "url_credential": URL_CREDENTIAL,
+    "assignment": ASSIGNMENT,
+    "token": rf"(?<![{_TOKEN}])(?=[A-Za-z+/=_.@:~%-]*[0-9])[{_TOKEN}]{{12,}}",
+}
+FIXED_FORMATS = ("private_key", "cloud_key", "prefixed_key")
+# Stands for characters that are taken; no pattern but that of private keys goes over it.
+_TAKEN = "\n"
 # Characters before and after a candidate that count as its neighbourhood.
 NEIGHBOURHOOD = 40
 # At most so many labelled findings of either label, by hash of the finding, train a forest.
@@ -60,73 +76,84 @@ _KEY = "_row_key"
 
 FEATURES = (
     "length", "digits", "uppers", "distinct", "transitions", "dictionary", "path_signs", "dots",
-    "at_sign", "credential_word", "harmless_word", "assigned", "quoted", "words_around",
+    "at_sign", "credential_word", "harmless_word", "assigned", "quoted", "words_around", "known_format",
 )
 
 
+def _piece(match: Column, at: Column) -> Column:
+    """A match with the length of the text before it, and its neighbourhood."""
+    return F.struct(
+        at.alias("at"),
+        match.alias("match"),
+        F.length(F.col("_gaps")[at]).alias("gap"),
+        F.right(F.col("_gaps")[at], F.lit(NEIGHBOURHOOD)).alias("before"),
+        F.left(F.col("_gaps")[at + 1], F.lit(NEIGHBOURHOOD)).alias("after"),
+    )
+
+
 def candidates(documents: DataFrame) -> DataFrame:
     """(doc_id, kind, value, start, before, after): every possible secret, positions from 0.
 
-    A row per match in a whole text; null texts have none. ``start`` counts code points. The pieces
-    between matches tell where each match lies; their lengths are added up per text.
+    A row per match in a whole text; null texts have none. ``start`` counts code points. Kinds are
+    searched one after the other, the matches of earlier ones blanked out by as many characters, so
+    that no match hides or cuts one of a stronger kind and none overlap. The pieces between matches
+    tell where each match lies; their lengths are added up per text and kind.
     """
     found = documents.select(
-        "doc_id", "text", F.regexp_extract_all("text", F.lit(CANDIDATE), F.lit(0)).alias("_found")
-    ).filter(F.size("_found") > 0)
-    gaps = F.transform(
-        F.split("text", CANDIDATE, -1),
-        lambda g: F.struct(
-            F.length(g).alias("length"),
-            F.right(g, F.lit(NEIGHBOURHOOD)).alias("end"),
-            F.left(g, F.lit(NEIGHBOURHOOD)).alias("begin"),
-        ),
-    )
-    pieces = found.select(
-        F.monotonically_increasing_id().alias("_row"), "doc_id", "_found", gaps.alias("_gaps")
-    ).select(
-        "_row",
-        "doc_id",
-        F.posexplode(
-            F.transform(
-                "_found",
-                lambda m, i: F.struct(
-                    m.alias("match"),
-                    F.col("_gaps")[i]["length"].alias("gap"),
-                    F.col("_gaps")[i]["end"].alias("before"),
-                    F.col("_gaps")[i + 1]["begin"].alias("after"),
-                ),
-            )
-        ).alias("_at", "_piece"),
+        F.monotonically_increasing_id().alias("_row"), "doc_id", F.col("text").alias("_left")
     )
+    for kind, pattern in KINDS.items():
+        # Steps of their own, so that no pattern is searched more often than it is written here.
+        found = found.withColumn("_found", F.regexp_extract_all("_left", F.lit(pattern), F.lit(0)))
+        some = F.size("_found") > 0
+        found = found.withColumn("_gaps", F.when(some, F.split("_left", pattern, -1)))
+        blanked = F.zip_with(
+            "_gaps",
+            "_found",
+            lambda g, m: F.concat(g, F.coalesce(F.repeat(F.lit(_TAKEN), F.length(m)), F.lit(""))),
+        )
+        found = found.withColumns(
+            {
+                f"_{kind}": F.when(some, F.transform("_found", _piece)),
+                "_left": F.when(some, F.array_join(blanked, "")).otherwise(F.col("_left")),
+            }
+        )
+    by_kind = F.array(*[F.struct(F.lit(k).alias("kind"), F.col(f"_{k}").alias("pieces")) for k in KINDS])
+    # A filter, also one that explode() implies, would be moved down and search the texts again.
+    held = F.filter(by_kind, lambda k: k["pieces"].isNotNull())
+    pieces = found.select("_row", "doc_id", F.explode_outer(held).alias("_kind"))
+    pieces = pieces.select("_row", "doc_id", "_kind.kind", F.explode("_kind.pieces").alias("_piece"))
     # Row numbers are fixed by writing them, before rows are shuffled by them.
-    pieces = materialize(pieces.select("_row", "doc_id", "_at", "_piece.*"))
-    upto = Window.partitionBy("_row").orderBy("_at").rowsBetween(Window.unboundedPreceding, 0)
+    pieces = materialize(pieces.select("_row", "doc_id", "kind", "_piece.*"))
+    upto = Window.partitionBy("_row", "kind").orderBy("at").rowsBetween(Window.unboundedPreceding, 0)
     start = F.sum(F.col("gap") + F.length("match")).over(upto) - F.length("match")
-    assigned = F.regexp_extract("match", ASSIGNMENT, 1)
-    trimmed = F.regexp_replace("match", r"[.:,;~%-]+$", "")
-    kind = (
-        F.when(F.col("match").startswith("-----BEGIN"), "private_key")
-        .when(F.col("match").rlike(f"^{CLOUD_KEY}$"), "cloud_key")
-        .when(assigned != "", "assignment")
-        .when(trimmed.rlike(f"^{PREFIXED_KEY}$"), "prefixed_key")
-        .otherwise("token")
-    )
+    kind, match = F.col("kind"), F.col("match")
+    group = lambda pattern, i: F.regexp_extract(match, pattern, i)
+    bare = F.regexp_replace(group(ASSIGNMENT, 4), r"[.,;:)\]}]+$", "")
     value = (
-        F.when(F.col("kind") == "assignment", F.regexp_replace(assigned, r"[.,;:)\]}]+$", ""))
-        .when(F.col("kind") == "private_key", F.col("match"))
-        .otherwise(trimmed)
+        F.when(kind.isin(*FIXED_FORMATS), match)
+        .when(kind == "url_credential", group(URL_CREDENTIAL, 2))
+        .when(kind == "assignment", F.concat(group(ASSIGNMENT, 2), group(ASSIGNMENT, 3), bare))
+        .otherwise(F.regexp_replace(match, r"[.:,;~%-]+$", ""))
+    )
+    lead = (
+        F.when(kind == "url_credential", group(URL_CREDENTIAL, 1))
+        .when(kind == "assignment", group(ASSIGNMENT, 1))
+        .otherwise(F.lit(""))
+    )
+    located = pieces.withColumns({"_start": start, "value": value, "_lead": F.length(lead)})
+    located = located.filter(F.col("value") != "").withColumn(
+        "_within",
+        F.col("_lead") + F.instr(F.substring(match, F.col("_lead") + 1, F.length(match)), F.col("value")) - 1,
     )
-    located = pieces.withColumn("_start", start).withColumn("kind", kind).withColumn("value", value)
-    within = F.instr(F.col("match"), F.col("value")) - 1
     return located.select(
         "doc_id",
         "kind",
         "value",
-        (F.col("_start") + F.greatest(within, F.lit(0))).cast("bigint").alias("start"),
-        F.concat("before", F.substring(F.col("match"), F.lit(1), F.greatest(within, F.lit(0)))).alias("before"),
+        (F.col("_start") + F.col("_within")).cast("bigint").alias("start"),
+        F.concat("before", F.substring(match, F.lit(1), F.col("_within"))).alias("before"),
         F.concat(
-            F.substring(F.col("match"), F.greatest(within, F.lit(0)) + F.length("value") + 1, F.length("match")),
-            F.col("after"),
+            F.substring(match, F.col("_within") + F.length("value") + 1, F.length(match)), F.col("after")
         ).alias("after"),
     )
 
@@ -157,6 +184,7 @@ def with_features(found: DataFrame) -> DataFrame:
         "harmless_word": F.concat(before, F.lit(" "), after).rlike(
             rf"\b(?:{'|'.join(HARMLESS_WORDS)})"
         ),
+        "known_format": F.col("kind").isin(*FIXED_FORMATS, "url_credential"),
         "assigned": before.rlike(r"[:=]\s*[\"']?$"),
         "quoted": before.rlike(r"[\"']$") & after.rlike(r"^[\"']"),
         "words_around": F.size(F.regexp_extract_all(F.concat(before, F.lit(" "), after), F.lit(r"\p{L}{2,}"), F.lit(0))),
@@ -167,22 +195,24 @@ def with_features(found: DataFrame) -> DataFrame:
 def with_silver_label(found: DataFrame) -> DataFrame:
     """Add ``label`` where a finding speaks for itself: 1 a secret, 0 none, null undecided.
 
-    Keys with a format of their own, and credentials assigned to a value of letters and digits, are
-    secrets. Addresses, plain numbers, links, paths, dates, file names and placeholders are none.
+    Keys with a format of their own, passwords in URLs other than placeholders, and credentials
+    assigned to a value of letters and digits, are secrets. Addresses, plain numbers, links, paths, dates, file names and placeholders are none.
     """
     value = F.col("value")
+    placeholder = value.rlike(r"(?i)example|placeholder|changeme|xxxx|dummy|your")
     harmless = (
         value.rlike(r"^[^@\s]+@[^@\s]+\.[A-Za-z]{2,}$")
         | value.rlike(r"^[0-9+.:/=_%-]+$")
         | value.rlike(r"(?i)^(?:https?|ftp)://|^www\.|://")
         | value.rlike(r"^[~.]*/|/[^/]+/")
         | value.rlike(r"(?i)\.(?:html?|php|jpe?g|png|gif|pdf|txt|csv|js|css|com|org|net)$")
-        | value.rlike(r"(?i)example|placeholder|changeme|xxxx|dummy|your")
+        | placeholder
         | value.rlike(r"^[a-z]+(?:[-_.][a-z]+)*[0-9]{0,4}$")
     )
     mixed = value.rlike("[0-9]") & value.rlike("[A-Za-z]")
     label = (
-        F.when(F.col("kind").isin("private_key", "cloud_key", "prefixed_key"), 1.0)
+        F.when(F.col("kind").isin(*FIXED_FORMATS), 1.0)
+        .when((F.col("kind") == "url_credential") & ~placeholder, 1.0)
         .when(harmless, 0.0)
         .when((F.col("kind") == "assignment") & mixed, 1.0)
     )
