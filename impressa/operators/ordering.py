@@ -25,12 +25,13 @@ def _laid_out(df: DataFrame, order_by: Sequence[str | Column]) -> DataFrame:
     ).drop("_row")
 
 
-def _before(parts: DataFrame, names: Sequence[str]) -> DataFrame:
+def _before(parts: DataFrame, names: Sequence[str], xors: Sequence[str] = ()) -> DataFrame:
     """Totals of all earlier parts. One row per part, so the unpartitioned window stays small."""
     earlier = Window.orderBy(_PART).rowsBetween(Window.unboundedPreceding, -1)
+    totals = [(name, F.sum(name)) for name in names] + [(name, F.bit_xor(name)) for name in xors]
     return parts.select(
         F.col(_PART),
-        *[F.coalesce(F.sum(name).over(earlier), F.lit(0)).alias(f"_before_{name}") for name in names],
+        *[F.coalesce(total.over(earlier), F.lit(0)).alias(f"_before_{name}") for name, total in totals],
     )
 
 
@@ -50,22 +51,35 @@ def number_rows(
 
 
 def running_totals(
-    df: DataFrame, order_by: Sequence[str | Column], values: Sequence[str]
+    df: DataFrame,
+    order_by: Sequence[str | Column],
+    values: Sequence[str],
+    xors: Sequence[str] = (),
 ) -> DataFrame:
     """Add ``cum_<value>``, the inclusive running total of each value column.
 
+    ``xors`` names integer columns that are combined by exclusive or in place of a sum; they cannot
+    overflow, and the value between two rows is the exclusive or of their totals.
+
     Aggregate to one row per order key first, so that a frequent key cannot fill a partition.
     """
     rows = _laid_out(df, order_by)
-    totals = rows.groupBy(_PART).agg(*[F.sum(v).alias(v) for v in values])
-    offsets = _before(totals, values)
+    totals = rows.groupBy(_PART).agg(
+        *[F.sum(v).alias(v) for v in values], *[F.bit_xor(v).alias(v) for v in xors]
+    )
+    offsets = _before(totals, values, xors)
     within = (
         Window.partitionBy(_PART).orderBy(_POSITION).rowsBetween(Window.unboundedPreceding, 0)
     )
-    summed = rows.select("*", *[F.sum(v).over(within).alias(f"_within_{v}") for v in values])
+    summed = rows.select(
+        "*",
+        *[F.sum(v).over(within).alias(f"_within_{v}") for v in values],
+        *[F.bit_xor(v).over(within).alias(f"_within_{v}") for v in xors],
+    )
     return summed.join(F.broadcast(offsets), _PART).select(
         *df.columns,
         *[(F.col(f"_before_{v}") + F.col(f"_within_{v}")).alias(f"cum_{v}") for v in values],
+        *[F.col(f"_before_{v}").bitwiseXOR(F.col(f"_within_{v}")).alias(f"cum_{v}") for v in xors],
     )
 
 

@@ -53,6 +53,16 @@ def test_running_totals_over_many_partitions(spark):
         assert (r["cum_a"], r["cum_b"]) == (a, b)
 
 
+def test_running_totals_by_exclusive_or(spark):
+    rng = random.Random(2)
+    data = [(i, rng.randint(0, 9), rng.getrandbits(62)) for i in range(2000)]
+    df = spark.createDataFrame(data, "k int, a int, x bigint").repartition(7)
+    a = x = 0
+    for r in sorted(ordering.running_totals(df, ["k"], ["a"], ["x"]).collect()):
+        a, x = a + r["a"], x ^ r["x"]
+        assert (r["cum_a"], r["cum_x"]) == (a, x)
+
+
 def test_top_k_limits_groups_before_the_shuffle(spark):
     df = spark.range(1000).select((F.col("id") % 3).alias("g"), F.col("id").alias("v"))
     top = ordering.top_k(df, "g", [F.desc("v")], 2)
