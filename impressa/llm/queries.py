@@ -8,7 +8,19 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from impressa.llm import bpe, language, minhash, mixing, piecewise, prefixes, secret_scan, sharding, topk, warc
+from impressa.llm import (
+    bpe,
+    language,
+    minhash,
+    mixing,
+    negatives,
+    piecewise,
+    prefixes,
+    secret_scan,
+    sharding,
+    topk,
+    warc,
+)
 from impressa.session import delete_at_end, materialize, scratch_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -238,3 +250,40 @@ def op10_secrets(spark: SparkSession, folder: str) -> DataFrame:
     return found.filter("is_secret").select(
         "doc_id", "kind", "start", "length", F.sha2("value", 256).alias("value_sha256"), "probability"
     )
+
+
+# ---------------------------------------------------------------- 13 hard negatives
+
+
+@query(
+    "op13_hard_negatives",
+    """
+    WITH ints AS (
+      SELECT row_number() OVER () AS row, vec_id,
+             (CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END) AS label,
+             list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS v
+      FROM embeddings
+      WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+        AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+    scored AS (
+      SELECT a.row, a.vec_id AS anchor_id, c.vec_id, a.label = c.label AS same,
+             list_inner_product(a.v, c.v)::BIGINT AS score
+      FROM ints a JOIN ints c ON a.vec_id <> c.vec_id AND len(a.v) = len(c.v)
+      WHERE a.vec_id % 50 = 0),
+    positives AS (
+      SELECT * FROM (
+        SELECT *, row_number() OVER (PARTITION BY row ORDER BY score DESC, vec_id) AS place
+        FROM scored WHERE same) WHERE place <= 5),
+    ranked AS (
+      SELECT p.anchor_id, p.vec_id AS positive_id, n.vec_id AS negative_id,
+             p.score AS positive_score, n.score AS negative_score,
+             row_number() OVER (PARTITION BY p.row, p.place ORDER BY n.score DESC, n.vec_id)::INTEGER AS rank
+      FROM positives p JOIN scored n ON p.row = n.row AND NOT n.same
+       AND 50 * p.score <= 100 * n.score AND 100 * n.score <= 95 * p.score)
+    SELECT anchor_id, positive_id, rank, negative_id, positive_score, negative_score
+    FROM ranked WHERE rank <= 3""",
+)
+def op13_hard_negatives(spark: SparkSession, folder: str) -> DataFrame:
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    rows = negatives.integer_rows(table(spark, folder, "embeddings"), "vec_id", "embedding", moved)
+    return negatives.hard_negatives(rows, F.col("id") % 50 == 0)
