@@ -19,6 +19,7 @@ from impressa.llm import (
     secret_scan,
     sharding,
     topk,
+    toxicity,
     warc,
 )
 from impressa.session import delete_at_end, materialize, scratch_path
@@ -252,6 +253,23 @@ def op10_secrets(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+# ---------------------------------------------------------------- 12 toxicity
+
+TOXIC_SCORE = 0.3
+
+
+@query("op12_toxicity")
+def op12_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    """Learned from the labelled documents whose id's CRC-32 does not leave remainder 2 by 4."""
+    documents = table(spark, folder, "documents")
+    held_out = toxicity.fold("doc_id") == 2
+    model = toxicity.learn(documents.filter(~held_out).select("doc_id", "text"), table(spark, folder, "labels"))
+    scored = toxicity.score(documents, model, ["doc_id"])
+    return scored.select(
+        "doc_id", held_out.alias("held_out"), "score", (F.col("score") >= TOXIC_SCORE).cast("int").alias("predicted")
+    )
+
+
 # ---------------------------------------------------------------- 13 hard negatives
 
 
