@@ -20,6 +20,7 @@ from impressa.llm import (
     sharding,
     topk,
     toxicity,
+    trie,
     warc,
 )
 from impressa.session import delete_at_end, materialize, scratch_path
@@ -253,6 +254,62 @@ def op10_secrets(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+# ---------------------------------------------------------------- 11 conversation trie
+
+
+@query(
+    "op11_trie",
+    r"""
+    WITH RECURSIVE ordered AS (
+      SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS text,
+             row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST,
+               sha256(length(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, ''))) AS position
+      FROM conversations WHERE conv_id IS NOT NULL),
+    convs AS (
+      SELECT conv_id,
+             list_reduce(list_concat([4294967295::BIGINT],
+               flatten(list_transform(string_split(conv_id::VARCHAR, ''),
+                 lambda c: [ascii(c)::BIGINT, -1, -1, -1, -1, -1, -1, -1, -1]))),
+               lambda s, e: CASE WHEN e >= 0 THEN xor(s, e)
+                                 WHEN s % 2 = 1 THEN xor(s // 2, 3988292384) ELSE s // 2 END) AS inverse
+      FROM (SELECT DISTINCT conv_id FROM ordered)),
+    taken AS (SELECT conv_id, conv_id - conv_id % 100 AS base, xor(inverse, 4294967295) % 6 AS h FROM convs),
+    sequences AS (
+      SELECT t.conv_id,
+             list_concat(
+               coalesce((SELECT list({'role': role, 'text': text} ORDER BY position)
+                         FROM ordered o WHERE o.conv_id = t.base AND position <= h), []),
+               coalesce((SELECT list({'role': role, 'text': text} ORDER BY position)
+                         FROM ordered o WHERE o.conv_id = t.conv_id AND position > h), [])) AS path
+      FROM taken t),
+    members AS (
+      SELECT conv_id, d AS depth, len(path) = d AS ends, path[:d] AS path
+      FROM (SELECT *, unnest(range(len(path) + 1)) AS d FROM sequences)),
+    nodes AS (
+      SELECT depth, path, min(conv_id) AS conv_id, count(*) AS n_convs,
+             sha256(coalesce(string_agg(CASE WHEN ends THEN conv_id::VARCHAR END, ',' ORDER BY conv_id), ''))
+               AS ends_sha256
+      FROM members GROUP BY depth, path),
+    kids AS (
+      SELECT n.depth, n.path, count(k.depth) AS n_children
+      FROM nodes n LEFT JOIN nodes k ON k.depth = n.depth + 1 AND k.path[:n.depth] = n.path GROUP BY 1, 2),
+    below AS (
+      SELECT n.depth, n.path, count(*) FILTER (WHERE k.n_children = 0) AS n_leaves,
+             sum((u.n_convs - 1) * coalesce(length(u.path[-1].text), 0)) AS saved_tokens
+      FROM nodes n JOIN nodes u ON u.depth >= n.depth AND u.path[:n.depth] = n.path
+      JOIN kids k ON k.depth = u.depth AND k.path = u.path GROUP BY 1, 2)
+    SELECT n.conv_id, n.depth::BIGINT AS depth, p.conv_id AS parent_conv_id, n.n_convs::BIGINT AS n_convs,
+           k.n_children::BIGINT AS n_children, b.n_leaves::BIGINT AS n_leaves,
+           b.saved_tokens::BIGINT AS saved_tokens, n.ends_sha256
+    FROM nodes n JOIN kids k ON k.depth = n.depth AND k.path = n.path
+    JOIN below b ON b.depth = n.depth AND b.path = n.path
+    LEFT JOIN nodes p ON p.depth = n.depth - 1 AND p.path = n.path[:n.depth - 1]""",
+)
+def op11_trie(spark: SparkSession, folder: str) -> DataFrame:
+    conversations, turns = trie.rebuilt(trie.ordered_turns(table(spark, folder, "conversations")))
+    return trie.prefix_trie(conversations, turns)
+
+
 # ---------------------------------------------------------------- 12 toxicity
 
 TOXIC_SCORE = 0.3
