@@ -15,9 +15,11 @@ from __future__ import annotations
 
 import math
 import re
+from collections import Counter
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 from functools import reduce
+from itertools import chain
 from operator import add
 
 import numpy as np
@@ -39,7 +41,7 @@ FIT_TASKS = 4
 # Beginnings of words of these lengths are entries besides whole words.
 _BEGINNINGS = (4, 5, 6)
 # Entries need so many documents, and a likelihood ratio that about so many reach by chance.
-_LEAST_DOCUMENTS, _BY_CHANCE = 3, 10
+_LEAST_DOCUMENTS, _BY_CHANCE = 3, 3
 # The strength of an entry is its share of toxic documents, shrunk towards the share of all documents
 # as if it had been seen in so many more; tiers of the lexicon begin at these strengths.
 _PRIOR_DOCUMENTS = 8.0
@@ -60,11 +62,6 @@ DISGUISES = str.maketrans("013457@$!|", "oieastasil")
 _WORD = re.compile(r"[^\W\d_]+(?:[0-9@$!*|]+[^\W\d_]+)*")
 _MIXED = re.compile(r"[0-9@$!*|]")
 _RUN = re.compile(r"(.)\1{2,}")
-_SPACED = re.compile(r"\b(?:\w[ .\-_]){3,}\w\b")
-_MARKS = re.compile(r"[!?]")
-_MARK_RUNS = re.compile(r"[!?]{2,}")
-_SIGNS = re.compile(r"[^\w\s]")
-_CAPITALS = re.compile(r"\b[^\W\d_a-zà-öø-ÿ]{3,}\b")
 
 FEATURES = (
     *[f"density_{i}" for i in range(len(_TIERS))],
@@ -81,7 +78,7 @@ def fold(id_column: str, folds: int = 4) -> Column:
 
 def plain(word: str) -> str:
     """A lower-case word without disguise: signs as the letters they stand for, runs shortened."""
-    if _MIXED.search(word):
+    if not word.isalpha() and _MIXED.search(word):
         word = word.translate(DISGUISES)
     return _RUN.sub(r"\1", word)
 
@@ -96,29 +93,37 @@ def entries(word: str) -> list[str]:
 
 def _count_entries(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """(entry, half, toxic, documents) of a task, given out whenever the store is full."""
+    # By half: documents with an entry, and toxic ones.
+    store = [(Counter(), Counter()) for _ in range(2)]
+    known: dict[str, list[str]] = {}
+
+    def out() -> Iterator[pa.RecordBatch]:
+        for half, (documents, toxic) in enumerate(store):
+            arrays = [
+                pa.array(list(documents), pa.string()),
+                pa.array([half] * len(documents), pa.int32()),
+                pa.array([toxic[e] for e in documents], pa.int64()),
+                pa.array(documents.values(), pa.int64()),
+            ]
+            yield pa.RecordBatch.from_arrays(arrays, names=["entry", "half", "toxic", "documents"])
+            documents.clear()
+            toxic.clear()
 
-    def out(store: dict) -> pa.RecordBatch:
-        keys = list(store)
-        arrays = [
-            pa.array([k[0] for k in keys]), pa.array([k[1] for k in keys], pa.int32()),
-            pa.array([v[1] for v in store.values()], pa.int64()), pa.array([v[0] for v in store.values()], pa.int64()),
-        ]
-        return pa.RecordBatch.from_arrays(arrays, names=["entry", "half", "toxic", "documents"])
-
-    store: dict[tuple[str, int], list[int]] = {}
     for batch in batches:
         for piece in pieces(batch):
             rows = zip(*(piece[c].to_pylist() for c in ("text", "half", "toxic")), strict=True)
             for text, half, toxic in rows:
-                found = {e for w in set(_WORD.findall((text or "").lower())) for e in entries(plain(w))}
-                for entry in found:
-                    counts = store.setdefault((entry, half), [0, 0])
-                    counts[0] += 1
-                    counts[1] += toxic
-                if len(store) > _KEPT_TERMS:
-                    yield out(store)
-                    store = {}
-    yield out(store)
+                words = set(_WORD.findall((text or "").lower()))
+                if len(known) > _KEPT_WORDS:
+                    known.clear()
+                known.update((w, entries(plain(w))) for w in words.difference(known))
+                found = set(chain.from_iterable(map(known.__getitem__, words)))
+                store[half][0].update(found)
+                if toxic:
+                    store[half][1].update(found)
+            if sum(len(documents) for documents, _ in store) > _KEPT_TERMS:
+                yield from out()
+    yield from out()
 
 
 def _ratio(toxic: Column, documents: Column, share: Column) -> Column:
@@ -194,63 +199,91 @@ def learn_lexicons(labelled: DataFrame) -> Lexicons:
 # ---------------------------------------------------------------- features
 
 
+def _runs(mask: np.ndarray, least: int) -> int:
+    """How many runs of at least so many true values there are."""
+    edges = np.flatnonzero(np.diff(np.concatenate(([0], mask.view(np.int8), [0]))))
+    return int((edges[1::2] - edges[::2] >= least).sum())
+
+
 class Describer:
     """Turns texts into feature rows by one lexicon, keeping what it found out about words."""
 
     def __init__(self, lexicon: dict[str, float]):
         self.lexicon = lexicon
-        self.words: dict[str, tuple[float, bool, bool]] = {}
-
-    def _word(self, word: str) -> tuple[float, bool, bool]:
-        """Strength of a word, whether it is an address, whether it is disguised."""
-        known = self.words.get(word)
-        if known is None:
+        self.place: dict[str, int] = {}
+        # Strength of a word, whether it is an address, whether it is disguised.
+        self.facts = np.zeros((0, 3))
+
+    def _learn(self, words: list[str]) -> None:
+        new = set(words).difference(self.place)
+        if not new:
+            return
+        if len(self.place) + len(new) > _KEPT_WORDS:
+            self.place, self.facts = {}, self.facts[:0]
+            new = set(words)
+        strength = self.lexicon.get
+        rows = []
+        for word in new:
             clear = plain(word)
-            strength = max((self.lexicon.get(e, 0.0) for e in entries(clear)), default=0.0)
-            known = (strength, word in ADDRESSES, clear != word)
-            if len(self.words) >= _KEPT_WORDS:
-                self.words.clear()
-            self.words[word] = known
-        return known
+            rows.append((max(strength(e, 0.0) for e in entries(clear)), word in ADDRESSES, clear != word))
+        self.place.update(zip(new, range(len(self.place), len(self.place) + len(new)), strict=True))
+        if len(self.place) > len(self.facts):
+            # Room for twice as many, so that rows are copied seldom.
+            grown = np.zeros((max(4096, 2 * len(self.place)), 3))
+            grown[: len(self.facts)] = self.facts
+            self.facts = grown
+        self.facts[len(self.place) - len(new) : len(self.place)] = rows
 
     def describe(self, text: str) -> list[float]:
         """The numbers of ``FEATURES``; zeros for a text without words."""
-        low = text.lower()
-        found = _WORD.findall(low)
+        found = _WORD.findall(text.lower())
         if not found:
             return [0.0] * len(FEATURES)
-        facts = np.array([self._word(w) for w in found], np.float64).reshape(-1, 3)
+        self._learn(found)
+        facts = self.facts[np.fromiter(map(self.place.__getitem__, found), np.int64, len(found))]
         strength, address, disguised = facts[:, 0], facts[:, 1] > 0, facts[:, 2] > 0
-        n, letters = len(found), max(1, len(text))
+        n, letters = len(found), len(text)
         hits = np.flatnonzero(strength)
-        matched = {found[i]: strength[i] for i in hits}
-        tiers = [(strength >= t).sum() / n for t in _TIERS]
-        kinds = [sum(s >= t for s in matched.values()) / n**0.5 for t in _TIERS]
+        tiers = kinds = [0.0] * len(_TIERS)
         near = 0.0
-        if len(hits) and address.any():
-            reach = np.convolve(address, np.ones(2 * _NEAR + 1), "same")[:n] if n > 2 * _NEAR else address.any()
-            near = float(np.sum((reach * np.ones(n))[hits] > 0)) / n
+        if len(hits):
+            matched = np.array(list({found[i]: strength[i] for i in hits}.values()))
+            tiers = [(strength >= t).sum() / n for t in _TIERS]
+            kinds = [(matched >= t).sum() / n**0.5 for t in _TIERS]
+            spoken = np.flatnonzero(address)
+            if len(spoken):
+                after = np.searchsorted(spoken, hits)
+                gaps = np.minimum(
+                    np.abs(spoken[np.minimum(after, len(spoken) - 1)] - hits), np.abs(hits - spoken[np.maximum(after - 1, 0)])
+                )
+                near = float((gaps <= _NEAR).sum()) / n
+        points = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)
+        capital = ((points >= 65) & (points <= 90)) | ((points >= 0xC0) & (points <= 0xDE) & (points != 0xD7))
+        mark = (points == 33) | (points == 63)
+        letter = (points >= 97) | ((points >= 65) & (points <= 90))
+        same = (points[1:] == points[:-1]) & letter[1:]
+        signs = ((points > 32) & (points < 127) & ~letter & ~((points >= 48) & (points <= 57))).sum()
+        single = np.fromiter(map(len, found), np.int64, n) == 1
         return [
             *tiers, *kinds,
             float(strength.max()), float(strength.sum()) / n,
             address.mean(), near,
-            sum(map(str.isupper, text)) / letters if low != text else 0.0,
-            len(_CAPITALS.findall(text)) / n,
-            len(_MARKS.findall(text)) / n, len(_MARK_RUNS.findall(text)) / n, len(_SIGNS.findall(text)) / letters,
+            capital.sum() / letters, _runs(capital, 3) / n,
+            mark.sum() / n, _runs(mark, 2) / n, signs / letters,
             disguised.mean(), float((disguised & (strength > 0)).sum()) / n,
-            len(_RUN.findall(low)) / n, len(_SPACED.findall(text)) / n,
+            _runs(same, 2) / n, _runs(single, 4) / n,
             float(np.log1p(n)),
         ]
 
 
-def features(documents: DataFrame, lexicons: tuple[dict[str, float], ...], carry: list[str]) -> DataFrame:
-    """The carried columns of every row and ``described``: a feature array by each of the lexicons."""
+def features(documents: DataFrame, lexicon: dict[str, float], carry: list[str]) -> DataFrame:
+    """The carried columns of every row and its feature array ``numbers``."""
 
     def prepare() -> Callable[[list[str]], dict]:
-        describers = [Describer(lexicon) for lexicon in lexicons]
-        return lambda texts: {"described": [[d.describe(t) for d in describers] for t in texts]}
+        describer = Describer(lexicon)
+        return lambda texts: {"numbers": [describer.describe(t) for t in texts]}
 
-    return map_texts(documents, carry, prepare, "described array<array<double>>")
+    return map_texts(documents, carry, prepare, "numbers array<double>")
 
 
 # ---------------------------------------------------------------- model
@@ -294,7 +327,8 @@ def learn(documents: DataFrame, labels: DataFrame, id_column: str = "doc_id") ->
     digest = F.xxhash64("id", F.lit(SEED))
     labelled = materialize(
         documents.select(F.col(id_column).alias("id"), "text")
-        .join(known, "id")
+        # Labels grow with the documents: the join is a shuffled one at every size.
+        .join(known.hint("merge"), "id")
         .select(
             "id", "text", "toxic",
             F.pmod(digest, F.lit(2)).cast("int").alias("half"),
@@ -306,13 +340,13 @@ def learn(documents: DataFrame, labels: DataFrame, id_column: str = "doc_id") ->
     lexicons = learn_lexicons(labelled)
     if base in (0.0, 1.0):
         return Model({}, None, None, base)
-    described = features(labelled, lexicons.halves, ["id", "toxic", "half", "calibrates"])
     # Each half by the lexicon of the other.
+    halves = [
+        features(labelled.filter(F.col("half") == h), lexicons.halves[1 - h], ["id", "toxic", "calibrates"])
+        for h in (0, 1)
+    ]
     rows = materialize(
-        described.select(
-            "id", F.col("toxic").cast("double").alias("label"), "calibrates",
-            F.when(F.col("half") == 0, F.col("described")[1]).otherwise(F.col("described")[0]).alias("numbers"),
-        )
+        halves[0].unionByName(halves[1]).withColumn("label", F.col("toxic").cast("double"))
     )
     # Bounded and narrow, so that few tasks serve the many passes of the trees.
     fitted = materialize(_at_most(rows.filter(~F.col("calibrates")), TREE_ROWS, F.col("id")).coalesce(FIT_TASKS))
@@ -341,8 +375,7 @@ def score(documents: DataFrame, model: Model, carry: list[str]) -> DataFrame:
         return documents.select(*[F.col(f"`{c}`") for c in carry], F.lit(model.base).alias("score"))
     inner = {f"_held{i}": c for i, c in enumerate(carry)}
     renamed = documents.select("text", *[F.col(f"`{c}`").alias(n) for n, c in inner.items()])
-    rows = features(renamed, (model.lexicon,), list(inner)).withColumn("numbers", F.col("described")[0])
-    scored = _margin(model.trees, rows)
+    scored = _margin(model.trees, features(renamed, model.lexicon, list(inner)))
     if model.calibration is None:
         result = 1 / (1 + F.exp(-2 * F.col("margin")))
     else:
