@@ -40,8 +40,8 @@ LEXICON = 5_000
 FIT_TASKS = 4
 # Beginnings of words of these lengths are entries besides whole words.
 _BEGINNINGS = (4, 5, 6)
-# Entries need so many documents, and a likelihood ratio that about so many reach by chance.
-_LEAST_DOCUMENTS, _BY_CHANCE = 3, 3
+# Entries need so many documents, and a likelihood ratio that so many are expected to reach by chance.
+_LEAST_DOCUMENTS, _BY_CHANCE = 3, 1
 # The strength of an entry is its share of toxic documents, shrunk towards the share of all documents
 # as if it had been seen in so many more; tiers of the lexicon begin at these strengths.
 _PRIOR_DOCUMENTS = 8.0
@@ -351,11 +351,14 @@ def learn(documents: DataFrame, labels: DataFrame, id_column: str = "doc_id") ->
     # Bounded and narrow, so that few tasks serve the many passes of the trees.
     fitted = materialize(_at_most(rows.filter(~F.col("calibrates")), TREE_ROWS, F.col("id")).coalesce(FIT_TASKS))
     apart = _at_most(rows.filter(F.col("calibrates")), CALIBRATION_ROWS, F.col("id"))
-    if fitted.select("label").distinct().count() < 2:
+    size = fitted.agg(F.count("*").alias("rows"), F.count_distinct("label").alias("labels")).first()
+    if size["labels"] < 2:
         return Model(lexicons.whole, None, None, base)
+    # Leaves hold a hundredth of the rows at least: labels are wrong now and then, and a smaller leaf would
+    # learn those.
     booster = GBTClassifier(
         featuresCol="features", labelCol="label", maxIter=20, maxDepth=3, stepSize=0.3, seed=SEED,
-        minInstancesPerNode=3,
+        minInstancesPerNode=max(3, size["rows"] // 100),
     )
     trees = booster.fit(fitted.withColumn("features", array_to_vector("numbers")))
     judged = materialize(_margin(trees, apart).select("label", "margin"))
