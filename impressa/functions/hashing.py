@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 HASH_RANGE = 1 << 60
@@ -21,3 +21,18 @@ def fraction_bound(fraction: float) -> int:
 
 def _as_string(key: Column | str) -> Column:
     return (F.col(key) if isinstance(key, str) else key).cast("string")
+
+
+def table_checksum(df: DataFrame) -> str:
+    """A name for the content of a table: its columns and rows in any order, repeated rows counted.
+
+    Two independent 64-bit sums over the rows; one aggregate, no shuffle of rows.
+    """
+    names = sorted(df.columns)
+    rows = [F.xxhash64(F.lit(seed), *[F.col(f"`{c}`") for c in names]) for seed in (1, 2)]
+    half = 1 << 32
+    parts = [(F.pmod(h, F.lit(half)), F.shiftright(h, 32)) for h in rows]
+    sums = [F.coalesce(F.sum(p), F.lit(0)) for pair in parts for p in pair]
+    counts = df.agg(F.count("*").alias("n"), *[c.alias(f"s{i}") for i, c in enumerate(sums)])
+    kinds = F.lit(",".join(f"{c} {df.schema[c].dataType.simpleString()}" for c in names))
+    return counts.select(F.md5(F.concat_ws(":", kinds, *counts.columns)).alias("name")).first()["name"]

@@ -2,16 +2,18 @@
 
 from __future__ import annotations
 
-from functools import reduce
+from functools import partial, reduce
 
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from impressa.models import classify, features, jobs, recommend, stacking
+from impressa.models import features, grid, jobs, recommend, stacking
 from impressa.models.recommend import ITEM_INDEX, USER_INDEX
-from impressa.operators import aggregates, ids, sampling
+from impressa.models.retrieval import best_by_factors
+from impressa.operators import aggregates, evaluation, ids, sampling
+from impressa.operators.joins import join_predictions
 from impressa.plans import oracle
 from impressa.plans.registry import query
 from impressa.plans.scoring import ENSEMBLE_THRESHOLDS, GRID_THRESHOLDS
@@ -132,24 +134,19 @@ def rf_job(spark, folder):
     return reduce(DataFrame.unionByName, parts)
 
 
-# The whole grid (the job's default) takes 240 fits with trees up to 25 levels deep, over 15 minutes
-# for 9,000 rows here; the registered queries search this one for every label.
-_GRID = {"trees": (5,), "depths": (2, 5), "min_rows": (1, 3), "folds": 3}
-
-
 @query("rf_grid_search")
 def rf_grid_search(spark, folder):
-    """A row per label and setting."""
+    """The whole grid in all folds: a row per label and setting."""
     train, _ = _forest_rows(spark, folder)
-    results, _ = jobs.tuned_forest_job(train, {}, ["row_id"], **_GRID)
+    results, _ = jobs.tuned_forest_job(train, {}, ["row_id"])
     return results
 
 
 @query("rf_tuned_job")
 def rf_tuned_job(spark, folder):
-    """Both held-out parts, all labels, by the best forest of the grid."""
+    """Both held-out parts, all labels, by the best forest of the whole grid."""
     train, test = _forest_rows(spark, folder)
-    _, predictions = jobs.tuned_forest_job(train, _held_out(test), ["row_id"], **_GRID)
+    _, predictions = jobs.tuned_forest_job(train, _held_out(test), ["row_id"])
     return predictions
 
 
@@ -246,35 +243,40 @@ def als_explicit(spark, folder):
     return aggregates.rmse(scored, "rating", "prediction")
 
 
+def _topk(spark: SparkSession, folder: str, key: str, subset: bool):
+    """The 10 best partners of users or items, of all or of those in the test part."""
+    train, test = _explicit(spark, folder)
+    model = recommend.fit_explicit(train, "user", "item", "rating")
+    sides = {"user": model.userFactors, "item": model.itemFactors}
+    other = "item" if key == "user" else "user"
+    wanted = sides[key]
+    if subset:
+        wanted = wanted.join(test.select(F.col(key).alias("id")).distinct(), "id", "left_semi")
+    found = best_by_factors(wanted, sides[other], 10)
+    return found.select(
+        F.col("query").cast("int").alias(key), F.col("item").cast("int").alias(other), "score", "rank"
+    )
+
+
 @query("als_topk_users")
 def als_topk_users(spark, folder):
-    train, _ = _explicit(spark, folder)
-    model = recommend.fit_explicit(train, "user", "item", "rating")
-    return recommend.recommendations(model.recommendForAllUsers(10), "user", "item")
+    return _topk(spark, folder, "user", subset=False)
 
 
 @query("als_topk_items")
 def als_topk_items(spark, folder):
-    train, _ = _explicit(spark, folder)
-    model = recommend.fit_explicit(train, "user", "item", "rating")
-    return recommend.recommendations(model.recommendForAllItems(10), "item", "user")
+    return _topk(spark, folder, "item", subset=False)
 
 
 @query("als_topk_user_subset")
 def als_topk_user_subset(spark, folder):
-    train, test = _explicit(spark, folder)
-    model = recommend.fit_explicit(train, "user", "item", "rating")
-    # Users that bought something in the test part.
-    nested = model.recommendForUserSubset(test.select("user").distinct(), 10)
-    return recommend.recommendations(nested, "user", "item")
+    """Users that bought something in the test part."""
+    return _topk(spark, folder, "user", subset=True)
 
 
 @query("als_topk_item_subset")
 def als_topk_item_subset(spark, folder):
-    train, test = _explicit(spark, folder)
-    model = recommend.fit_explicit(train, "user", "item", "rating")
-    nested = model.recommendForItemSubset(test.select("item").distinct(), 10)
-    return recommend.recommendations(nested, "item", "user")
+    return _topk(spark, folder, "item", subset=True)
 
 
 @query("neural_cf_predict")
@@ -293,52 +295,63 @@ def neural_cf_predict(spark, folder):
 # ---------------------------------------------------------------- stacker
 
 _MODELS = ["mf", "rf", "nncf"]
-# Scores of the base models by application and folder: written once for the queries that stack them.
-_base_scores: dict[tuple[str, str], dict[str, DataFrame]] = {}
+# What the jobs fit: rank and alpha of the factorisation, rank of the factors below the net.
+_RANK, _ALPHA, _NET_RANK = 50, 10.0, 8
+_UNTUNED = grid.Setting(trees=20, depth=5, min_rows=1)
+
+
+def _base_scores(
+    train: DataFrame, pairs: dict[str, DataFrame], forest, vectors: dict[str, DataFrame], label: str
+) -> dict[str, DataFrame]:
+    """Scores of the three models of one label on each part, joined with the label."""
+    factors = recommend.fit_implicit(train, label, rank=_RANK, alpha=_ALPHA)
+    below = recommend.fit_implicit(train, label, rank=_NET_RANK)
+    net = jobs.fit_net(below, train, label)
+    joined = {}
+    for name, wanted in pairs.items():
+        named = wanted.select(USER_INDEX, ITEM_INDEX, *KEYS)
+        mf = recommend.score_pairs(factors, named)
+        nncf = recommend.neural_scores(net, recommend.factor_features(below, named))
+        rf = writers.class_predictions(forest.transform(vectors[name]))
+        tables = {
+            "mf": mf.withColumnRenamed("prediction", "mf"),
+            "rf": rf.withColumnRenamed("positive_probability", "rf"),
+            "nncf": nncf.withColumnRenamed("prediction", "nncf"),
+        }
+        labels = wanted.select(*KEYS, F.col(label).alias("label"))
+        rows = stacking.stacking_rows(tables, labels).withColumn("engagement", F.lit(label))
+        joined[name] = materialize(rows)
+    return joined
 
 
-def _stacking(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
+def _stacking(spark: SparkSession, folder: str, tuned: bool = False) -> dict[str, DataFrame]:
     """Pairs of both held-out parts with the scores of three models fitted on the train part.
 
-    (user, item, engagement, mf, rf, nncf, label), a row per pair and label.
+    (user, item, engagement, mf, rf, nncf, label), a row per pair and label. The models are those of the
+    jobs, the forest with the best setting of the whole grid if ``tuned``. Labels are fitted side by side.
     """
-    key = (spark.sparkContext.applicationId, folder)
-    if key not in _base_scores:
-        train, test, indexes = _indexed(spark, folder)
-        vectors, held_vectors = _forest_rows(spark, folder)
-        held, vector_parts = _held_out(test), _held_out(held_vectors)
-        rows = {name: [] for name in held}
-        pairs = {
-            name: materialize(
-                ids.decode_ids(
-                    part.groupBy(USER_INDEX, ITEM_INDEX).agg(*[F.max(e).alias(e) for e in LABELS]),
-                    indexes,
-                    keep_index=True,
-                )
+    train, test, indexes = _indexed(spark, folder)
+    vectors, held_vectors = _forest_rows(spark, folder)
+    vector_parts = _held_out(held_vectors)
+    pairs = {
+        name: materialize(
+            ids.decode_ids(
+                part.groupBy(USER_INDEX, ITEM_INDEX).agg(*[F.max(e).alias(e) for e in LABELS]),
+                indexes,
+                keep_index=True,
             )
-            for name, part in held.items()
-        }
-        for label in LABELS:
-            factors = recommend.fit_implicit(train, label)
-            forest = classify.fit_forest(vectors, label)
-            net = jobs.fit_net(factors, train, label)
-            for name, wanted in pairs.items():
-                named = wanted.select(USER_INDEX, ITEM_INDEX, *KEYS)
-                mf = recommend.score_pairs(factors, named)
-                nncf = recommend.neural_scores(net, recommend.factor_features(factors, named))
-                rf = writers.class_predictions(forest.transform(vector_parts[name]))
-                tables = {
-                    "mf": mf.withColumnRenamed("prediction", "mf"),
-                    "rf": rf.withColumnRenamed("positive_probability", "rf"),
-                    "nncf": nncf.withColumnRenamed("prediction", "nncf"),
-                }
-                labels = wanted.select(*KEYS, F.col(label).alias("label"))
-                joined = stacking.stacking_rows(tables, labels)
-                rows[name].append(joined.withColumn("engagement", F.lit(label)))
-        _base_scores[key] = {
-            name: materialize(reduce(DataFrame.unionByName, parts)) for name, parts in rows.items()
-        }
-    return _base_scores[key]
+        )
+        for name, part in _held_out(test).items()
+    }
+    train = materialize(train)
+    settings = dict.fromkeys(LABELS, _UNTUNED)
+    if tuned:
+        settings = grid.best_settings(grid.search(vectors, LABELS, ["row_id"]))
+    forests = jobs.fit_forests(vectors, settings)
+    fitted = jobs.side_by_side(
+        spark, {e: partial(_base_scores, train, pairs, forests[e], vector_parts, e) for e in LABELS}
+    )
+    return {name: reduce(DataFrame.unionByName, [fitted[e][name] for e in LABELS]) for name in pairs}
 
 
 def _of(rows: DataFrame, label: str) -> DataFrame:
@@ -367,30 +380,75 @@ def stacker_single(spark, folder):
 def stacker_fit(spark, folder):
     """Ensemble scores of the second held-out part."""
     parts = _stacking(spark, folder)
-    scored = [
-        stacking.stacked_scores(
-            stacking.fit_stacker(_of(parts["ensemble_train"], label), _MODELS), _of(parts["test"], label)
-        )
-        for label in LABELS
+    return stacking.stack(parts["test"], stacking.fit_stackers(parts["ensemble_train"], _MODELS), _MODELS)
+
+
+def _judged(parts: dict[str, DataFrame]) -> DataFrame:
+    """Every base model and the ensemble, judged on the second held-out part."""
+    stackers = stacking.fit_stackers(parts["ensemble_train"], _MODELS)
+    scored = materialize(stacking.stack(parts["test"], stackers, _MODELS))
+    scores = {name: name for name in _MODELS} | {"Ensemble": "prediction"}
+    tables = [
+        evaluation.evaluation_table(_of(scored, e), "label", scores, ENSEMBLE_THRESHOLDS).withColumn("engagement", F.lit(e))
+        for e in LABELS
     ]
-    return reduce(DataFrame.unionByName, scored)
+    return reduce(DataFrame.unionByName, tables)
 
 
 @query("stacker_evaluate")
 def stacker_evaluate(spark, folder):
-    """Every base model and the ensemble, judged on the second held-out part."""
-    parts = _stacking(spark, folder)
-    tables = []
-    for label in LABELS:
-        model = stacking.fit_stacker(_of(parts["ensemble_train"], label), _MODELS)
-        test = _of(parts["test"], label).drop("engagement")
-        table = stacking.evaluate_stacker(model, test, _MODELS, ENSEMBLE_THRESHOLDS)
-        tables.append(table.withColumn("engagement", F.lit(label)))
-    return reduce(DataFrame.unionByName, tables)
+    return _judged(_stacking(spark, folder))
+
+
+@query("stacker_job")
+def stacker_job(spark, folder):
+    """As ``stacker_evaluate``, over the forests that the whole grid chooses."""
+    return _judged(_stacking(spark, folder, tuned=True))
 
 
 @query("stacker_coefficients")
 def stacker_coefficients(spark, folder):
     train = _stacking(spark, folder)["ensemble_train"]
-    fitted = {e: stacking.fit_stacker(_of(train, e), _MODELS) for e in LABELS}
-    return stacking.coefficients(spark, fitted, _MODELS)
+    return stacking.weights(stacking.fit_stackers(train, _MODELS), _MODELS)
+
+
+@query(
+    "stacker_equations",
+    f"""WITH {oracle.MODEL_SCORES}, {oracle.INTERACTIONS},
+        labels AS (SELECT engaging_user_id, tweet_id, engagement, max(y) AS y
+                   FROM (UNPIVOT (SELECT engaging_user_id, tweet_id, "like", reply, retweet, retweet_with_comment
+                                  FROM interactions)
+                         ON "like", reply, retweet, retweet_with_comment INTO NAME engagement VALUE y) GROUP BY ALL),
+        joined AS (SELECT engagement, mf, rf, nncf, y FROM mf JOIN rf USING (engaging_user_id, tweet_id)
+                   JOIN nncf USING (engaging_user_id, tweet_id) JOIN labels USING (engaging_user_id, tweet_id)),
+        scaled AS (
+          SELECT engagement, y,
+                 (mf - min(mf) OVER e) / (max(mf) OVER e - min(mf) OVER e) AS a,
+                 (rf - min(rf) OVER e) / (max(rf) OVER e - min(rf) OVER e) AS b,
+                 (nncf - min(nncf) OVER e) / (max(nncf) OVER e - min(nncf) OVER e) AS c
+          FROM joined WINDOW e AS (PARTITION BY engagement)),
+        m AS (
+          SELECT engagement, avg(y) AS y0, avg(a) AS a0, avg(b) AS b0, avg(c) AS c0,
+                 var_pop(a) AS aa, var_pop(b) AS bb, var_pop(c) AS cc, covar_pop(a, b) AS ab,
+                 covar_pop(a, c) AS ac, covar_pop(b, c) AS bc,
+                 covar_pop(a, y) AS ay, covar_pop(b, y) AS by_, covar_pop(c, y) AS cy
+          FROM scaled GROUP BY engagement),
+        solved AS (
+          SELECT *, aa * (bb * cc - bc * bc) - ab * (ab * cc - bc * ac) + ac * (ab * bc - bb * ac) AS det,
+                 ay * (bb * cc - bc * bc) - ab * (by_ * cc - bc * cy) + ac * (by_ * bc - bb * cy) AS da,
+                 aa * (by_ * cc - bc * cy) - ay * (ab * cc - bc * ac) + ac * (ab * cy - by_ * ac) AS db,
+                 aa * (bb * cy - by_ * bc) - ab * (ab * cy - by_ * ac) + ay * (ab * bc - bb * ac) AS dc
+          FROM m)
+        SELECT engagement, round(da / det, 6) AS mf, round(db / det, 6) AS rf, round(dc / det, 6) AS nncf,
+               round(y0 - (da * a0 + db * b0 + dc * c0) / det, 6) AS intercept
+        FROM solved""",
+)
+def stacker_equations(spark, folder):
+    """Stackers of all labels over given score tables."""
+    log = views.interactions(spark, folder).groupBy(*KEYS).agg(*[F.max(e).alias(e) for e in LABELS])
+    long = log.select(*KEYS, F.explode(F.array(*[
+        F.struct(F.lit(e).alias("engagement"), F.col(e).alias("label")) for e in LABELS
+    ])).alias("of")).select(*KEYS, "of.*")
+    joined = join_predictions(views.model_scores(spark, folder), list(KEYS)).join(long, list(KEYS))
+    stackers = stacking.fit_stackers(joined, _MODELS)
+    return writers.rounded(stacking.weights(stackers, _MODELS), 6)

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from impressa.operators import ids
+from impressa.operators.joins import join_labels, join_predictions
 from impressa.plans import oracle
 from impressa.plans.registry import query
 from impressa.session import delete_at_end, materialize, scratch_path
@@ -100,22 +101,27 @@ def id_list_round_trip(spark, folder):
 @query(
     "predictions_round_trip",
     f"""WITH {oracle.INTERACTIONS}
-        SELECT engaging_user_id, tweet_id, 'like' AS engagement, value / 500 AS score, "like"::TINYINT AS label
-        FROM (SELECT *, count(*) OVER (PARTITION BY engaging_user_id, tweet_id) AS n FROM interactions) WHERE n = 1""",
+        SELECT engaging_user_id, tweet_id, 'like' AS engagement, round(avg(value / 500), 9) AS score,
+               max("like")::TINYINT AS label
+        FROM interactions GROUP BY 1, 2""",
 )
 def predictions_round_trip(spark, folder):
-    """Scores written by engagement and labels written with a header, read back and joined."""
-    log = views.scored_interactions(spark, folder)
-    single = materialize(log.join(log.groupBy(*KEYS).count().filter("count = 1").drop("count"), KEYS))
+    """Scores written by engagement and labels written with a header, read back and joined.
+
+    Every impression is written. Repeated pairs have their scores averaged; a pair is engaged if one of
+    its impressions is.
+    """
+    log = materialize(views.scored_interactions(spark, folder))
     scores, labels = scratch_path(spark), scratch_path(spark)
-    scored = single.select(*KEYS, F.col("score").alias("prediction"), F.lit("like").alias("engagement"))
+    scored = log.select(*KEYS, F.col("score").alias("prediction"), F.lit("like").alias("engagement"))
     writers.write_by_label(scored, scores)
-    writers.write_delimited(single.select(*KEYS, "like"), labels)
+    writers.write_delimited(log.select(*KEYS, "like"), labels)
     for path in (scores, labels):
         delete_at_end(spark, path)
     read = readers.read_predictions(spark, {"score": f"{scores}/engagement=like"}, {"score": "\x01"})["score"]
-    joined = read.join(readers.read_labels(spark, labels, "like"), KEYS)
-    return joined.withColumn("engagement", F.lit("like"))
+    reduced = readers.read_labels(spark, labels, "like").groupBy(*KEYS).agg(F.max("label").alias("label"))
+    joined = join_labels(join_predictions({"score": read}, KEYS), reduced, KEYS)
+    return joined.select(*KEYS, F.lit("like").alias("engagement"), F.round("score", 9).alias("score"), "label")
 
 
 @query(

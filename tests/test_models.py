@@ -1,13 +1,20 @@
 """Invariants of fitted models, and the queries without oracle SQL."""
 
+import random
+
 import pytest
+from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.ml.functions import vector_to_array
+from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
 from pyspark.sql import functions as F
 
 import __spark_entry__ as entry_points
-from impressa.models import classify, features, jobs, recommend, stacking
+from impressa.functions.hashing import table_checksum
+from impressa.models import classify, features, grid, jobs, recommend, retrieval, stacking
 from impressa.models.recommend import ITEM_INDEX, USER_INDEX
 from impressa.operators import ids, joins
+from impressa.operators.sampling import fold_number
+from impressa.plans import modelling
 from impressa.sources import readers, views, writers
 from impressa.sources.schemas import FIELD_SEPARATOR, ITEM, KEYS, LABELS, USER
 
@@ -15,10 +22,13 @@ QUERIES, ORACLES = entry_points.queries(), entry_points.oracle_sql()
 
 
 # Queries of the optional part have tests of their own.
-@pytest.mark.parametrize("name", sorted(set(QUERIES) - set(ORACLES) - set(entry_points.LLM_QUERIES)))
+@pytest.mark.parametrize(
+    "name", sorted(set(QUERIES) - set(ORACLES) - set(entry_points.LLM_QUERIES) - {"stacker_job"})
+)
 def test_query_gives_rows(spark, small, medium, name):
     # Factors of rank 50 need more than 50 engaged users and items.
-    folder = medium if name in ("als_grid_search", "mf_job") else small
+    large = ("als_grid_search", "mf_job", "stacker_fit", "stacker_evaluate", "stacker_coefficients")
+    folder = medium if name in large else small
     table = QUERIES[name](spark, folder).toArrow()
     assert table.num_rows > 0 and len(set(table.column_names)) == table.num_columns
 
@@ -181,7 +191,9 @@ def test_factorisation_job_covers_every_part_pair_and_label(spark, indexed, tmp_
     first = run()
     assert first.count() == 2 * n
     assert first.select("part", *KEYS, "engagement").distinct().count() == 2 * n
-    names = {jobs.factorisation_name(e, 3, 10.0) for e in ("like", "reply")}
+    names = {
+        jobs.factorisation_name(e, 3, 10.0, table_checksum(recommend.ratings(rows, e))) for e in ("like", "reply")
+    }
     assert {p.name for p in tmp_path.glob("als-*")} == names
     assert run().exceptAll(first).count() == 0
     writers.write_by_label(first, str(tmp_path / "out"))
@@ -204,18 +216,95 @@ def test_models_of_other_settings_are_not_reused(indexed, tmp_path):
     assert one.keys() == other.keys() and any(abs(one[k] - other[k]) > 1e-6 for k in one)
 
 
-def test_tuned_forests_predict_both_parts(spark, log):
+def test_models_of_other_rows_are_not_reused(indexed, tmp_path):
+    rows, indexes = indexed
+    parts = {"all": rows.select(USER_INDEX, ITEM_INDEX).distinct()}
+    run = lambda train: {
+        tuple(r[k] for k in KEYS): r["prediction"] for r in jobs.factorisation_job(
+            train, parts, indexes, rank=3, labels=["like"], model_folder=str(tmp_path)
+        ).collect()
+    }
+    one = run(rows)
+    # The same rows in another order are the same model, fewer rows are another.
+    assert run(rows.orderBy(F.rand(3)).repartition(3)) == one
+    assert len(list(tmp_path.glob("als-*"))) == 1
+    other = run(rows.filter("row_id % 5 > 0"))
+    assert len(list(tmp_path.glob("als-*"))) == 2
+    assert any(abs(one[k] - other[k]) > 1e-6 for k in one)
+
+
+def test_checksum_follows_content_and_not_order(spark):
+    df = spark.createDataFrame([(1, "a"), (2, None), (2, None)], "k int, t string")
+    name = table_checksum(df)
+    assert table_checksum(df.orderBy("t").repartition(3).select("t", "k")) == name
+    others = [df.distinct(), df.limit(0), df.withColumn("k", F.col("k").cast("long")), df.withColumnRenamed("t", "u"),
+              df.union(df.limit(1)), spark.createDataFrame([(2, "a"), (1, None), (2, None)], "k int, t string")]
+    assert len({name, *map(table_checksum, others)}) == 1 + len(others)
+
+
+@pytest.fixture(scope="module")
+def vectors(log):
     prepared = features.prepare(log, keep=("row_id",))
-    vectors = features.features(features.fit_features(prepared, 8, 12), prepared, keep=("row_id",)).cache()
+    return features.features(features.fit_features(prepared, 8, 12), prepared, keep=("row_id",)).cache()
+
+
+def test_tuned_forests_predict_both_parts(vectors, tmp_path):
     parts = {"a": vectors.filter("row_id < 40"), "b": vectors.filter("row_id >= 960")}
     results, predictions = jobs.tuned_forest_job(
-        vectors, parts, ["row_id"], labels=["like", "reply"], trees=(2,), depths=(2, 3), min_rows=(1,), folds=2
+        vectors, parts, ["row_id"], labels=["like", "reply"], settings=grid.grid((2,), (2, 3), (1,)), folds=2,
+        folder=str(tmp_path),
     )
     assert results.count() == 4 and set(results.columns) >= {"engagement", "areaUnderPR"}
     counts = {(r["part"], r["engagement"]): r["count"] for r in predictions.groupBy("part", "engagement").count().collect()}
     assert counts == {(p, e): 40 for p in "ab" for e in ("like", "reply")}
 
 
+def test_grid_goes_on_where_it_was(vectors, tmp_path, monkeypatch):
+    fits, run = [], grid._run
+
+    def once(spark, rows, job, seed, path):
+        if len(fits) == 3:
+            raise RuntimeError("driver lost")
+        fits.append(job)
+        run(spark, rows, job, seed, path)
+
+    settings = grid.grid((2,), (2, 4), (1, 3))
+    search = lambda: grid.search(vectors, ["like"], ["row_id"], settings, folds=2, parallelism=1, folder=str(tmp_path))
+    monkeypatch.setattr(grid, "_run", once)
+    with pytest.raises(RuntimeError):
+        search()
+    monkeypatch.setattr(grid, "_run", lambda *a: (fits.append(a[2]), run(*a)))
+    metrics = search().collect()
+    # Every job ran once, the dearest first, and the result has them all.
+    assert len(fits) == len(set(fits)) == len(metrics) == 8
+    assert [j.setting.cost for j in fits] == sorted((j.setting.cost for j in fits), reverse=True)
+    assert search().count() == 8 and len(fits) == 8
+    assert grid.search(vectors, ["like"], ["row_id"], settings[:1], folds=2, folder=str(tmp_path)).count() == 2
+
+
+def test_grid_equals_the_library_s_cross_validation(vectors, tmp_path):
+    settings = grid.grid((3,), (2, 4), (1,))
+    metrics = grid.search(vectors, ["like"], ["row_id"], settings, folds=3, folder=str(tmp_path))
+    found = {(r["maxDepth"]): r["areaUnderPR"] for r in grid.results(metrics).collect()}
+    estimator = classify.forest("like", 3)
+    maps = ParamGridBuilder().addGrid(estimator.maxDepth, [2, 4]).build()
+    judge = BinaryClassificationEvaluator(labelCol="like", metricName="areaUnderPR")
+    rows = vectors.withColumn("fold", fold_number(3, classify.SEED, "row_id"))
+    library = CrossValidator(
+        estimator=estimator, estimatorParamMaps=maps, evaluator=judge, numFolds=3, foldCol="fold"
+    ).fit(rows)
+    # Drawing rows for trees follows partitions, so the areas are near and not equal.
+    assert found == pytest.approx(dict(zip([2, 4], library.avgMetrics, strict=True)), abs=0.05)
+    best = grid.best_settings(metrics)["like"]
+    assert found[best.depth] == max(found.values())
+    assert {r["fits"] for r in grid.costs(metrics).collect()} == {3}
+
+
+def test_grid_folder_follows_the_rows(vectors):
+    assert grid.search_folder(vectors) == grid.search_folder(vectors.repartition(3))
+    assert grid.search_folder(vectors) != grid.search_folder(vectors.filter("row_id > 0"))
+
+
 def test_the_whole_grid_is_the_default():
     assert (classify.TREES, classify.DEPTHS, classify.MIN_ROWS, classify.FOLDS) == ((20, 50), (5, 10, 25), (1, 3), 5)
 
@@ -229,12 +318,42 @@ def test_split_job_gives_every_test_id_a_train_row(spark, small):
     assert set(indexes) == {ITEM, USER}
 
 
-def test_recommendations_have_at_most_k_ranked_rows(spark, small):
-    table = QUERIES["als_topk_users"](spark, small)
-    stats = table.groupBy("user").agg(F.count("*").alias("n"), F.max("rank").alias("m"))
-    assert stats.filter("n > 10 OR n <> m").count() == 0
-    scores = table.alias("a").join(table.alias("b"), "user").filter("a.rank < b.rank AND a.score < b.score")
-    assert scores.count() == 0
+def test_best_items_equal_the_library_s(spark, small):
+    bought = views.purchases(spark, small).select(
+        F.col("user").cast("int").alias("user"), F.col("item").cast("int").alias("item"), "rating"
+    )
+    model = recommend.fit_explicit(bought, "user", "item", "rating")
+    library = recommend.recommendations(model.recommendForAllUsers(7), "user", "item").collect()
+    found = retrieval.best_by_factors(model.userFactors, model.itemFactors, 7).collect()
+    by_rank = lambda rows, key: {(r[key], r["rank"]): r["score"] for r in rows}
+    assert by_rank(found, "query") == pytest.approx(by_rank(library, "user"), rel=1e-5)
+
+
+def test_best_items_stop_early_and_lose_nothing(spark, monkeypatch):
+    monkeypatch.setattr(retrieval, "ITEM_BLOCK", 20)
+    monkeypatch.setattr(retrieval, "QUERY_BLOCK", 9)
+    rng = random.Random(8)
+    # A few long vectors rule most items out; whole numbers make ties.
+    items = [(i, [float(rng.randint(-9, 9)) * (20 if i % 40 == 0 else 1) for _ in range(3)]) for i in range(500)]
+    queries = [(i, [float(rng.randint(-9, 9)) for _ in range(3)]) for i in range(30)] + [(99, [0.0, 0.0, 0.0])]
+    schema = "id int, features array<float>"
+    found = retrieval.best_by_factors(spark.createDataFrame(queries, schema), spark.createDataFrame(items, schema), 4)
+    want = {}
+    for q, a in queries:
+        scored = sorted((-sum(x * y for x, y in zip(a, b, strict=True)), i) for i, b in items)[:4]
+        want |= {(q, rank): (i, -s) for rank, (s, i) in enumerate(scored, 1)}
+    assert {(r["query"], r["rank"]): (r["item"], r["score"]) for r in found.collect()} == want
+    assert "CartesianProduct" not in found._jdf.queryExecution().executedPlan().toString()
+
+
+def test_best_items_of_few_rows(spark):
+    schema = "id int, features array<float>"
+    some = spark.createDataFrame([(1, [1.0]), (2, [-2.0])], schema)
+    none = some.limit(0)
+    found = retrieval.best_by_factors(some, some, 5).collect()
+    assert sorted((r["query"], r["rank"], r["item"]) for r in found) == [(1, 1, 1), (1, 2, 2), (2, 1, 2), (2, 2, 1)]
+    for a, b in ((none, some), (some, none), (none, none)):
+        assert retrieval.best_by_factors(a, b, 5).collect() == []
 
 
 def test_grid_search_has_a_row_per_setting(spark, indexed):
@@ -287,3 +406,47 @@ def test_stacker_scores_all_models_on_the_same_rows(spark):
 
 def test_labels_are_the_four_engagements():
     assert LABELS == ["like", "reply", "retweet", "retweet_with_comment"]
+
+
+def test_stacker_job_takes_the_forests_of_the_grid(spark, medium, monkeypatch):
+    asked = {}
+    monkeypatch.setattr(modelling.grid, "search", lambda train, labels, keys: labels)
+    monkeypatch.setattr(
+        modelling.grid, "best_settings", lambda labels: {e: grid.Setting(2 + i, 3, 1) for i, e in enumerate(labels)}
+    )
+    fit = jobs.fit_forests
+    monkeypatch.setattr(jobs, "fit_forests", lambda train, settings: asked.update(settings) or fit(train, settings))
+    table = modelling.stacker_job(spark, medium).collect()
+    assert [s.trees for s in asked.values()] == [2, 3, 4, 5]
+    assert {(r["engagement"], r["model_name"]) for r in table} == {
+        (e, m) for e in LABELS for m in ("mf", "rf", "nncf", "Ensemble")
+    }
+
+
+def test_stackers_agree_with_the_library(spark):
+    rng = random.Random(5)
+    rows = []
+    for engagement in ("like", "reply"):
+        for _ in range(300):
+            a, b = rng.random() * 5 - 2, rng.random()
+            rows.append((engagement, a, b, int(a * 0.2 + b + rng.random() > 1), a + b))
+    df = spark.createDataFrame(rows, "engagement string, a double, b double, label int, both double").cache()
+    stackers = stacking.fit_stackers(df, ["a", "b"])
+    scored = stacking.stack(df, stackers, ["a", "b"])
+    for engagement in ("like", "reply"):
+        one = df.filter(F.col("engagement") == engagement)
+        model = stacking.fit_stacker(one, ["a", "b"])
+        library = stacking.coefficients(spark, {engagement: model}, ["a", "b"]).first()
+        found = stacking.weights(stackers, ["a", "b"]).filter(F.col("engagement") == engagement).first()
+        assert [found[c] for c in ("a", "b", "intercept")] == pytest.approx([library[c] for c in ("a", "b", "intercept")])
+        want = sorted(r["prediction"] for r in stacking.stacked_scores(model, one).collect())
+        assert sorted(r["prediction"] for r in scored.filter(F.col("engagement") == engagement).collect()) == pytest.approx(want)
+    # A combination of earlier scores and a constant add nothing; null scores are left out.
+    more = df.withColumn("same", F.lit(3.0)).unionByName(
+        df.limit(5).withColumn("same", F.lit(3.0)).withColumn("a", F.lit(None).cast("double"))
+    )
+    wide = stacking.weights(stacking.fit_stackers(more, ["a", "b", "both", "same"]), ["a", "b", "both", "same"])
+    for r, plain in zip(wide.orderBy("engagement").collect(), stacking.weights(stackers, ["a", "b"]).orderBy("engagement").collect(), strict=True):
+        assert (r["both"], r["same"]) == (0, 0)
+        assert [r["a"], r["b"], r["intercept"]] == pytest.approx([plain["a"], plain["b"], plain["intercept"]])
+    assert stacking.fit_stackers(df.limit(0), ["a", "b"]).count() == 0
