@@ -56,14 +56,14 @@ def _scores(queries: pa.Table, candidates: pa.Table) -> tuple[np.ndarray, np.nda
 
 
 def _count(k: int, shift: int):
-    """Histogram of a cell: (id, bin, scores), from the top bin down to the cell's own kth score.
+    """Histogram of a cell: (row, bin, scores), from the top bin down to the cell's own kth score.
 
     Lower bins cannot hold the query's kth score, as this cell has k scores above them.
     """
 
     def count(queries: pa.Table, candidates: pa.Table) -> pa.Table:
         if not queries.num_rows or not candidates.num_rows:
-            return pa.table({"id": pa.array([], pa.int64()), "bin": pa.array([], pa.int64()),
+            return pa.table({"row": pa.array([], pa.int64()), "bin": pa.array([], pa.int64()),
                              "scores": pa.array([], pa.int64())})
         scores, other = _scores(queries, candidates)
         low, width = queries["low"].to_numpy(), queries["width"].to_numpy()
@@ -76,7 +76,7 @@ def _count(k: int, shift: int):
         counts = counts.reshape(len(low), size)
         above = counts[:, ::-1].cumsum(axis=1)[:, ::-1] - counts
         at, which = np.nonzero((counts > 0) & (above < k))
-        return pa.table({"id": queries["id"].to_numpy()[at], "bin": which.astype(np.int64),
+        return pa.table({"row": queries["row"].to_numpy()[at], "bin": which.astype(np.int64),
                          "scores": counts[at, which].astype(np.int64)})
 
     return count
@@ -87,15 +87,15 @@ def _take(k: int):
 
     def take(queries: pa.Table, candidates: pa.Table) -> pa.Table:
         if not queries.num_rows or not candidates.num_rows:
-            return pa.table({"query_id": pa.array([], pa.int64()), "id": pa.array([], pa.int64()),
-                             "score": pa.array([], pa.int64())})
+            none = pa.array([], pa.int64())
+            return pa.table({"row": none, "query_id": none, "id": none, "score": none})
         candidates = candidates.take(pc.sort_indices(candidates["id"]))
         scores, other = _scores(queries, candidates)
         low = queries["low"].to_numpy()[:, None]
         tied = other & (scores == low)
         keep = (other & (scores > low)) | (tied & (tied.cumsum(axis=1) <= k))
         at, which = np.nonzero(keep)
-        return pa.table({"query_id": queries["id"].to_numpy()[at],
+        return pa.table({"row": queries["row"].to_numpy()[at], "query_id": queries["id"].to_numpy()[at],
                          "id": candidates["id"].to_numpy()[which], "score": scores[at, which]})
 
     return take
@@ -121,12 +121,13 @@ def _cells(queries: DataFrame, candidates: DataFrame, blocks: tuple[int, int], f
 def top_k_search(vectors: DataFrame, is_query: Column, k: int) -> DataFrame:
     """(query_id, rank, id, score): the k best inner products of each query with all other rows.
 
-    ``vectors`` has (id bigint, vector array<bigint>), ids unique; a row is no candidate of a query
-    with its own id. Only vectors of equal length are compared; scores must fit into a long. Ties
+    ``vectors`` has (id bigint, vector array<bigint>); a row is no candidate of a query with its own id.
+    Repeated rows each count: a repeated candidate takes several ranks, and each row of a repeated query
+    has its own result, so these are returned as often. Only vectors of equal length are compared; scores must fit into a long. Ties
     go to the smaller id; queries with fewer than k candidates return all of them. Without queries
     or candidates there are no rows.
     """
-    vectors = materialize(vectors)
+    vectors = materialize(vectors.select("id", "vector").withColumn("row", F.monotonically_increasing_id()))
     norm = F.sqrt(F.aggregate("vector", F.lit(0.0), lambda s, x: s + x.cast("double") ** 2))
     facts = vectors.agg(
         F.count("*").alias("rows"), F.count_if(is_query).alias("queries"), F.max(norm).alias("norm")
@@ -138,7 +139,7 @@ def top_k_search(vectors: DataFrame, is_query: Column, k: int) -> DataFrame:
     bits = max(1, int(np.ceil(np.log2((facts["norm"] or 0.0) ** 2 + 2))) + 1)
     queries = vectors.filter(is_query)
     state = queries.select(
-        "id",
+        "row",
         F.lit(-(1 << bits - 1)).cast("bigint").alias("low"),
         F.lit(1 << bits).cast("bigint").alias("width"),
         F.lit(0).cast("bigint").alias("above"),
@@ -146,31 +147,31 @@ def top_k_search(vectors: DataFrame, is_query: Column, k: int) -> DataFrame:
     while bits > 0:
         bits = max(0, bits - BITS_A_PASS)
         counts = _cells(
-            queries.join(state, "id"), vectors, blocks, _count(k, bits),
-            "id bigint, bin bigint, scores bigint",
+            queries.join(state, "row"), vectors, blocks, _count(k, bits),
+            "row bigint, bin bigint, scores bigint",
         )
-        summed = counts.groupBy("id", "bin").agg(F.sum("scores").alias("scores"))
-        down = Window.partitionBy("id").orderBy(F.desc("bin"))
+        summed = counts.groupBy("row", "bin").agg(F.sum("scores").alias("scores"))
+        down = Window.partitionBy("row").orderBy(F.desc("bin"))
         found = (
             summed.withColumn("reached", F.sum("scores").over(down))
-            .join(state, "id")
+            .join(state, "row")
             .filter(F.col("above") + F.col("reached") >= k)
-            .groupBy("id")
+            .groupBy("row")
             .agg(F.max(F.struct("bin", (F.col("reached") - F.col("scores")).alias("more"))).alias("at"))
         )
         # A query with fewer than k candidates keeps its lowest bound, above which all scores are.
         state = materialize(
-            state.join(found, "id", "left").select(
-                "id",
+            state.join(found, "row", "left").select(
+                "row",
                 F.coalesce(F.col("low") + F.shiftleft("at.bin", bits), F.col("low")).alias("low"),
                 F.when(F.col("at").isNotNull(), F.lit(1 << bits)).otherwise(F.lit(0)).cast("bigint").alias("width"),
                 (F.col("above") + F.coalesce(F.col("at.more"), F.lit(0))).alias("above"),
             )
         )
     kept = _cells(
-        queries.join(state, "id"), vectors, blocks, _take(k),
-        "query_id bigint, id bigint, score bigint",
+        queries.join(state, "row"), vectors, blocks, _take(k),
+        "row bigint, query_id bigint, id bigint, score bigint",
     )
-    return top_k(kept, "query_id", [F.desc("score"), F.asc("id")], k).select(
+    return top_k(kept, "row", [F.desc("score"), F.asc("id")], k).select(
         "query_id", "rank", "id", "score"
     )

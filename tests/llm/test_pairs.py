@@ -180,6 +180,18 @@ def test_top_k_with_ties_and_copies(spark, monkeypatch):
     assert_top_k(spark, rows)
 
 
+def test_top_k_of_repeated_rows(spark):
+    rows = [(0, [2.0, 0.0]), (0, [2.0, 0.0]), (0, [0.0, 2.0]), (6, [1.0, 1.0]), (6, [1.0, 1.0]), (7, [1.0, 0.0]), (8, [3.0, 1.0])]
+    df = spark.createDataFrame(rows, "vec_id bigint, embedding array<float>")
+    found = topk.top_k_search(topk.integer_vectors(df, "vec_id", "embedding"), F.col("id") % 3 == 0, 3)
+    want = []
+    for i, a in rows:
+        if i % 3 == 0:
+            scored = sorted((-sum(x * y for x, y in zip(a, b, strict=True)) * 65536, j) for j, b in rows if j != i)[:3]
+            want += [(i, rank, j, -score) for rank, (score, j) in enumerate(scored, 1)]
+    assert sorted(tuple(r) for r in found.collect()) == sorted(want)
+
+
 def test_top_k_leaves_out_what_cannot_be_scored(spark):
     nan, inf = float("nan"), float("inf")
     rows = [
