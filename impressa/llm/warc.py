@@ -211,10 +211,12 @@ class WarcReader(DataSourceReader):
         store, root = _filesystem(self.path)
         listed = store.get_file_info(fs.FileSelector(root))
         files = {f.base_name: f for f in listed if f.type == fs.FileType.File}
-        if _MANIFEST in files:  # written here: files of failed attempts are not in it
-            with store.open_input_stream(files[_MANIFEST].path) as handle:
-                names = handle.read().decode().split()
-        else:
+        manifests = [n for n in files if n.startswith(_MANIFEST)]
+        names = []
+        for manifest in manifests:  # written here: files of failed attempts are in none
+            with store.open_input_stream(files[manifest].path) as handle:
+                names += handle.read().decode().split()
+        if not manifests:
             names = [n for n in files if not n.startswith(("_", "."))]
         plan: list[_Files] = []
         room = 0
@@ -246,8 +248,8 @@ class _Written(WriterCommitMessage):
 
 
 class WarcWriter(DataSourceWriter):
-    def __init__(self, path: str, columns: list[str]):
-        self.path, self.columns = path, columns
+    def __init__(self, path: str, columns: list[str], overwrite: bool = False):
+        self.path, self.columns, self.overwrite = path, columns, overwrite
 
     def write(self, iterator: Iterator) -> _Written:
         store, root = _filesystem(self.path)
@@ -270,8 +272,15 @@ class WarcWriter(DataSourceWriter):
         store, root = _filesystem(self.path)
         store.create_dir(root, recursive=True)
         names = [name for m in messages if m is not None for name in m.names]
-        with store.open_output_stream(f"{root}/{_MANIFEST}", compression=None) as handle:
+        # A manifest for each write, so that a folder has the records of all of them.
+        older = [
+            f.path for f in store.get_file_info(fs.FileSelector(root)) if f.base_name.startswith(_MANIFEST)
+        ]
+        with store.open_output_stream(f"{root}/{_MANIFEST}-{uuid.uuid4().hex}", compression=None) as handle:
             handle.write("\n".join(names).encode())
+        if self.overwrite:
+            for path in older:
+                store.delete_file(path)
 
     def abort(self, messages: list) -> None:
         """Without a manifest that names them, left files are never read."""
@@ -291,14 +300,14 @@ class WarcSource(DataSource):
         return WarcReader(self.options["path"], self.options.get("payloads", "true") == "true")
 
     def writer(self, schema, overwrite: bool) -> WarcWriter:
-        return WarcWriter(self.options["path"], schema.fieldNames())
+        return WarcWriter(self.options["path"], schema.fieldNames(), overwrite)
 
 
 # ---------------------------------------------------------------- operators
 
 
 def write_warc(records: DataFrame, path: str) -> None:
-    """Write rows of ``SCHEMA`` (columns in any order, others left out) as .warc.gz files."""
+    """Add rows of ``SCHEMA`` (columns in any order, others left out) to a folder as .warc.gz files."""
     records.sparkSession.dataSource.register(WarcSource)
     columns = [part.split()[0] for part in SCHEMA.split(", ")]
     records.select(*columns).write.format("warc").mode("append").save(path)
