@@ -20,11 +20,15 @@ _KEY = "_row_key"
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents written mostly in languages that the corpus is labelled with."""
+    """Documents written mostly in languages that the corpus is labelled with.
+
+    Null texts and texts without letters go, as does everything where no language is labelled. Rows are
+    judged one by one, so repeated rows and null ids need no care; other columns may have any name.
+    """
     # Columns travel under other names, so that they may be called like those of the operator.
     held = {f"_held{i}": c for i, c in enumerate(docs.columns)}
     renamed = docs.select("text", *[F.col(f"`{c}`").alias(name) for name, c in held.items()])
-    known = language.identify(renamed, language.learn(docs), carry=list(held))
+    known = language.identify(renamed, language.learn(docs), carry=list(held), unknown=True)
     kept = (F.col("lang_pred") != language.UNKNOWN) & (F.col("unknown") <= MOST_UNKNOWN)
     return known.filter(kept).select(*[F.col(name).alias(c) for name, c in held.items()])
 
@@ -42,18 +46,28 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents, with secrets in their texts replaced by a mark, each row's own only."""
+    """All documents, with secrets in their texts replaced by a mark, each row's own only.
+
+    Null and empty texts stay as they are; rows that are repeated or share an id are each changed by
+    their own findings; an empty table stays empty.
+    """
     return secret_scan.redact_rows(docs)
 
 
 def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The documents as often as the mix of sources takes them."""
-    size = mixing.word_count(F.col("text"))
-    return mixing.mixed_copies(docs, size, mixing.mix(docs, size))
+    """The documents as often as the mix of sources takes them, each row by a key of its own.
+
+    A null source is a source; null and empty texts have no words and go; repeated rows each count; an
+    empty table stays empty; other columns may have any name.
+    """
+    return mixing.mixed_copies(docs, mixing.word_count(F.col("text")))
 
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """(doc_id, lang, source, ids, n_tokens): the byte-level BPE ids of every text of the mix."""
+    """(doc_id, lang, source, ids, n_tokens): the byte-level BPE ids of every text of the mix.
+
+    A null or empty text has no ids; rows are encoded one by one; further columns are left out.
+    """
     encoded = bpe.encode_documents(
         docs,
         public_tokenizers.path("byte_bpe_50k.tiktoken"),

@@ -2,8 +2,8 @@
 
 Every word is taken to be written in one of the learned languages, with the likelihood that its
 letter trigrams have there. Expectation-maximisation finds the proportions of languages that make a
-document most likely; the set of languages with a share is the one with the best likelihood after a
-penalty per language.
+document most likely; the set of languages with a share is selected by likelihood after a penalty per
+language.
 """
 
 from __future__ import annotations
@@ -34,8 +34,11 @@ _LETTERS = re.compile(r"[^\W\d_]+")
 
 
 def words(text: str) -> list[str]:
-    """Runs of letters, lower-cased."""
-    return _LETTERS.findall(text.lower())
+    """Runs of letters, lower-cased; number signs such as one half are no letters."""
+    found = _LETTERS.findall(text.lower())
+    if all(map(str.isalpha, found)):
+        return found
+    return [w for f in found for w in "".join(c if c.isalpha() else " " for c in f).split()]
 
 
 def trigram_buckets(distinct: list[str]) -> tuple[np.ndarray, np.ndarray]:
@@ -134,11 +137,12 @@ def mixtures(
 
 
 def best_mixtures(log_likelihood: np.ndarray, starts: np.ndarray) -> np.ndarray:
-    """Proportions of the language set with the best penalised likelihood, for each document.
+    """Proportions of a language set with a good penalised likelihood, for each document, found greedily.
 
     Languages join in the order of their proportions among all languages, each at the price of half
     the logarithm of the number of words, as long as that makes the value better. A language that
-    does not hold one word is not tried.
+    does not hold one word is not tried. Only sets of leading languages are compared, so a better set that
+    leaves out the first one is not found; documents of few words or close languages can have such sets.
     """
     top = log_likelihood.max(axis=1, keepdims=True)
     likelihood = np.exp(np.maximum(log_likelihood - top, -60.0))
@@ -197,9 +201,9 @@ def unknown_shares(
 class Identifier:
     """Finds the mixtures of texts, keeping the likelihoods of words seen before."""
 
-    def __init__(self, model: Model):
+    def __init__(self, model: Model, unknown: bool = True):
         self.model = model
-        self.unknown_log_p = model.unknown_log_p()
+        self.unknown_log_p = model.unknown_log_p() if unknown else None
         self.place: dict[str, int] = {}
         # Log likelihoods of a word by language, and its number of trigrams.
         self.rows = np.zeros((0, len(model.languages) + 1))
@@ -217,7 +221,10 @@ class Identifier:
         return self.fits(texts)[:, :-1]
 
     def fits(self, texts: list[str]) -> np.ndarray:
-        """Proportions of languages, then the share of unknown words; 1 for a text without letters."""
+        """Proportions of languages, then the share of unknown words; 1 for a text without letters.
+
+        Where the identifier does not look for unknown words, a text with letters has none.
+        """
         languages = len(self.model.languages)
         result = np.zeros((len(texts), languages + 1))
         result[:, -1] = 1.0
@@ -250,24 +257,26 @@ class Identifier:
         starts = np.concatenate(([0], np.cumsum(sizes)[:-1]))
         log_likelihood, trigrams = self.rows[at, :-1], self.rows[at, -1]
         shares = best_mixtures(log_likelihood, starts)
-        unknown = unknown_shares(log_likelihood, trigrams, starts, shares, self.unknown_log_p)
+        unknown = np.zeros(len(starts))
+        if self.unknown_log_p is not None:
+            unknown = unknown_shares(log_likelihood, trigrams, starts, shares, self.unknown_log_p)
         result[[i for i, _ in held]] = np.column_stack((shares, unknown))
 
 
 def identify(
-    documents: DataFrame, model: Model, carry: Sequence[str] = ("doc_id",)
+    documents: DataFrame, model: Model, carry: Sequence[str] = ("doc_id",), unknown: bool = False
 ) -> DataFrame:
-    """The carried columns, lang_pred, score, languages and unknown of whole texts, from these alone.
+    """The carried columns, lang_pred, score and languages of whole texts, from these alone.
 
     ``languages`` lists (lang, share) by falling share, ties by name; the first is ``lang_pred`` and
-    its share the score. ``unknown`` is the share of words that these languages do not explain. A null
-    text, a text without letters, and any text where no language was learned have ``und``, score 0,
-    no languages and unknown 1. Rows are handled one by one, so repeated rows
+    its share the score. With ``unknown`` there is a column of that name, the share of words that these
+    languages do not explain. A null text, a text without letters, and any text where no language was
+    learned have ``und``, score 0, no languages and unknown 1. Rows are handled one by one, so repeated rows
     and null ids need no care.
     """
 
     def prepare() -> Callable[[list[str]], dict]:
-        identifier = Identifier(model)
+        identifier = Identifier(model, unknown)
 
         def predict(texts: list[str]) -> dict:
             fits = identifier.fits(texts)
@@ -286,13 +295,8 @@ def identify(
 
         return predict
 
-    return map_texts(
-        documents,
-        carry,
-        prepare,
-        "lang_pred string, score double, languages array<struct<lang: string, share: double>>, "
-        "unknown double",
-    )
+    schema = "lang_pred string, score double, languages array<struct<lang: string, share: double>>"
+    return map_texts(documents, carry, prepare, f"{schema}, unknown double" if unknown else schema)
 
 
 def fold(id_column: str) -> Column:

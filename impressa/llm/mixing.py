@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -85,24 +86,26 @@ def mix(
     share: float = 1.5,
     most_epochs: int = 2,
     seed: int = 17,
+    keys: Sequence[str] = (),
 ) -> DataFrame:
-    """(doc_id, source, size, source_size, target, taken) for every row of ``documents``.
+    """(doc_id, source, size, source_size, target, taken) and ``keys`` for every row of ``documents``.
 
     ``taken`` words of a document are in the mix: all of them once per whole epoch, and in the last
     epoch those that lie before the budget's end in the source's random order. So each source takes
     its target, rounded to a word, and only one document of a source is taken in part. The order
     follows a hash of the doc_id and nothing physical; rows with the same doc_id follow each other
-    by size. A null doc_id is hashed as an empty string, a null source is a source of its own, and
-    documents without words take nothing. Columns other than doc_id and source may have any name.
+    by size and then by ``keys``, columns that tell rows apart. A null doc_id is hashed as an empty
+    string, a null source is a source of its own, and documents without words take nothing. Columns other
+    than doc_id, source and ``keys`` may have any name.
     """
     # Written, so that sampling the ranges and sorting do not read the texts twice.
     keyed = materialize(
         documents.select(
             "doc_id", "source", size.cast("bigint").alias("size"),
-            key_hash(seed, F.col("doc_id")).alias("_key"),
+            key_hash(seed, F.col("doc_id")).alias("_key"), *keys,
         )
     )
-    order = [F.asc_nulls_last("source"), "_key", F.asc_nulls_first("doc_id"), "size"]
+    order = [F.asc_nulls_last("source"), "_key", F.asc_nulls_first("doc_id"), "size", *keys]
     placed = running_totals(keyed, order, ["size"])
     sizes = placed.groupBy("source").agg(F.sum("size").alias("source_size"))
     targets = materialize(source_targets(sizes, weights, share, most_epochs))
@@ -121,6 +124,7 @@ def mix(
         "source_size",
         "target",
         (epochs * F.col("size") + part).cast("bigint").alias("taken"),
+        *keys,
     )
 
 
@@ -130,30 +134,44 @@ def first_words(text: Column, words: Column) -> Column:
     return F.array_join(F.slice(pieces, 1, words.cast("int")), "")
 
 
-def mixed_copies(documents: DataFrame, size: Column, taken: DataFrame) -> DataFrame:
+def _new_names(documents: DataFrame, *wanted: str) -> list[str]:
+    """The names, with as many underscores before them as no column of ``documents`` has."""
+    before = "_"
+    while any(c.startswith(before) for c in documents.columns):
+        before += "_"
+    return [f"{before}{name}" for name in wanted]
+
+
+def keyed_rows(documents: DataFrame) -> tuple[DataFrame, list[str]]:
+    """``documents`` with two columns that tell all rows apart, and their names.
+
+    Rows of files are named by their file and their place in it, which costs nothing. Other rows are
+    numbered and written, so that a second look gives the same numbers.
+    """
+    names = _new_names(documents, "file", "place")
+    try:
+        place = documents.metadataColumn("_metadata")
+        keys = [F.xxhash64(place["file_path"]).alias(names[0]), place["row_index"].alias(names[1])]
+        return documents.select("*", *keys), names
+    except AnalysisException:
+        numbers = {names[0]: F.lit(0).cast("bigint"), names[1]: F.monotonically_increasing_id()}
+        return materialize(documents.withColumns(numbers)), names
+
+
+def mixed_copies(documents: DataFrame, size: Column, **options) -> DataFrame:
     """The mix itself: a row of ``documents`` per copy taken, the last one cut where the budget ends.
 
-    ``taken`` is the result of :func:`mix` for the same documents and size. Rows alike in doc_id,
-    source and size are taken as often as the first of them; documents of which nothing is taken
-    are left out. Copies are equal rows but for the cut one.
+    ``options`` go to :func:`mix`. Every row is taken by its own share, whatever it has in common with
+    others: repeated rows, rows that share an id and rows without one each count, so that the words of
+    each source are its target to the word. Documents of which nothing is taken are left out. Copies are
+    equal rows but for the cut one.
     """
-    wanted = (
-        taken.filter(F.col("taken") > 0)
-        .groupBy("doc_id", "source", "size")
-        .agg(F.max("taken").alias("taken"))
-        .alias("w")
-    )
-    sized = documents.withColumn("_size", size).alias("d")
-    same = [F.col(f"d.{c}").eqNullSafe(F.col(f"w.{c}")) for c in ("doc_id", "source")]
-    joined = sized.join(wanted, [*same, F.col("_size") == F.col("w.size")]).select(
-        "d.*", F.col("w.taken").alias("_taken")
-    )
-    copy = F.sequence(F.lit(0), F.ceil(F.col("_taken") / F.col("_size")) - 1)
-    left = F.transform(copy, lambda i: F.least(F.col("_size"), F.col("_taken") - i * F.col("_size")))
-    copies = joined.withColumn("_words", F.explode(left))
-    text = F.when(F.col("_words") == F.col("_size"), F.col("text")).otherwise(
-        first_words(F.col("text"), F.col("_words"))
-    )
-    return copies.select(
-        *[text.alias(c) if c == "text" else F.col(c) for c in documents.columns]
-    )
+    keyed, keys = keyed_rows(documents)
+    own, wanted, left = _new_names(documents, "size", "taken", "words")
+    shares = mix(keyed, size, keys=keys, **options).filter(F.col("taken") > 0)
+    shares = shares.select(*keys, F.col("size").alias(own), F.col("taken").alias(wanted))
+    copy = F.sequence(F.lit(0), F.ceil(F.col(wanted) / F.col(own)) - 1)
+    words = F.transform(copy, lambda i: F.least(F.col(own), F.col(wanted) - i * F.col(own)))
+    copies = keyed.join(shares, keys).withColumn(left, F.explode(words))
+    text = F.when(F.col(left) == F.col(own), F.col("text")).otherwise(first_words(F.col("text"), F.col(left)))
+    return copies.select(*[text.alias(c) if c == "text" else F.col(f"`{c}`") for c in documents.columns])

@@ -80,7 +80,7 @@ def test_copies_hold_the_words_taken(spark, sourced):
     df = spark.createDataFrame(sourced, DOCUMENT).withColumn("taken", F.lit("clash"))
     size = mixing.word_count(F.col("text"))
     taken = mixing.mix(df, size)
-    copies = mixing.mixed_copies(df, size, taken)
+    copies = mixing.mixed_copies(df, size)
     assert copies.columns == df.columns
     words = Counter()
     for r in copies.collect():
@@ -102,7 +102,25 @@ def test_mix_of_an_empty_table_and_of_empty_texts(spark):
     assert mixing.mix(spark.createDataFrame([], DOCUMENT), size).count() == 0
     empty = spark.createDataFrame([(1, None, None, None, None), (None, " ", None, "a", 1)], DOCUMENT)
     assert [(r["size"], r["target"], r["taken"]) for r in mixing.mix(empty, size).collect()] == [(0, 0.0, 0)] * 2
-    assert mixing.mixed_copies(empty, size, mixing.mix(empty, size)).count() == 0
+    assert mixing.mixed_copies(empty, size).count() == 0
+
+
+@pytest.mark.parametrize("written", [True, False])
+def test_mix_of_rows_alike_takes_the_budget_to_the_word(spark, tmp_path, written):
+    # Null ids, one shared id, rows equal in all columns, texts of one size; names like the operator's own.
+    docs = [(None, " ".join(["w"] * 10), "en", "a", 0)] * 20 + [(7, " ".join([str(i)] * 10), "en", "b", 0) for i in range(30)]
+    docs += [(8, "x y z", "en", "b", 0)] * 9 + [(9, None, "en", "a", 0), (None, "", "en", None, 0)]
+    df = spark.createDataFrame(docs, DOCUMENT).withColumns({c: F.lit(1) for c in ("_size", "_taken", "_file", "__place", "taken")})
+    if written:
+        df.repartition(3).write.parquet(str(tmp_path / "docs"))
+        df = spark.read.parquet(str(tmp_path / "docs"))
+    copies = mixing.mixed_copies(df, mixing.word_count(F.col("text")))
+    assert copies.columns == df.columns
+    words = Counter()
+    for r in copies.collect():
+        words[r["source"]] += len(words_of(r["text"]))
+    expected = brute_targets({"a": 200, "b": 327, None: 0})
+    assert words == Counter({s: int(t + 0.5) for s, t in expected.items() if t})
 
 
 # ---------------------------------------------------------------- sharding
@@ -268,6 +286,20 @@ def test_files_of_failed_attempts_are_not_read(spark, archive):
     assert warc.read_warc(spark, archive).count() == len(PAGES)
 
 
+def test_two_writes_are_both_read(spark):
+    path = scratch_path(spark)
+    pages = [(i, f"u{i}", f"<p>{i}</p>") for i in range(6)]
+    schema = "page_id bigint, url string, html string"
+    for part in (pages[:3], pages[3:]):
+        warc.write_warc(warc.page_records(spark.createDataFrame(part, schema)), path)
+    found = {r["target_uri"]: bytes(r["payload"]).decode() for r in warc.read_warc(spark, path).collect()}
+    assert found == {u: html for _, u, html in pages}
+    records = warc.page_records(spark.createDataFrame(pages[:1], schema))
+    columns = [c.split()[0] for c in warc.SCHEMA.split(", ")]
+    records.select(*columns).write.format("warc").mode("overwrite").save(path)
+    assert [r["target_uri"] for r in warc.read_warc(spark, path).collect()] == ["u0"]
+
+
 def test_an_empty_archive(spark):
     path = scratch_path(spark)
     empty = spark.createDataFrame([], "page_id bigint, url string, html string")

@@ -181,6 +181,14 @@ def test_em_gives_the_most_likely_proportions():
         assert reached > tried.max() - 0.5 and abs(own.sum() - 1) < 1e-9
 
 
+def test_number_signs_are_no_letters(spark, model):
+    docs = [(i, t) for i, t in enumerate(["\u00bd \u00b2 \u2460", "\u2167", "12 _ !", "ab\u00bdcd"])]
+    found = language.identify(spark.createDataFrame(docs, "doc_id bigint, text string"), model).collect()
+    assert [r["lang_pred"] == "und" for r in sorted(found)] == [True, True, True, False]
+    assert language.words("Ab\u00bdCd \u2167 \u00e9") == ["ab", "cd", "\u00e9"]
+    assert "unknown" not in found[0].asDict()
+
+
 def test_languages_of_odd_texts(spark, model):
     docs = [(1, None), (2, ""), (3, "123 ... 45"), (4, "the"), (None, "der und die"), (6, "the of and " * 40_000)]
     found = language.identify(spark.createDataFrame(docs, "doc_id bigint, text string"), model).collect()
