@@ -23,6 +23,27 @@ def dense_id_index(df: DataFrame, id_column: str, counted: bool = False) -> Data
     return number_rows(ids, [id_column], f"{id_column}_index")
 
 
+def extend_id_index(index: DataFrame, df: DataFrame, id_column: str) -> DataFrame:
+    """``index`` with the ids of ``df`` that it lacks, numbered after the largest number it has.
+
+    Old ids keep their numbers, so that what was encoded with the old index stays readable; new ids follow
+    in id order. Counts, where the index has them, add up. Null ids are left out. An empty index is begun
+    at 0; the largest number, a single value, is all that the driver sees.
+    """
+    number = f"{id_column}_index"
+    counted = ROWS in index.columns
+    met = df.filter(F.col(id_column).isNotNull()).groupBy(id_column).agg(F.count("*").alias(f"_{ROWS}"))
+    new = met.join(index.select(id_column), id_column, "left_anti")
+    start = index.agg(F.coalesce(F.max(number) + 1, F.lit(0))).first()[0]
+    added = number_rows(new, [id_column], number).withColumn(number, F.col(number) + F.lit(start).cast("bigint"))
+    if not counted:
+        return index.select(id_column, number).unionByName(added.drop(f"_{ROWS}"))
+    kept = index.join(met, id_column, "left").select(
+        id_column, (F.col(ROWS) + F.coalesce(f"_{ROWS}", F.lit(0))).alias(ROWS), number
+    )
+    return kept.unionByName(added.withColumnRenamed(f"_{ROWS}", ROWS))
+
+
 def encode_ids(df: DataFrame, indexes: dict[str, DataFrame]) -> DataFrame:
     """Replace each id column by its index; rows with an unknown id vanish.
 

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from impressa.functions import labels as L
 from impressa.functions import similarity, text
-from impressa.operators import aggregates, cleaning, ids, ordering
+from impressa.operators import aggregates, cleaning, colocated, ids, ordering
 from impressa.operators.coldstart import full_train, missing_ids, partnered_fill, zipped_fill
 from impressa.operators.joins import join_labels, join_predictions, spread_join
 from impressa.plans import oracle
@@ -380,6 +380,27 @@ def join_labels_query(spark, folder):
     return joined.select(*KEYS, F.round("mf", 9).alias("mf"), F.round("nncf", 9).alias("nncf"), "label")
 
 
+@query(
+    "join_colocated",
+    f"""WITH {oracle.MODEL_SCORES}, {INTERACTIONS},
+        pair_labels AS (SELECT engaging_user_id, tweet_id, {", ".join(f'max("{e}")::TINYINT AS "{e}"' for e in LABELS)}
+                        FROM interactions GROUP BY 1, 2)
+        SELECT engaging_user_id, tweet_id, round(mf, 9) AS mf, round(rf, 9) AS rf, round(nncf, 9) AS nncf,
+               {", ".join(f'"{e}"' for e in LABELS)}
+        FROM mf JOIN rf USING (engaging_user_id, tweet_id) JOIN nncf USING (engaging_user_id, tweet_id)
+        JOIN pair_labels USING (engaging_user_id, tweet_id)""",
+)
+def join_colocated(spark, folder):
+    """Predictions and labels written in buckets of (user, item) and joined without an exchange."""
+    log = views.interactions(spark, folder, "tinyint")
+    buckets = colocated.buckets_for(log.count(), least=4)
+    predictions = colocated.write_predictions(views.model_scores(spark, folder), KEYS, buckets)
+    labels = colocated.write_labels(log, KEYS, LABELS, buckets)
+    return colocated.joined(predictions, labels).select(
+        *KEYS, *[F.round(m, 9).alias(m) for m in ("mf", "rf", "nncf")], *LABELS
+    )
+
+
 @query(
     "zip_by_row_number",
     """WITH c AS (SELECT c_custkey, row_number() OVER (ORDER BY c_acctbal, c_custkey) - 1 AS row_index FROM customer),
@@ -601,6 +622,26 @@ def dense_id_index(spark, folder):
     return ids.dense_id_index(views.interactions(spark, folder), USER)
 
 
+@query(
+    "extended_id_index",
+    f"""WITH {INTERACTIONS},
+        old AS (SELECT engaging_user_id, count(*) AS n FROM interactions WHERE row_id % 3 = 0 GROUP BY 1),
+        new AS (SELECT engaging_user_id, count(*) AS n FROM interactions WHERE row_id % 3 <> 0 GROUP BY 1)
+        SELECT engaging_user_id, old.n + coalesce(new.n, 0) AS n,
+               row_number() OVER (ORDER BY engaging_user_id) - 1 AS engaging_user_id_index
+        FROM old LEFT JOIN new USING (engaging_user_id)
+        UNION ALL
+        SELECT engaging_user_id, new.n,
+               (SELECT count(*) FROM old) + row_number() OVER (ORDER BY engaging_user_id) - 1
+        FROM new ANTI JOIN old USING (engaging_user_id)""",
+)
+def extended_id_index(spark, folder):
+    """An index of a first batch of impressions, written, read and extended by a second batch."""
+    log = views.interactions(spark, folder)
+    first = materialize(ids.dense_id_index(log.filter("row_id % 3 = 0"), USER, counted=True))
+    return ids.extend_id_index(first, log.filter("row_id % 3 <> 0"), USER)
+
+
 @query(
     "topk_items_by_score",
     f"""WITH {INTERACTIONS},

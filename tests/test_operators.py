@@ -10,6 +10,7 @@ from impressa.functions import labels, similarity, text
 from impressa.operators import (
     aggregates,
     cleaning,
+    colocated,
     coldstart,
     evaluation,
     ids,
@@ -486,3 +487,52 @@ def test_attached_views_run_no_job_and_counted_indexes_round_trip(spark, small):
     again = ids.decode_ids(encoded, indexes)
     assert set(again.columns) == {"row_id", *KEYS}
     assert again.select("row_id", *KEYS).exceptAll(log.select("row_id", *KEYS)).count() == 0
+
+
+# ---------------------------------------------------------------- growing indexes, co-located tables
+
+
+def test_an_index_grows_and_old_numbers_stay(spark):
+    first = spark.createDataFrame([("b",), ("d",), ("b",)], "u string")
+    second = spark.createDataFrame([("a",), ("d",), ("c",), ("a",), (None,)], "u string")
+    for counted in (True, False):
+        index = ids.dense_id_index(first, "u", counted)
+        grown = ids.extend_id_index(index, second, "u")
+        assert grown.columns == index.columns
+        found = {r["u"]: r["u_index"] for r in grown.collect()}
+        assert found == {"b": 0, "d": 1, "a": 2, "c": 3}
+        if counted:
+            assert {r["u"]: r["n"] for r in grown.collect()} == {"b": 2, "d": 2, "a": 2, "c": 1}
+        # Encoded rows read the same with both, and a batch without new ids changes no number.
+        encode = lambda i: sorted(map(tuple, ids.encode_ids(first.withColumn("x", F.lit(1)), {"u": i}).collect()))
+        assert encode(index) == encode(grown)
+        again = {r["u"]: r["u_index"] for r in ids.extend_id_index(grown, first, "u").collect()}
+        assert again == found
+    empty = ids.dense_id_index(first.limit(0), "u")
+    assert {r["u"]: r["u_index"] for r in ids.extend_id_index(empty, first, "u").collect()} == {"b": 0, "d": 1}
+
+
+def test_bucketed_tables_join_without_exchange(spark):
+    rng = random.Random(9)
+    keys = ["u", "i"]
+    pair = lambda: (str(rng.randrange(20)) if rng.random() < 0.97 else None, rng.randrange(9))
+    tables = {m: [(*pair(), rng.random()) for _ in range(300)] for m in ("a", "b")}
+    labels = [(*pair(), rng.randrange(2)) for _ in range(300)]
+    frames = {m: spark.createDataFrame(t, f"u string, i int, {m} double") for m, t in tables.items()}
+    marked = spark.createDataFrame(labels, "u string, i int, y int")
+    predictions = colocated.write_predictions(frames, keys, 4)
+    found = colocated.joined(predictions, colocated.write_labels(marked, keys, ["y"], 4))
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and "Exchange" not in plan
+    want = joins.join_labels(
+        joins.join_predictions(frames, keys), marked.groupBy(*keys).agg(F.max("y").alias("y")), keys
+    )
+    key = lambda rows: sorted((r["u"], r["i"], round(r["a"], 9), round(r["b"], 9), r["y"]) for r in rows)
+    assert key(found.collect()) == key(want.collect()) and found.count() > 20
+    with pytest.raises(ValueError):
+        colocated.joined(predictions, colocated.write_labels(marked, keys, ["y"], 8))
+
+
+def test_numbers_of_buckets_divide_each_other():
+    found = [colocated.buckets_for(n) for n in (0, 1, 10**6, 10**6 + 1, 3 * 10**6, 10**9)]
+    assert found == [1, 1, 1, 2, 4, 1024] and colocated.buckets_for(0, least=4) == 4
