@@ -146,6 +146,18 @@ def fit_explicit(
     return _fit(als, materialize(ratings_table.select(user, item, rating)), blocks)
 
 
+def explicit_error(model: ALSModel, rows: DataFrame, user: str, item: str, rating: str) -> DataFrame:
+    """One row: ``rmse`` over the pairs whose ids both have factors, and how many pairs have and lack them."""
+    scored = score_pairs(model, rows, unknown=float("nan"), user=user, item=item)
+    known = ~F.isnan("prediction")
+    error = F.when(known, F.col(rating) - F.col("prediction"))
+    return scored.agg(
+        F.sqrt(F.avg(error * error)).alias("rmse"),
+        F.count(F.when(known, 1)).alias("scored"),
+        F.count(F.when(~known, 1)).alias("without_factors"),
+    )
+
+
 def recommendations(nested: DataFrame, key: str, other: str) -> DataFrame:
     """(key, other, score, rank) from the nested lists of the ``recommendFor...`` methods."""
     ranked = nested.select(key, F.posexplode("recommendations").alias("position", "entry"))

@@ -9,10 +9,10 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from impressa.models import features, grid, jobs, recommend, stacking
+from impressa.models import features, grid, hashed, jobs, recommend, stacking
 from impressa.models.recommend import ITEM_INDEX, USER_INDEX
 from impressa.models.retrieval import best_by_factors
-from impressa.operators import aggregates, evaluation, ids, sampling
+from impressa.operators import evaluation, ids, sampling
 from impressa.operators.joins import join_predictions
 from impressa.plans import oracle
 from impressa.plans.registry import query
@@ -239,8 +239,7 @@ def _explicit(spark: SparkSession, folder: str):
 def als_explicit(spark, folder):
     train, test = _explicit(spark, folder)
     model = recommend.fit_explicit(train, "user", "item", "rating")
-    scored = recommend.score_pairs(model, test, unknown=None, user="user", item="item")
-    return aggregates.rmse(scored, "rating", "prediction")
+    return recommend.explicit_error(model, test, "user", "item", "rating")
 
 
 def _topk(spark: SparkSession, folder: str, key: str, subset: bool):
@@ -292,6 +291,22 @@ def neural_cf_predict(spark, folder):
     return reduce(DataFrame.unionByName, scored)
 
 
+@query("hashed_fm_predict")
+def hashed_fm_predict(spark, folder):
+    """Factorisation machines on hashed ids: no id index, and ids that training never saw are scored, too."""
+    log = views.interactions(spark, folder)
+    train, test = sampling.split(log, 0.9, 42, "row_id")
+    rows = materialize(hashed.hashed_pairs(train, LABELS))
+    pairs = materialize(hashed.hashed_pairs(test.select(*KEYS).distinct()))
+    scored = [
+        hashed.scores(hashed.fit(rows, label), pairs).select(
+            USER, ITEM, F.lit(label).alias("engagement"), "prediction"
+        )
+        for label in LABELS
+    ]
+    return reduce(DataFrame.unionByName, scored)
+
+
 # ---------------------------------------------------------------- stacker
 
 _MODELS = ["mf", "rf", "nncf"]

@@ -10,8 +10,10 @@ from impressa.operators.joins import join_labels, join_predictions
 from impressa.plans import oracle
 from impressa.plans.registry import query
 from impressa.session import delete_at_end, materialize, scratch_path
-from impressa.sources import readers, views, writers
-from impressa.sources.schemas import INDEXED_INTERACTIONS, ITEM, KEYS, LABELS, RAW_LOG, USER
+from impressa.sources import onefile, quarantine, readers, views, writers
+from impressa.sources.schemas import (
+    FIELD_SEPARATOR, INDEXED_INTERACTIONS, ITEM, KEYS, LABELS, PREDICTIONS, RAW_LOG, USER,
+)
 
 
 _LOG = f"""{oracle.IMPRESSIONS},
@@ -56,6 +58,56 @@ def raw_log_to_parquet(spark, folder):
     return _shown(spark.read.schema(RAW_LOG).parquet(table).filter("language = 'fr'"))
 
 
+@query(
+    "quarantine_round_trip",
+    f"""WITH {oracle.IMPRESSIONS}
+        SELECT row_id, CASE WHEN row_id % 11 = 0 THEN 'width' WHEN row_id % 7 = 0 THEN 'type' ELSE 'good' END AS outcome,
+               CASE WHEN row_id % 11 <> 0 AND row_id % 7 = 0 THEN 'tweet_timestamp' END AS "column",
+               CASE WHEN row_id % 11 <> 0 AND row_id % 7 <> 0 THEN tweet_timestamp END AS tweet_timestamp
+        FROM impressions""",
+)
+def quarantine_round_trip(spark, folder):
+    """A log in which some lines lost a cell and others have a word for a time; good and bad lines are all lines.
+
+    The first cell carries the row number, so that every line can be told.
+    """
+    log = views.impressions(spark, folder)
+    cells = [F.coalesce(F.col(c).cast("string"), F.lit("")) for c in RAW_LOG.names]
+    cells[0] = F.col("row_id").cast("string")
+    time = RAW_LOG.names.index("tweet_timestamp")
+    cells[time] = F.when(F.col("row_id") % 7 == 0, F.lit("late")).otherwise(cells[time])
+    whole, short = F.concat_ws(FIELD_SEPARATOR, *cells), F.concat_ws(FIELD_SEPARATOR, *cells[:-1])
+    path = scratch_path(spark)
+    log.select(F.when(F.col("row_id") % 11 == 0, short).otherwise(whole).alias("value")).write.text(path)
+    delete_at_end(spark, path)
+    good, bad = quarantine.read_checked(spark, path)
+    kept = good.select(
+        F.col("text_tokens").cast("bigint").alias("row_id"), F.lit("good").alias("outcome"),
+        F.lit(None).cast("string").alias("column"), "tweet_timestamp",
+    )
+    number = F.substring_index("line", FIELD_SEPARATOR, 1).cast("bigint")
+    return kept.unionByName(
+        bad.select(
+            number.alias("row_id"), F.col("reason").alias("outcome"), "column",
+            F.lit(None).cast("bigint").alias("tweet_timestamp"),
+        )
+    )
+
+
+@query(
+    "one_file_round_trip",
+    f"""WITH {oracle.INTERACTIONS}
+        SELECT engaging_user_id, tweet_id, round(value / 500, 6) AS prediction FROM interactions""",
+)
+def one_file_round_trip(spark, folder):
+    """Scores of all impressions as one file with a header, joined from parts, read back."""
+    path = f"{scratch_path(spark)}/scores.csv"
+    scored = views.scored_interactions(spark, folder).select(*KEYS, F.round("score", 6).alias("prediction"))
+    onefile.write_one_file(scored, path)
+    delete_at_end(spark, path)
+    return readers.read_delimited(spark, path, PREDICTIONS)
+
+
 _INDEXED = f"""{oracle.INTERACTIONS},
 items AS (SELECT tweet_id, row_number() OVER (ORDER BY tweet_id) - 1 AS tweet_id_index
           FROM (SELECT DISTINCT tweet_id FROM interactions)),

@@ -7,7 +7,7 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from impressa.operators import sampling
+from impressa.operators import bootstrap, sampling
 from impressa.plans import oracle
 from impressa.plans.registry import query
 from impressa.sources import views
@@ -67,6 +67,16 @@ def bootstrap_sample(spark, folder):
     return reduce(DataFrame.unionByName, parts).select("sample", "draw", "row_id", USER, ITEM)
 
 
+@query("bootstrap_by_ranges")
+def bootstrap_by_ranges(spark, folder):
+    """The same three samples by splitting the draws down a tree of hash ranges; other draws than above."""
+    log = views.interactions(spark, folder).select("row_id", *KEYS)
+    parts = [
+        bootstrap.bootstrap(log, n, seed, "row_id").withColumn("sample", F.lit(name)) for name, n, seed in SAMPLES
+    ]
+    return reduce(DataFrame.unionByName, parts).select("sample", "draw", "row_id", USER, ITEM)
+
+
 @query(
     "sample_user_cohort",
     f"""WITH {oracle.INTERACTIONS},

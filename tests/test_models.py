@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 import __spark_entry__ as entry_points
 from impressa.functions.hashing import table_checksum
-from impressa.models import classify, features, grid, jobs, recommend, retrieval, stacking
+from impressa.models import classify, features, grid, hashed, jobs, recommend, retrieval, stacking
 from impressa.models.recommend import ITEM_INDEX, USER_INDEX
 from impressa.operators import ids, joins
 from impressa.operators.sampling import fold_number
@@ -375,6 +375,53 @@ def test_neural_scores_are_probabilities_of_every_pair(spark, indexed):
     assert scores.filter("prediction < 0 OR prediction > 1 OR prediction IS NULL").count() == 0
 
 
+@pytest.fixture(scope="module")
+def two_blocks(spark):
+    """Users like items of their own half: 9 of 10 there, 1 of 10 elsewhere."""
+    draw = random.Random(3)
+    pairs = [(u, i) for u in range(60) for i in range(60) if draw.random() < 0.6]
+    made = [(u, i, str(u), str(i), int(draw.random() < (0.9 if u % 2 == i % 2 else 0.1))) for u, i in pairs]
+    columns = f"{USER_INDEX} int, {ITEM_INDEX} int, {USER} string, {ITEM} string, like int"
+    return spark.createDataFrame(made, columns).randomSplit([0.7, 0.3], 5)
+
+
+def area(scored):
+    return BinaryClassificationEvaluator(labelCol="like", rawPredictionCol="prediction").evaluate(scored)
+
+
+def test_the_net_learns_two_blocks(two_blocks):
+    train, test = two_blocks
+    factors = recommend.fit_implicit(train, "like", rank=4)
+    net = recommend.fit_neural(recommend.factor_features(factors, train).cache(), "like", rank=4, iterations=40)
+    assert area(recommend.neural_scores(net, recommend.factor_features(factors, test))) > 0.8
+
+
+def test_hashed_pairs_learn_two_blocks(two_blocks):
+    train, test = two_blocks
+    model = hashed.fit(hashed.hashed_pairs(train, ["like"], 1 << 12).cache(), "like", iterations=150)
+    scored = hashed.scores(model, hashed.hashed_pairs(test, ["like"], 1 << 12))
+    assert area(scored) > 0.8
+    assert scored.filter("prediction < 0 OR prediction > 1 OR prediction IS NULL").count() == 0
+
+
+def test_hashed_pairs_of_unseen_and_null_ids_have_scores(spark, two_blocks):
+    train, _ = two_blocks
+    model = hashed.fit(hashed.hashed_pairs(train, ["like"], 1 << 10).cache(), "like", iterations=5)
+    unseen = spark.createDataFrame([("new", "7"), (None, "7"), (None, None)], f"{USER} string, {ITEM} string")
+    scored = hashed.scores(model, hashed.hashed_pairs(unseen, buckets=1 << 10)).collect()
+    assert len(scored) == 3 and all(0 <= r["prediction"] <= 1 for r in scored)
+
+
+def test_pairs_without_factors_are_counted(spark):
+    known = [(u, i, float(1 + (u + i) % 5)) for u in range(12) for i in range(12)]
+    model = recommend.fit_explicit(spark.createDataFrame(known, "user int, item int, rating double"), "user", "item", "rating")
+    asked = spark.createDataFrame(known[:20] + [(99, 1, 2.0), (1, 99, 2.0), (98, 98, 1.0)], "user int, item int, rating double")
+    found = recommend.explicit_error(model, asked, "user", "item", "rating").first()
+    assert (found["scored"], found["without_factors"]) == (20, 3) and 0 <= found["rmse"] < 3
+    none = recommend.explicit_error(model, asked.filter("user > 90"), "user", "item", "rating").first()
+    assert (none["rmse"], none["scored"], none["without_factors"]) == (None, 0, 2)
+
+
 # ---------------------------------------------------------------- stacker
 
 

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from impressa.functions import labels, similarity, text
 from impressa.operators import (
     aggregates,
+    bootstrap,
     cleaning,
     colocated,
     coldstart,
@@ -18,6 +19,7 @@ from impressa.operators import (
     ordering,
     profiles,
     sampling,
+    sketches,
     textweights,
 )
 from impressa.sources.schemas import ITEM, KEYS, LABELS, USER
@@ -536,3 +538,84 @@ def test_bucketed_tables_join_without_exchange(spark):
 def test_numbers_of_buckets_divide_each_other():
     found = [colocated.buckets_for(n) for n in (0, 1, 10**6, 10**6 + 1, 3 * 10**6, 10**9)]
     assert found == [1, 1, 1, 2, 4, 1024] and colocated.buckets_for(0, least=4) == 4
+
+
+# ---------------------------------------------------------------- draws by hash ranges
+
+
+def test_draws_by_ranges_are_exact_and_repeatable(spark, monkeypatch):
+    monkeypatch.setattr(bootstrap, "RANGE_ROWS", 20)
+    monkeypatch.setattr(bootstrap, "DRAW_RUN", 16)
+    df = spark.range(700).select(F.col("id").alias("key"), (F.col("id") * 2).alias("x"))
+    sample = bootstrap.bootstrap(df, 5000, 19, "key")
+    drawn = rows(sample, "draw", "key", "x")
+    assert [d for d, _, _ in drawn] == list(range(5000)) and all(x == 2 * k for _, k, x in drawn)
+    assert drawn == rows(bootstrap.bootstrap(df.repartition(13), 5000, 19, "key"), "draw", "key", "x")
+    assert drawn != rows(bootstrap.bootstrap(df, 5000, 20, "key"), "draw", "key", "x")
+
+
+def test_draws_by_ranges_are_multinomial(spark, monkeypatch):
+    """Draws of each row over many samples: mean and variance of a uniform multinomial."""
+    monkeypatch.setattr(bootstrap, "RANGE_ROWS", 4)
+    df = spark.range(60).select(F.col("id").alias("key"))
+    counts = np.zeros((12, 60))
+    for seed in range(12):
+        for r in bootstrap.bootstrap_keys(df, 600, seed, "key").groupBy("key").count().collect():
+            counts[seed, r["key"]] = r["count"]
+    assert (counts.sum(axis=1) == 600).all()
+    # Chi-square of 12 x 59 degrees of freedom, five standard deviations to either side.
+    statistic, freedom = ((counts - 10) ** 2 / 10).sum(), 12 * 59
+    assert abs(statistic - freedom) < 5 * (2 * freedom) ** 0.5
+
+
+@pytest.mark.parametrize("bits", [0, 1, 4])
+def test_draws_of_ranges_add_up(spark, bits):
+    sizes = spark.createDataFrame([(i, i + 1) for i in range(0, 1 << bits, 3)], "range bigint, rows bigint")
+    for n in (0, 1, 977):
+        found = bootstrap.range_draws(sizes, bits, n, 3).collect()
+        assert len(found) == sizes.count() and sum(r["draws"] for r in found) == n
+
+
+def test_draws_by_ranges_of_one_row_and_of_none(spark):
+    one = spark.range(1).select(F.col("id").alias("key"))
+    assert bootstrap.bootstrap(one, 40, 1, "key").count() == 40
+    assert bootstrap.bootstrap(one, 0, 1, "key").count() == 0
+    with pytest.raises(ValueError):
+        bootstrap.bootstrap(one.limit(0), 5, 1, "key")
+
+
+def test_draws_by_ranges_sort_no_rows_globally(spark):
+    """Ranges are few; the rows themselves meet by hash only."""
+    df = spark.range(5000).select(F.col("id").alias("key"))
+    plan = bootstrap.bootstrap_keys(df, 100, 1, "key")._jdf.queryExecution().executedPlan().toString()
+    assert "rangepartitioning" not in plan
+
+
+# ---------------------------------------------------------------- sketches
+
+
+def test_sketches_of_parts_merge_within_their_error(spark, tmp_path):
+    df = spark.range(60_000).select(
+        (F.col("id") % 6).alias("part"),
+        F.when(F.col("id") % 10 > 0, F.col("id") % 9000).alias("who"),
+        (F.col("id") * 7919 % 60_000).cast("double").alias("x"),
+    )
+    path, built = str(tmp_path / "parts"), sketches.part_sketches(df, ["part"], ["who"], ["x"])
+    for part in range(6):
+        sketches.store_parts(built.filter(F.col("part") == part), path, "part")
+    sketches.store_parts(built.filter("part = 2"), path, "part")
+    stored = sketches.read_parts(spark, path)
+    assert stored.count() == 6
+    found = sketches.estimates(sketches.merged(stored), [0.1, 0.5, 0.99]).first()
+    exact = df.agg(F.count_distinct("who")).first()[0]
+    assert found["n"] == 60_000 and abs(found["distinct_who"] - exact) < 0.04 * exact
+    assert np.allclose(found["quantiles_x"], [6000, 30_000, 59_400], atol=0.012 * 60_000)
+    half = sketches.estimates(sketches.merged(stored.filter("part < 3"))).first()
+    assert half["n"] == 30_000
+
+
+def test_sketches_of_nulls_and_of_no_rows(spark):
+    df = spark.createDataFrame([(1, None, None), (1, None, None)], "part int, who string, x double")
+    found = sketches.estimates(sketches.part_sketches(df, ["part"], ["who"], ["x"])).first()
+    assert (found["n"], found["distinct_who"], found["quantiles_x"]) == (2, 0, None)
+    assert sketches.merged(sketches.part_sketches(df.limit(0), ["part"], ["who"], ["x"]), ["part"]).count() == 0

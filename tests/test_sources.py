@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from impressa.functions.labels import with_labels
 from impressa.models.recommend import fit_explicit
 from impressa.session import discard, materialize, scratch_dir, scratch_path
-from impressa.sources import readers, schemas, views, writers
+from impressa.sources import onefile, quarantine, readers, schemas, views, writers
 from impressa.sources.schemas import FIELD_SEPARATOR, ITEM, USER
 
 
@@ -181,3 +181,78 @@ def test_discard_deletes_a_table(spark):
     spark.range(3).write.parquet(path)
     discard(spark, path)
     assert not Path(path).exists()
+
+
+# ---------------------------------------------------------------- quarantine
+
+
+def test_every_line_is_good_or_bad(spark, tmp_path):
+    path = tmp_path / "log.tsv"
+    lines = [
+        line(text_tokens='"a', tweet_id="A", engaging_user_is_verified="true", like_timestamp=3),
+        line(tweet_id="B", engaging_user_follower_count="many", reply_timestamp="never"),
+        line(tweet_id="C")[:-1],
+        line(tweet_id="D") + FIELD_SEPARATOR,
+        "",
+        line(),
+        line(tweet_id="A", like_timestamp="12345678901234567890"),
+    ]
+    path.write_text("\n".join(lines) + "\n")
+    good, bad = quarantine.read_checked(spark, str(path))
+    assert good.schema == schemas.RAW_LOG and good.count() + bad.count() == len(lines)
+    kept = {r[ITEM]: r for r in good.collect()}
+    assert set(kept) == {"A", None} and kept["A"]["text_tokens"] == '"a' and kept["A"]["like_timestamp"] == 3
+    told = sorted((r["line"], r["reason"], r["column"]) for r in bad.collect())
+    assert told == sorted(
+        [
+            (lines[1], "type", "engaging_user_follower_count"),
+            (lines[2], "width", None),
+            (lines[3], "width", None),
+            (lines[4], "width", None),
+            (lines[6], "type", "like_timestamp"),
+        ]
+    )
+    assert all(r["file"].endswith("log.tsv") for r in bad.collect())
+
+
+def test_good_lines_are_those_of_the_plain_reader(spark, small, tmp_path):
+    path = str(tmp_path / "log")
+    writers.write_sample(views.impressions(spark, small), path, row_id="row_id")
+    good, bad = quarantine.read_checked(spark, path)
+    plain = readers.read_raw_log(spark, path)
+    assert bad.count() == 0
+    assert good.exceptAll(plain).count() == plain.exceptAll(good).count() == 0
+
+
+def test_quarantine_keeps_earlier_runs(spark, tmp_path):
+    path, kept = tmp_path / "ids.txt", str(tmp_path / "bad")
+    path.write_text("1,2\nx,2\n1\n")
+    schema = schemas.struct("a int, b int")
+    for _ in range(2):
+        good, bad = quarantine.read_checked(spark, str(path), schema, ",")
+        quarantine.write_quarantine(bad, kept)
+    assert [tuple(r) for r in good.collect()] == [(1, 2)]
+    assert sorted(r["reason"] for r in spark.read.parquet(kept).collect()) == ["type", "type", "width", "width"]
+
+
+# ---------------------------------------------------------------- one file
+
+
+@pytest.mark.parametrize("header", [True, False])
+def test_parts_become_one_file_in_order(spark, tmp_path, header):
+    path = tmp_path / "rows.csv"
+    df = spark.range(2000, numPartitions=7).select("id", F.concat(F.lit("é"), F.col("id")).alias("name"))
+    for _ in range(2):
+        onefile.write_one_file(df, str(path), sep=",", header=header)
+    expected = (["id,name"] if header else []) + [f"{i},é{i}" for i in range(2000)]
+    assert path.read_text().splitlines() == expected
+    assert [p.name for p in tmp_path.iterdir()] == ["rows.csv"]
+    assert spark.read.csv(str(path), header=header).count() == 2000
+
+
+def test_one_file_of_no_rows(spark, tmp_path):
+    empty = spark.range(0).select("id", F.lit("x").alias("name"))
+    onefile.write_one_file(empty, str(tmp_path / "named.csv"), sep=",")
+    onefile.write_one_file(empty, str(tmp_path / "bare.csv"), sep=",", header=False)
+    assert (tmp_path / "named.csv").read_text() == "id,name\n"
+    assert (tmp_path / "bare.csv").read_text() == ""
