@@ -1,13 +1,15 @@
 """Secrets in texts: candidates by pattern, false positives removed by a random forest.
 
 Patterns raise every key, password in a URL, assignment and long token that could be a secret. Features describe the
-candidate (length, character transitions, dictionary coverage, signs of a path) and the words
-around it. A forest trained on labelled findings decides which ones are secrets. All of it is
+candidate (length, character transitions and dictionary coverage as counted over the corpus, signs of a
+path) and the words around it. A forest trained on labelled findings decides which ones are secrets. All of it is
 column expressions and the ML library's own trees.
 """
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import RandomForestClassifier
 from pyspark.ml.feature import VectorAssembler
@@ -15,6 +17,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from impressa.llm.findings import labelled_texts
 from impressa.session import materialize
 
 # Formats of keys.
@@ -30,29 +33,19 @@ PREFIXED_KEY = (
 )
 CREDENTIAL_WORDS = (
     "password", "passwd", "pwd", "passphrase", "secret", "token", "credential", "auth", "bearer",
-    "apikey", "api_key", "api-key", "access_key", "private_key",
+    "apikey", "api_key", "api-key", "api key", "access_key", "private_key",
 )
 HARMLESS_WORDS = (
     "commit", "revision", "checksum", "digest", "sha", "md5", "uuid", "guid", "version", "mail",
     "phone", "call", "card", "isbn", "href", "src", "example", "sample", "dummy", "placeholder",
 )
-DICTIONARY = (
-    "about", "access", "account", "admin", "after", "again", "archive", "before", "build", "change",
-    "client", "config", "content", "create", "data", "default", "document", "domain", "dummy",
-    "example", "file", "first", "folder", "from", "group", "home", "http", "image", "index", "info",
-    "local", "login", "mail", "main", "master", "message", "name", "number", "online", "order",
-    "other", "page", "password", "path", "phone", "place", "post", "press", "private", "product",
-    "public", "sample", "search", "secret", "server", "service", "site", "system", "test", "text",
-    "that", "thing", "this", "time", "token", "update", "user", "value", "version", "with", "work",
-    "world", "year", "your",
-)
 _TOKEN = "A-Za-z0-9+/=_.@:~%-"
 _NAMED = "|".join(CREDENTIAL_WORDS)
 # Patterns with a lead before the value, which is one of the groups that follow.
 URL_CREDENTIAL = r"(://[^\s/:@\"'<>]*:)([^\s/\"'<>]+)@"
 ASSIGNMENT = (
     rf"((?i:{_NAMED})[A-Za-z0-9_-]{{0,20}}(?:\\?[\"'])?\s{{0,3}}(?::=|=>|={{1,3}}|:)\s{{0,3}})"
-    r"(?:\"([^\"\n]{8,})\"|'([^'\n]{8,})'|(?:\\?[\"'])?([^\s\"'<>]{8,}))"
+    r"(?:\"([^\"\n]+)\"|'([^'\n]+)'|(?:\\?[\"'])?([^\s\"'<>]+))"
 )
 # Searched one after the other, each in what the earlier ones have left.
 KINDS = {
@@ -61,7 +54,7 @@ KINDS = {
     "prefixed_key": rf"(?<![A-Za-z0-9]){PREFIXED_KEY}",
     "url_credential": URL_CREDENTIAL,
     "assignment": ASSIGNMENT,
-    "token": rf"(?<![{_TOKEN}])(?=[A-Za-z+/=_.@:~%-]*[0-9])[{_TOKEN}]{{12,}}",
+    "token": rf"(?<![{_TOKEN}])(?=[A-Za-z+/=_.@:~%-]*[0-9])[{_TOKEN}]+",
 }
 FIXED_FORMATS = ("private_key", "cloud_key", "prefixed_key")
 # Stands for characters that are taken; no pattern but that of private keys goes over it.
@@ -70,16 +63,63 @@ _TAKEN = "\n"
 NEIGHBOURHOOD = 40
 # At most so many labelled findings of either label, by hash of the finding, train a forest.
 TRAINING_FINDINGS = 20_000
-# Values of at least so many characters are secret wherever the same text repeats them.
+# Words of the corpus, most frequent first, that count as its dictionary; a word seen once is left out, as it
+# may be a secret itself; the first of them also stand
+# around the labelled findings.
+DICTIONARY_WORDS, COMMON_WORDS = 20_000, 2_000
+# A longer run of letters is no word.
+_WORD_LENGTH = 40
+# Shorter values are replaced elsewhere in their text only where they stand alone.
 COPIED = 8
 _KEY = "_row_key"
 
 FEATURES = (
-    "length", "digits", "uppers", "distinct", "transitions", "dictionary", "path_signs", "dots",
-    "at_sign", "credential_word", "harmless_word", "assigned", "quoted", "words_around", "known_format",
+    "length", "digits", "uppers", "distinct", "transitions", "letter_pairs", "dictionary", "repeats",
+    "path_signs", "dots", "code_signs", "spaces", "at_sign", "scheme", "extension", "hexadecimal", "uuid",
+    "placeholder", "word_form", "in_url", "known_format", "named", "credential_word", "harmless_word", "assigned",
+    "quoted", "words_around",
 )
 
 
+@dataclass(frozen=True)
+class CorpusLanguage:
+    """What the scanned corpus says about words: bounded tables, whatever its size."""
+
+    # (word): the DICTIONARY_WORDS most frequent ones.
+    dictionary: DataFrame
+    # One row: ``common``, the first COMMON_WORDS of them, and ``pairs``, 26 x 26 log probabilities of letters after letters.
+    row: DataFrame
+
+
+def corpus_language(documents: DataFrame) -> CorpusLanguage:
+    """Words and letter transitions counted over all texts; without words, an empty dictionary and even odds."""
+    spark = documents.sparkSession
+    parts = documents.select(F.explode(F.split(F.lower("text"), r"\s+")).alias("part"))
+    counted = parts.filter(F.length("part").between(2, _WORD_LENGTH)).groupBy("part").agg(F.count("*").alias("n"))
+    word = F.regexp_extract("part", r"^\p{Punct}{0,2}(\p{L}{2,})\p{Punct}{0,3}$", 1)
+    words = counted.select(word.alias("word"), "n").filter("word <> ''")
+    words = materialize(words.groupBy("word").agg(F.sum("n").alias("n")))
+    frequent = words.filter("n > 1").orderBy(F.desc("n"), "word").limit(DICTIONARY_WORDS)
+    dictionary = materialize(frequent)
+    first = dictionary.orderBy(F.desc("n"), "word").limit(COMMON_WORDS)
+    common = first.agg(F.sort_array(F.collect_list(F.struct(F.negative("n").alias("m"), "word")))["word"].alias("common"))
+    letters = words.select("n", F.transform(F.split("word", ""), lambda c: F.ascii(c) - 97).alias("c"))
+    places = letters.select("n", F.explode(_places("c")).alias("place")).groupBy("place").agg(F.sum("n").alias("n"))
+    grid = spark.range(26 * 26).select(F.col("id").cast("int").alias("place"))
+    seen = grid.join(F.broadcast(places), "place", "left").fillna(0, subset=["n"])
+    rest = F.sum("n").over(Window.partitionBy(F.expr("place div 26")))
+    logs = seen.select("place", F.log((F.col("n") + 1.0) / (rest + 26.0)).alias("p"))
+    pairs = logs.agg(F.sort_array(F.collect_list(F.struct("place", "p")))["p"].alias("pairs"))
+    return CorpusLanguage(dictionary.select("word"), materialize(common.join(F.broadcast(pairs))))
+
+
+def _places(codes: str) -> Column:
+    """Places in the grid of letters of all pairs of neighbours that are both from a to z."""
+    after = F.slice(codes, F.lit(2), F.greatest(F.size(codes) - 1, F.lit(0)))
+    both = F.zip_with(codes, after, lambda a, b: F.when(a.between(0, 25) & b.between(0, 25), a * 26 + b))
+    return F.filter(both, lambda place: place.isNotNull())
+
+
 def _piece(match: Column, at: Column) -> Column:
     """A match with the length of the text before it, and its neighbourhood."""
     return F.struct(
@@ -92,9 +132,10 @@ def _piece(match: Column, at: Column) -> Column:
 
 
 def candidates(documents: DataFrame) -> DataFrame:
-    """(doc_id, kind, value, start, before, after): every possible secret, positions from 0.
+    """(_row, doc_id, kind, value, start, before, after): every possible secret, positions from 0.
 
-    A row per match in a whole text; null texts have none. ``start`` counts code points. Kinds are
+    A row per match in a whole text; null texts have none. ``start`` counts code points, ``_row`` tells rows
+    of ``documents`` apart. Kinds are
     searched one after the other, the matches of earlier ones blanked out by as many characters, so
     that no match hides or cuts one of a stronger kind and none overlap. The pieces between matches
     tell where each match lies; their lengths are added up per text and kind.
@@ -147,6 +188,7 @@ def candidates(documents: DataFrame) -> DataFrame:
         F.col("_lead") + F.instr(F.substring(match, F.col("_lead") + 1, F.length(match)), F.col("value")) - 1,
     )
     return located.select(
+        "_row",
         "doc_id",
         "kind",
         "value",
@@ -164,59 +206,66 @@ def _share(value: Column, pattern: str) -> Column:
     return 1.0 - left / F.greatest(F.length(value), F.lit(1))
 
 
-def with_features(found: DataFrame) -> DataFrame:
+def with_features(found: DataFrame, language: CorpusLanguage) -> DataFrame:
     """``found`` with the double columns ``FEATURES``."""
+    runs = F.regexp_extract_all("value", F.lit(r"\p{Lu}?\p{Ll}+|\p{Lu}+"), F.lit(0))
+    places = ["_row", "kind", "start"]
+    words = found.select(*places, F.explode(runs).alias("_run")).withColumn("word", F.lower("_run"))
+    covered = words.join(F.broadcast(language.dictionary), "word").groupBy(*places).agg(
+        F.sum(F.length("_run")).alias("_covered")
+    )
+    found = found.join(covered, places, "left").join(F.broadcast(language.row.select("pairs")))
+    found = found.withColumn("_codes", F.transform(F.split(F.lower("value"), ""), lambda c: F.ascii(c) - 97))
+    found = found.withColumn("_places", _places("_codes"))
     value, before, after = F.col("value"), F.lower("before"), F.lower("after")
     size = F.greatest(F.length(value), F.lit(1)).cast("double")
-    runs = F.size(F.regexp_extract_all(value, F.lit("[A-Z]+|[a-z]+|[0-9]+|[^A-Za-z0-9]+"), F.lit(0)))
+    classes = F.size(F.regexp_extract_all(value, F.lit("[A-Z]+|[a-z]+|[0-9]+|[^A-Za-z0-9]+"), F.lit(0)))
+    likely = F.aggregate("_places", F.lit(0.0), lambda total, place: total + F.get("pairs", place))
     features = {
         "length": size,
         "digits": _share(value, "[0-9]"),
         "uppers": _share(value, "[A-Z]"),
         "distinct": F.size(F.array_distinct(F.split(value, ""))) / size,
         # Runs of one class of characters, less one, by length.
-        "transitions": (runs - 1) / size,
-        "dictionary": _share(F.lower(value), "|".join(DICTIONARY)),
+        "transitions": (classes - 1) / size,
+        # Mean log probability of a letter after the one before it, as the corpus has them.
+        "letter_pairs": F.when(F.size("_places") > 0, likely / F.size("_places")).otherwise(0.0),
+        "dictionary": F.coalesce(F.col("_covered"), F.lit(0)) / size,
+        "repeats": _share(value, r"(.)\1{3,}"),
         "path_signs": F.length(F.regexp_replace(value, r"[^/\\~?&]", "")) / size,
         "dots": F.length(F.regexp_replace(value, r"[^.:]", "")) / size,
-        "at_sign": value.contains("@"),
+        "code_signs": _share(value, r"[(){}<>\[\]$%*]"),
+        "spaces": _share(value, r"\s"),
+        "at_sign": value.rlike(r"^[^@\s]+@[^@\s]+\.[A-Za-z]{2,}$"),
+        "scheme": value.contains("://") | F.lower(value).startswith("www."),
+        "extension": value.rlike(r"\.[A-Za-z]{2,4}$"),
+        "hexadecimal": value.rlike(r"^[0-9a-f]+$"),
+        "uuid": value.rlike(r"^[0-9a-f]{8}-(?:[0-9a-f]{4}-){3}[0-9a-f]{12}$"),
+        "placeholder": value.rlike(r"(?i)example|placeholder|changeme|xxxx|dummy|sample|your"),
+        "word_form": value.rlike(r"^\p{L}+$"),
+        "in_url": F.col("kind") == "url_credential",
+        "known_format": F.col("kind").isin(*FIXED_FORMATS),
+        "named": F.col("kind") == "assignment",
         "credential_word": before.rlike("|".join(CREDENTIAL_WORDS)),
-        "harmless_word": F.concat(before, F.lit(" "), after).rlike(
-            rf"\b(?:{'|'.join(HARMLESS_WORDS)})"
-        ),
-        "known_format": F.col("kind").isin(*FIXED_FORMATS, "url_credential"),
+        "harmless_word": F.concat(before, F.lit(" "), after).rlike(rf"\b(?:{'|'.join(HARMLESS_WORDS)})"),
         "assigned": before.rlike(r"[:=]\s*[\"']?$"),
         "quoted": before.rlike(r"[\"']$") & after.rlike(r"^[\"']"),
         "words_around": F.size(F.regexp_extract_all(F.concat(before, F.lit(" "), after), F.lit(r"\p{L}{2,}"), F.lit(0))),
     }
-    return found.withColumns({name: features[name].cast("double") for name in FEATURES})
+    described = found.withColumns({name: features[name].cast("double") for name in FEATURES})
+    return described.drop("_covered", "pairs", "_codes", "_places")
 
 
-def with_silver_label(found: DataFrame) -> DataFrame:
-    """Add ``label`` where a finding speaks for itself: 1 a secret, 0 none, null undecided.
+def labelled_findings(examples: DataFrame, language: CorpusLanguage) -> DataFrame:
+    """Findings with ``FEATURES`` and ``label`` from (text, value, label), texts each with one judged value.
 
-    Keys with a format of their own, passwords in URLs other than placeholders, and credentials
-    assigned to a value of letters and digits, are secrets. Addresses, plain numbers, links, paths, dates, file names and placeholders are none.
+    Texts pass the same search as documents; what is found in them besides the judged value is left out, and a
+    text whose value is no candidate, a null one included, teaches nothing.
     """
-    value = F.col("value")
-    placeholder = value.rlike(r"(?i)example|placeholder|changeme|xxxx|dummy|your")
-    harmless = (
-        value.rlike(r"^[^@\s]+@[^@\s]+\.[A-Za-z]{2,}$")
-        | value.rlike(r"^[0-9+.:/=_%-]+$")
-        | value.rlike(r"(?i)^(?:https?|ftp)://|^www\.|://")
-        | value.rlike(r"^[~.]*/|/[^/]+/")
-        | value.rlike(r"(?i)\.(?:html?|php|jpe?g|png|gif|pdf|txt|csv|js|css|com|org|net)$")
-        | placeholder
-        | value.rlike(r"^[a-z]+(?:[-_.][a-z]+)*[0-9]{0,4}$")
-    )
-    mixed = value.rlike("[0-9]") & value.rlike("[A-Za-z]")
-    label = (
-        F.when(F.col("kind").isin(*FIXED_FORMATS), 1.0)
-        .when((F.col("kind") == "url_credential") & ~placeholder, 1.0)
-        .when(harmless, 0.0)
-        .when((F.col("kind") == "assignment") & mixed, 1.0)
-    )
-    return found.withColumn("label", label)
+    kept = materialize(examples.select("text", "value", "label").withColumn("doc_id", F.monotonically_increasing_id()))
+    found = candidates(kept.select("doc_id", "text"))
+    judged = kept.select("doc_id", "value", F.col("label").cast("double").alias("label"))
+    return with_features(found.join(judged, ["doc_id", "value"]), language)
 
 
 def train(labelled: DataFrame, per_label: int = TRAINING_FINDINGS) -> PipelineModel | None:
@@ -235,7 +284,7 @@ def train(labelled: DataFrame, per_label: int = TRAINING_FINDINGS) -> PipelineMo
     if sample.select("label").distinct().count() < 2:
         return None
     forest = RandomForestClassifier(
-        featuresCol="_features", labelCol="label", numTrees=30, maxDepth=7, seed=11,
+        featuresCol="_features", labelCol="label", numTrees=40, maxDepth=10, featureSubsetStrategy="onethird", seed=11,
         probabilityCol="_probability", rawPredictionCol="_raw", predictionCol="_class",
     )
     return Pipeline(
@@ -246,10 +295,10 @@ def train(labelled: DataFrame, per_label: int = TRAINING_FINDINGS) -> PipelineMo
 def classify(found: DataFrame, model: PipelineModel | None) -> DataFrame:
     """``found`` with ``probability`` of being a secret, rounded to 6 digits.
 
-    Without a model the silver label decides, and undecided findings have 0.5.
+    Without a model nothing is known of any, and all have 0.5.
     """
     if model is None:
-        return found.withColumn("probability", F.coalesce("label", F.lit(0.5)))
+        return found.withColumn("probability", F.lit(0.5))
     scored = model.transform(found)
     return scored.withColumn(
         "probability", F.round(vector_to_array("_probability")[1], 6)
@@ -260,13 +309,16 @@ def scan(documents: DataFrame, labelled: DataFrame | None = None, key: str = "do
     """(doc_id, kind, value, start, length, probability, is_secret) of all findings.
 
     ``documents`` has (doc_id, text) and may have more columns; ``key`` names another column than
-    doc_id to tell findings by, here and in the result. Texts are searched whole. The forest
-    is trained on ``labelled``, findings with features and a 0/1 label, or else on the findings of
-    these documents that speak for themselves. Repeated rows give repeated findings; null and empty
-    texts and an empty table give none; a null doc_id stays null.
+    doc_id to tell findings by, here and in the result. Texts are searched whole. The forest is trained on
+    ``labelled``, (text, value, label) with 1 for a secret and 0 for none, or else on texts made by rule
+    (``findings.labelled_texts``). Repeated rows give repeated findings; null and empty texts and an empty
+    table give none; a null doc_id stays null.
     """
-    found = materialize(with_silver_label(with_features(candidates(documents.select(F.col(key).alias("doc_id"), "text")))))
-    model = train(found if labelled is None else labelled)
+    texts = documents.select(F.col(key).alias("doc_id"), "text")
+    language = corpus_language(texts)
+    found = materialize(with_features(candidates(texts), language))
+    examples = labelled_texts(language.row) if labelled is None else labelled
+    model = train(labelled_findings(examples, language))
     return classify(found, model).select(
         F.col("doc_id").alias(key),
         "kind",
@@ -278,38 +330,14 @@ def scan(documents: DataFrame, labelled: DataFrame | None = None, key: str = "do
     )
 
 
-def redact(documents: DataFrame, findings: DataFrame, mark: str = "<secret>") -> DataFrame:
-    """``documents`` with the values of secrets replaced by ``mark``; other columns as they are.
-
-    Secrets are gathered per document, distinct values only, and longer ones are replaced first.
-    Rows that share a doc_id, and those without one, lose the secrets of all of them; where ids may
-    be shared or missing, use :func:`redact_rows`.
-    """
-    secrets = (
-        findings.filter("is_secret")
-        .groupBy("doc_id")
-        .agg(F.collect_set("value").alias("_values"))
-        .select(
-            F.col("doc_id").alias("_doc_id"),
-            F.reverse(
-                F.array_sort(F.transform("_values", lambda v: F.struct(F.length(v).alias("n"), v.alias("v"))))
-            ).alias("_values"),
-        )
-    )
-    joined = documents.join(secrets, documents["doc_id"].eqNullSafe(secrets["_doc_id"]), "left")
-    cleaned = F.aggregate(
-        "_values", F.col("text"), lambda text, s: F.replace(text, s["v"], F.lit(mark))
-    )
-    text = F.when(F.col("_values").isNull(), F.col("text")).otherwise(cleaned)
-    return joined.select(*[text.alias(c) if c == "text" else F.col(c) for c in documents.columns])
-
-
 def redact_rows(documents: DataFrame, mark: str = "<secret>") -> DataFrame:
     """``documents`` scanned and with the secrets of each row replaced by ``mark`` in that row only.
 
     Rows get a key of their own by being written, so ids may be missing or shared and no group is
     larger than the findings of one text. Findings are replaced where they are, from the last to the
-    first; then other copies of their values in the same text, if not shorter than ``COPIED``.
+    first; then other copies of their values in the same text: those of fewer than ``COPIED`` characters
+    where they are not a part of a longer word, and not if they are letters only, as the same word elsewhere is
+    no secret.
     """
     keyed = materialize(documents.withColumn(_KEY, F.monotonically_increasing_id()))
     secrets = (
@@ -328,8 +356,17 @@ def redact_rows(documents: DataFrame, mark: str = "<secret>") -> DataFrame:
         ),
     )
     values = F.array_distinct(F.transform("_spans", lambda s: F.struct(s["length"].alias("n"), s["value"].alias("v"))))
-    copied = F.reverse(F.array_sort(F.filter(values, lambda v: v["n"] >= COPIED)))
-    text = F.aggregate(copied, text, lambda t, s: F.replace(t, s["v"], F.lit(mark)))
+    # A mark that stands already is matched first and stays.
+    kept, shown = F.lit(rf"\Q{mark}\E|"), F.lit(mark.replace("\\", r"\\").replace("$", r"\$"))
+
+    def copies(value: Column) -> Column:
+        quoted = F.concat(F.lit(r"\Q"), F.replace(value, F.lit(r"\E"), F.lit(r"\E\\E\Q")), F.lit(r"\E"))
+        alone = F.concat(F.lit(r"(?<![\p{L}\p{N}])"), quoted, F.lit(r"(?![\p{L}\p{N}])"))
+        return F.concat(kept, F.when(F.length(value) >= COPIED, quoted).otherwise(alone))
+
+    telling = F.filter(values, lambda v: (v["n"] >= COPIED) | v["v"].rlike(r"[^\p{L}]"))
+    copied = F.reverse(F.array_sort(telling))
+    text = F.aggregate(copied, text, lambda t, s: F.regexp_replace(t, copies(s["v"]), shown))
     text = F.when(F.col("_spans").isNull(), F.col("text")).otherwise(text)
     joined = keyed.join(secrets, _KEY, "left")
     return joined.select(*[text.alias(c) if c == "text" else F.col(c) for c in documents.columns])
