@@ -122,6 +122,33 @@ def test_circulant_values_estimate_the_similarity():
     assert (minhash.band_keys(minhash.signature(a)) == minhash.band_keys(minhash.signature(a))).all()
 
 
+def test_unrelated_long_texts_share_no_band():
+    rng = np.random.RandomState(2)
+    keys = [minhash.band_keys(minhash.signature(rng.randint(0, 1 << 62, 250_000).astype(np.uint64))) for _ in range(4)]
+    assert len(set(np.concatenate(keys).tolist())) == 4 * minhash.BANDS
+
+
+def test_words_of_slices_are_the_words_of_the_text(monkeypatch):
+    text = " Ab\tcd  ef\u00a0g\n" + "x" * 50 + " " * 30 + "last"
+    whole = minhash.shingles(text * 7).tolist()
+    monkeypatch.setattr(minhash, "_SLICE_BYTES", 9)
+    assert minhash.shingles(text * 7).tolist() == whole
+
+
+def test_long_chains_are_compared_at_a_linear_cost(spark, monkeypatch):
+    monkeypatch.setattr(minhash, "BLOCK_DOCUMENTS", 8)
+    words = [f"c{i}" for i in range(20_000)]
+    starts = [25 * i + 22 * (i % 40 == 0) for i in range(600)]
+    docs = [(i, " ".join(words[s : s + 200])) for i, s in enumerate(starts)]
+    assert_near_duplicates(spark, docs)
+    sketched = minhash.sketches(spark.createDataFrame(docs, "id bigint, text string"))
+    laid = []
+    for n in (200, 600):
+        members = sketched.filter(F.col("id") < n).select("id", F.lit(0).cast("bigint").alias("cluster"), "n_shingles")
+        laid.append(minhash._in_groups(members, sketched).count())
+    assert laid[0] < 200 * 25 and laid[1] < 4 * laid[0]
+
+
 def test_similar_pairs_at_the_exact_bound():
     sets = [np.arange(n, dtype=np.uint64) for n in (85, 84, 100)]
     linked = minhash.similar_pairs(sets, 85)
