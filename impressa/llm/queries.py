@@ -182,9 +182,8 @@ def op6_sharding(spark: SparkSession, folder: str) -> DataFrame:
         "source": sharding.text_number(F.col("source")),
         "lang": sharding.text_number(F.col("lang")),
         "size": sharding.magnitude(F.col("size")),
-        "doc_id": F.col("doc_id").cast("double"),
     }
-    sharded = sharding.assign_shards(documents, dimensions, 40, ["doc_id", "text_crc32", "size"])
+    sharded = sharding.assign_shards(documents, dimensions, 40, ["doc_id", "text_crc32", "size"], bits=5)
     return sharded.select(
         "doc_id",
         "size",

@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from impressa.operators.ordering import number_rows
+from impressa.session import materialize
 
 
 def text_number(text: Column, bytes_used: int = 6) -> Column:
@@ -21,25 +22,54 @@ def magnitude(number: Column) -> Column:
     return F.length(F.bin(number)).cast("double")
 
 
+# Steps of a dimension's range whose rows are counted to find the cells.
+_STEPS = 1 << 16
+
+
 def quantised(
     df: DataFrame, dimensions: dict[str, Column], bits: int, prefix: str = "_cell"
 ) -> DataFrame:
-    """Add ``_cell0``, ``_cell1``, ...: each dimension cut into 2^bits equal steps of its range.
+    """Add ``_cell0``, ``_cell1``, ...: each dimension cut into 2^bits cells by rank of its rows.
 
-    Ranges come from one aggregate over all rows. Null falls into cell 0, as does every value of a
-    dimension with one value only.
+    Rows are counted in 65,536 equal steps of a dimension's range, and a step's cell follows from the
+    middle rank of its rows, so that cells hold about equal numbers of rows and a frequent value has a
+    cell of its own. The tables of steps are bounded by their number. Null falls into cell 0.
     """
-    cells = 1 << bits
+    numbers = range(len(dimensions))
     bounds = df.agg(
         *[F.min(d).alias(f"_low{i}") for i, d in enumerate(dimensions.values())],
         *[F.max(d).alias(f"_high{i}") for i, d in enumerate(dimensions.values())],
     )
-    placed = {}
+    steps = {}
     for i, dimension in enumerate(dimensions.values()):
         low, high = F.col(f"_low{i}"), F.col(f"_high{i}")
-        step = F.floor((dimension - low) / F.nullif(high - low, F.lit(0.0)) * cells)
-        placed[f"{prefix}{i}"] = F.coalesce(F.least(step, F.lit(cells - 1)), F.lit(0)).cast("bigint")
-    return df.join(F.broadcast(bounds)).select("*", *[c.alias(n) for n, c in placed.items()])
+        part = F.coalesce((dimension - low) / F.nullif(high - low, F.lit(0.0)), F.lit(0.0))
+        step = F.least(F.floor(part * _STEPS), F.lit(_STEPS - 1)).cast("int")
+        steps[f"_step{i}"] = F.when(dimension.isNotNull(), step)
+    stepped = df.join(F.broadcast(bounds)).select("*", *[c.alias(n) for n, c in steps.items()])
+    counts = (
+        stepped.select(F.posexplode(F.array(*steps)).alias("_of", "_step"))
+        .filter(F.col("_step").isNotNull())
+        .groupBy("_of", "_step")
+        .agg(F.count("*").alias("_n"))
+    )
+    whole = Window.partitionBy("_of")
+    ranked = counts.select(
+        "_of",
+        "_step",
+        "_n",
+        F.sum("_n").over(whole.orderBy("_step")).alias("_up_to"),
+        F.sum("_n").over(whole).alias("_all"),
+    )
+    cell = F.expr(f"(2 * _up_to - _n) * {1 << bits} div (2 * _all)")
+    cells = materialize(ranked.select("_of", "_step", cell.alias("_cell")))
+    for i in numbers:
+        own = cells.filter(F.col("_of") == i).select(
+            F.col("_step").alias(f"_step{i}"), F.col("_cell").alias(f"{prefix}{i}")
+        )
+        stepped = stepped.join(F.broadcast(own), f"_step{i}", "left")
+    placed = [F.coalesce(f"{prefix}{i}", F.lit(0)).cast("bigint").alias(f"{prefix}{i}") for i in numbers]
+    return stepped.select(*df.columns, *placed)
 
 
 def hilbert_index(df: DataFrame, cells: Sequence[str], bits: int, name: str) -> DataFrame:

@@ -170,6 +170,23 @@ def test_shards_of_few_null_and_repeated_rows(spark):
     assert [(r["shard"], r["slot"]) for r in one.collect()] == [(0, 0)]
 
 
+def test_a_source_lies_in_few_shards(spark, medium):
+    sources = spark.read.parquet(f"{medium}/documents.parquet").select("doc_id", "source")
+    opened = (
+        queries.op6_sharding(spark, medium).join(sources, "doc_id").groupBy("source").agg(F.countDistinct("shard"))
+    )
+    found = dict(tuple(r) for r in opened.collect())
+    assert len(found) == 20 and max(found.values()) <= 14 and sum(found.values()) <= 20 * 12
+
+
+def test_cells_follow_ranks_and_not_values(spark):
+    rows = [(1, 1.0)] * 60 + [(2, 2.0)] * 20 + [(3, 1e9 + i) for i in range(20)] + [(4, None)]
+    cells = sharding.quantised(spark.createDataFrame(rows, "k int, x double"), {"x": F.col("x")}, 2)
+    found = {r["k"]: r["c"] for r in cells.groupBy("k").agg(F.collect_set("_cell0").alias("c")).collect()}
+    # 1 and 2 fall into one of the 65,536 steps of the range.
+    assert found == {1: [1], 2: [1], 3: [3], 4: [0]}
+
+
 def test_written_shards_let_readers_skip(spark):
     rng = random.Random(1)
     df = spark.createDataFrame([(rng.randrange(1000), f"s{rng.randrange(30):02}") for _ in range(3000)], "a bigint, s string")
