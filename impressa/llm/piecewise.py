@@ -18,6 +18,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from impressa.llm.batches import pieces
+from impressa.llm.sharding import text_number
 
 # Window, smallest block size, most signs at either block size, and the signs.
 WINDOW = 7
@@ -146,39 +147,52 @@ _SCHEMA = (
 )
 
 
-def _with_ranges(documents: DataFrame, ranges: int) -> DataFrame:
-    """Add ``_range``, which grows with the id; null ids have range -1.
+def _ranged(documents: DataFrame, number: str, ranges: int) -> DataFrame:
+    """Add ``_of``, which grows with ``number``.
 
     Cut points are approximate quantiles: their number is fixed and any cut points will do.
     """
     places = [i / ranges for i in range(1, ranges)]
-    cuts = documents.agg(F.percentile_approx(F.col("id").cast("double"), places, 10_000)).first()[0]
+    cuts = documents.agg(F.percentile_approx(number, places, 10_000)).first()[0]
     splits = [float("-inf"), *sorted(set(cuts or [0.0])), float("inf")]
-    numbered = documents.withColumn("_number", F.coalesce(F.col("id").cast("double"), F.lit(0.0)))
-    ranged = Bucketizer(splits=splits, inputCol="_number", outputCol="_of").transform(numbered)
-    return ranged.withColumn(
-        "_range", F.when(F.col("id").isNull(), F.lit(-1)).otherwise(F.col("_of").cast("int"))
-    ).drop("_number", "_of")
+    return Bucketizer(splits=splits, inputCol=number, outputCol="_of").transform(documents)
+
+
+def _with_ranges(documents: DataFrame, ranges: int) -> DataFrame:
+    """Add ``_range``, which grows with the id, and ``_number``, by which a range is found.
+
+    Rows without an id have ranges of their own below, which fall as the first bytes of the text rise.
+    """
+    with_id = documents.filter(F.col("id").isNotNull()).withColumn("_number", F.col("id").cast("double"))
+    start = F.coalesce(text_number(F.col("text")), F.lit(-1.0))
+    without = documents.filter(F.col("id").isNull()).withColumn("_number", start)
+    placed = _ranged(with_id, "_number", ranges).withColumn("_range", F.col("_of").cast("int"))
+    if without.isEmpty():
+        return placed.drop("_of")
+    below = _ranged(without, "_number", ranges).withColumn("_range", (-1 - F.col("_of")).cast("int"))
+    return placed.unionByName(below).drop("_of")
 
 
 def _beside_next(documents: DataFrame) -> DataFrame:
     """Rows by range in descending id, each range followed by the first rows of the next one.
 
-    (id, text, _range, _guest): guests are those copies. Only the first ids of ranges, one row a
-    range, are looked at across ranges; texts are shuffled once.
+    (id, text, _range, _guest): guests are those copies. Only the first id of each range, or the
+    start of the first text where there is no id, is looked at across ranges; texts are shuffled once.
     """
     spark = documents.sparkSession
     partitions = max(16, int(spark.conf.get("spark.sql.shuffle.partitions")))
     ranged = _with_ranges(documents, partitions * _RANGES_A_PARTITION)
-    heads = ranged.groupBy("_range").agg(F.max("id").alias("_head"))
+    # The first row has the highest id or, without ids, the lowest start of a text.
+    heads = ranged.groupBy("_range").agg(F.max("id").alias("_head"), F.min("_number").alias("_start"))
     up = Window.orderBy("_range")
     lowest = F.min("_range").over(Window.partitionBy())
     heads = heads.select(
-        "_range", "_head", F.coalesce(F.lead("_range").over(up), lowest).alias("_goes_to")
+        "_range", "_head", "_start", F.coalesce(F.lead("_range").over(up), lowest).alias("_goes_to")
     )
     own = F.struct(F.col("_range").alias("range"), F.lit(False).alias("guest"))
     guest = F.struct(F.col("_goes_to").alias("range"), F.lit(True).alias("guest"))
-    is_head = F.col("id").eqNullSafe(F.col("_head"))
+    starts = F.col("_head").isNull() & (F.col("_number") == F.col("_start"))
+    is_head = F.coalesce(F.col("id") == F.col("_head"), starts)
     places = F.explode(F.when(is_head, F.array(own, guest)).otherwise(F.array(own)))
     return (
         ranged.join(F.broadcast(heads), "_range")

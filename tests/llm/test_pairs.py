@@ -1,5 +1,6 @@
 """Near-duplicates, components, top-k search and fingerprints against brute force."""
 
+import hashlib
 import random
 from collections import Counter
 
@@ -276,6 +277,81 @@ def test_fingerprints_of_odd_texts():
     assert piecewise.likenesses(["3::", "3::"], ["3::", "3:a:a"]).tolist() == [1.0, 0.0]
 
 
+def plain_fingerprint(text):
+    """The fingerprint, byte by byte, with numbers of Python."""
+    data = text.encode()
+    triggers = []
+    for p in range(len(data)):
+        x = sum((data[p - k] + 1) * 0x01000193**k for k in range(min(p + 1, 7))) % 2**32
+        x = (x ^ (x >> 15)) * 0x85EBCA6B % 2**32
+        triggers.append(x ^ (x >> 13))
+
+    def signs(block, most):
+        made, total, place = "", 0, 0
+        for byte, trigger in zip(data, triggers, strict=True):
+            total += (byte + 1) * pow(0x9E3779B97F4A7C15, place % 4096 + 1, 2**64)
+            place += 1
+            if trigger % block == block - 1 and len(made) < most - 1:
+                made, total, place = made + sign(total % 2**64), 0, 0
+        return made + sign(total % 2**64) if place else made
+
+    def sign(total):
+        code = (total ^ (total >> 32)) * 0xD6E8FEB86659FD93 % 2**64 >> 58
+        return "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/"[code]
+
+    block = 3
+    while block * 64 < len(data):
+        block *= 2
+    while block > 3 and sum(t % block == block - 1 for t in triggers) < 31:
+        block //= 2
+    return f"{block}:{signs(block, 64)}:{signs(2 * block, 32)}"
+
+
+def plain_likeness(left, right):
+    if left == right:
+        return 1.0
+    sides = []
+    for block, *signs in (left.split(":"), right.split(":")):
+        sides.append({int(block): signs[0], 2 * int(block): signs[1]})
+    found = [
+        1 - levenshtein(a, sides[1][block]) / max(len(a), len(sides[1][block]))
+        for block, a in sides[0].items()
+        if a and sides[1].get(block)
+    ]
+    return max(found, default=0.0)
+
+
+def test_fingerprints_against_brute_force():
+    rng = random.Random(12)
+    texts = ["", "a", "é" * 700, "\0" * 9000, " ".join(str(rng.random()) for _ in range(500))]
+    texts += ["".join(rng.choice("ab cé") for _ in range(n)) for n in (6, 7, 8, 191, 192, 193, 3000, 20_000)]
+    assert [piecewise.fingerprint(t) for t in texts] == [plain_fingerprint(t) for t in texts]
+
+
+def test_comparison_with_the_next_against_brute_force(spark):
+    rng = random.Random(15)
+    text = lambda: "".join(rng.choice("abcdé ") for _ in range(rng.randrange(300)))
+    docs = [(i, text()) for i in range(60)] + [(None, text()) for _ in range(80)] + [(None, None), (None, "same")]
+    df = spark.createDataFrame([*docs, (None, "same")], "doc_id bigint, text string").repartition(4)
+    found = piecewise.compare_with_next(df).collect()
+    order = sorted([*docs, (None, "same")], key=lambda d: (d[0] is None, -(d[0] or 0), (d[1] or "").encode()))
+    expected = []
+    for (i, own), (_, after) in zip(order, order[1:] + order[:1], strict=True):
+        own, after = own or "", after or ""
+        new = own[: len(own) - len(own) // 2] + after[: len(own) // 2]
+        a, b, c = map(plain_fingerprint, (own, new, after))
+        digest = hashlib.sha256(new.encode()).hexdigest()
+        expected.append((i, len(own), digest, a, b, round(plain_likeness(a, b), 9), round(plain_likeness(a, c), 9)))
+    rows = [(*tuple(r)[:5], round(r["near_edited"], 9), round(r["near_next"], 9)) for r in found]
+    assert Counter(rows) == Counter(expected)
+
+
+def test_rows_without_id_are_spread_over_ranges(spark):
+    df = spark.range(4000).select(F.lit(None).cast("bigint").alias("id"), F.sha1(F.col("id").cast("string")).alias("text"))
+    sizes = [r["count"] for r in piecewise._beside_next(df).groupBy("_range").count().collect()]
+    assert len(sizes) > 30 and max(sizes) < 400 and sum(sizes) < 4000 + 2 * len(sizes)
+
+
 def test_each_row_meets_its_next(spark):
     rng = random.Random(5)
     docs = [(i, "".join(rng.choice("abcdé ") for _ in range(rng.randrange(80)))) for i in rng.sample(range(-900, 900), 300)]
