@@ -247,6 +247,6 @@ def rocchio_profiles(spark, folder):
 )
 def rocchio_scores(spark, folder):
     pairs, test, vectors = _feedback(spark, folder)
-    built = materialize(profiles.profiles(pairs, vectors))
+    built = profiles.profiles(pairs, vectors, unfolded=False)
     scores = profiles.profile_scores(test, vectors, built)
     return scores.select(*KEYS, *[F.round(e, 6).alias(e) for e in LABELS])

@@ -433,6 +433,43 @@ def test_profiles_and_scores_equal_dense_arithmetic(spark, monkeypatch):
                 assert row[label] == (None if want is None else pytest.approx(want, abs=1e-12))
 
 
+def test_profiles_in_cells_of_any_size(spark, monkeypatch):
+    """Scores and profiles do not depend on the cells, and no table of terms by pair is written."""
+    n = 7
+    items = [(f"i{k}", [(t, 1.0 + (t * k) % 5) for t in range(k % 3, 12, 1 + k % 2)]) for k in range(n)]
+    items.append(("empty", []))
+    vectors = spark.createDataFrame(items, f"{ITEM} string, terms array<struct<term_index:long,weight:double>>")
+    log = [(f"u{k % 5}" if k % 11 else None, f"i{k * k % (n + 1)}", k % 2, k % 3 // 2, 0, 1) for k in range(90)]
+    log += [("u1", "empty", 1, 0, 0, 1), ("u2", None, 0, 1, 0, 1)]
+    schema = f"{USER} string, {ITEM} string, " + ", ".join(f"{e} int" for e in LABELS)
+    train = spark.createDataFrame(log, schema)
+    asked = [(u, f"i{k}") for u in ("u0", "u1", "u2", "new", None) for k in range(n + 2)] + [("u1", "empty")]
+    test = spark.createDataFrame(asked, f"{USER} string, {ITEM} string")
+    pairs = profiles.pair_counts(train)
+    written = []
+
+    def counted(df):
+        written.append(df.count())
+        return df.localCheckpoint()
+
+    monkeypatch.setattr(profiles, "materialize", counted)
+    seen = []
+    for cell, most in ((1 << 20, 50_000), (40, 50_000), (3, 50_000), (1 << 20, 2)):
+        monkeypatch.setattr(profiles, "CELL_TERMS", cell)
+        monkeypatch.setattr(profiles, "HOT_USER_PAIRS", most)
+        built = profiles.profiles(pairs, vectors)
+        weighted = profiles.profiles(pairs, vectors, unfolded=False)
+        scores = profiles.profile_scores(test, vectors, weighted)
+        both = [built, profiles.class_means(pairs, vectors), scores, profiles.profile_scores(test, vectors, built)]
+        seen.append([sorted(tuple(round(v, 9) if isinstance(v, float) else v for v in r) for r in b.collect()) for b in both])
+        seen[-1][2:] = [sorted(map(str, b)) for b in seen[-1][2:]]
+        assert seen[-1][2] == seen[-1][3]
+        if cell == 1 << 20 and most > 2:
+            assert max(written) <= pairs.count() + len(asked)
+    assert all(s == seen[0] for s in seen)
+    assert len(seen[0][2]) == 3 * n
+
+
 def test_profile_class_weights(spark):
     schema = f"{USER} string, {ITEM} string, " + ", ".join(f"{e} int" for e in LABELS)
     log = spark.createDataFrame([("u", "i", 1, 0, 0, 0), ("u", "j", 0, 0, 0, 0)], schema)
