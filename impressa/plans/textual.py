@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from impressa.functions import text
+from impressa.functions.numbers import rounded
 from impressa.operators import aggregates, encoding, profiles, sampling, textweights
 from impressa.plans import oracle
 from impressa.plans.registry import query
@@ -72,13 +73,16 @@ def idf(spark, folder):
         FROM weighted JOIN lengths USING (doc_id)""",
 )
 def tfidf_normalized(spark, folder):
-    counts = materialize(_document_counts(spark, folder))
     documents = read_table(spark, folder, "documents")
+    # Whole texts come together by document, once for each use; all that follows stays where they are.
+    tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    laid_out = documents.select("doc_id", "text").repartition(tasks, "doc_id")
+    counts = textweights.term_counts(laid_out, "doc_id", text.tokens("text", text.WHITESPACE))
     vocabulary = textweights.fit_vocabulary(counts, documents, "doc_id")
     weighted = textweights.weighted_terms(counts, vocabulary, "doc_id")
     vectors = textweights.document_vectors(weighted, "doc_id")
     cells = vectors.select("doc_id", F.inline("terms"))
-    return cells.withColumn("weight", F.round("weight", 6))
+    return cells.withColumn("weight", rounded("weight", 6))
 
 
 # ---------------------------------------------------------------- categories and numbers
@@ -215,7 +219,7 @@ def class_mean_vectors(spark, folder):
     pairs, _, vectors = _feedback(spark, folder)
     means = profiles.class_means(pairs, vectors)
     return means.select(
-        USER, "term_index", *[F.round(f"{s}_{e}", 6).alias(f"{s}_{e}") for e in LABELS for s in ("pos", "neg")]
+        USER, "term_index", *[rounded(f"{s}_{e}", 6).alias(f"{s}_{e}") for e in LABELS for s in ("pos", "neg")]
     )
 
 
@@ -228,7 +232,7 @@ def class_mean_vectors(spark, folder):
 def rocchio_profiles(spark, folder):
     pairs, _, vectors = _feedback(spark, folder)
     built = profiles.profiles(pairs, vectors)
-    return built.select(USER, "term_index", *[F.round(e, 6).alias(e) for e in LABELS])
+    return built.select(USER, "term_index", *[rounded(e, 6).alias(e) for e in LABELS])
 
 
 @query(

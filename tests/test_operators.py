@@ -6,7 +6,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from impressa.functions import labels, similarity, text
+from impressa.functions import numbers, labels, similarity, text
 from impressa.operators import (
     aggregates,
     bootstrap,
@@ -470,6 +470,17 @@ def test_profiles_in_cells_of_any_size(spark, monkeypatch):
     assert len(seen[0][2]) == 3 * n
 
 
+def test_fast_rounding_equals_round(spark):
+    rng = np.random.default_rng(5)
+    halves = (np.arange(-400, 400) + 0.5) / 1e6
+    values = [*halves, *np.nextafter(halves, 1), *np.nextafter(halves, -1), *rng.normal(size=3000), *rng.normal(size=500) * 1e-6]
+    values += [0.0, -0.0, -1e-9, 1e300, -1e300, 4e9 + 0.1234565, float("nan"), float("inf"), float("-inf"), None]
+    df = spark.createDataFrame([(None if v is None else float(v),) for v in values], "x double").localCheckpoint()
+    for digits in (0, 3, 6, 9):
+        found = df.select(F.round("x", digits).cast("string").alias("a"), numbers.rounded("x", digits).cast("string").alias("b"))
+        assert found.filter("NOT a <=> b").collect() == []
+
+
 def test_profile_class_weights(spark):
     schema = f"{USER} string, {ITEM} string, " + ", ".join(f"{e} int" for e in LABELS)
     log = spark.createDataFrame([("u", "i", 1, 0, 0, 0), ("u", "j", 0, 0, 0, 0)], schema)
