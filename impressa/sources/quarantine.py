@@ -17,7 +17,7 @@ def read_checked(
     Good rows have the columns of ``schema``; an empty cell is null. Bad ones are (file, line, reason,
     column): ``width`` where the number of cells differs from the schema's, an empty line included, else
     ``type`` with the first column whose cell does not read as its type. Both come from one narrow scan of
-    the lines, each side filtered in place; nothing is shuffled or gathered.
+    the lines, each side filtered in place; nothing is shuffled or gathered. A line is cut and read once.
     """
     lines = spark.read.text(path).select(
         F.col("_metadata.file_path").alias("file"),
@@ -33,13 +33,15 @@ def read_checked(
         if not isinstance(field.dataType, T.StringType):
             wrong.append(F.when(cell.isNotNull() & value.isNull(), F.lit(field.name)))
     first_wrong = F.coalesce(*wrong) if wrong else F.lit(None).cast("string")
-    good = lines.filter(fits & first_wrong.isNull()).select(*read)
-    bad = lines.filter(~fits | first_wrong.isNotNull()).select(
-        "file",
-        "line",
-        F.when(~fits, F.lit("width")).otherwise(F.lit("type")).alias("reason"),
-        F.when(fits, first_wrong).alias("column"),
+    reason = F.when(~fits, F.lit("width")).when(first_wrong.isNotNull(), F.lit("type"))
+    judged = F.struct(
+        "file", "line", reason.alias("reason"), F.when(fits, first_wrong).alias("column"), F.struct(*read).alias("_read")
     )
+    # A generator, so that the filters below are not moved under it, where they would cut the line
+    # anew for every cell that they look at.
+    checked = lines.select(F.inline(F.array(judged)))
+    good = checked.filter(F.col("reason").isNull()).select("_read.*")
+    bad = checked.filter(F.col("reason").isNotNull()).select("file", "line", "reason", "column")
     return good, bad
 
 
