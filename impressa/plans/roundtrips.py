@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from impressa.operators import ids
@@ -33,6 +33,14 @@ _LOG_COLUMNS = [
 ]
 
 
+def _write_log(spark: SparkSession, folder: str, path: str) -> None:
+    """The log as compressed text: every row repeats the whole text of its item.
+
+    Exposures are dealt out while they are narrow, as rows grow a lot where the texts come in.
+    """
+    writers.write_sample(views.impressions(spark, folder, spread=True), path, row_id="row_id", compression="gzip")
+
+
 def _shown(log: DataFrame) -> DataFrame:
     tokens = F.size(F.array_remove(F.split("text_tokens", "\t"), "")).alias("n_tokens")
     return log.select(*_LOG_COLUMNS, tokens)
@@ -42,7 +50,7 @@ def _shown(log: DataFrame) -> DataFrame:
 def raw_log_round_trip(spark, folder):
     """The 24-column log without header and row number."""
     path = scratch_path(spark)
-    writers.write_sample(views.impressions(spark, folder), path, row_id="row_id")
+    _write_log(spark, folder, path)
     delete_at_end(spark, path)
     return _shown(readers.read_raw_log(spark, path))
 
@@ -51,7 +59,7 @@ def raw_log_round_trip(spark, folder):
 def raw_log_to_parquet(spark, folder):
     """The log converted to Parquet, where the filter is pushed into the scan."""
     text, table = scratch_path(spark), scratch_path(spark)
-    writers.write_sample(views.impressions(spark, folder), text, row_id="row_id")
+    _write_log(spark, folder, text)
     readers.raw_log_to_parquet(spark, text, table)
     for path in (text, table):
         delete_at_end(spark, path)
@@ -71,7 +79,7 @@ def quarantine_round_trip(spark, folder):
 
     The first cell carries the row number, so that every line can be told.
     """
-    log = views.impressions(spark, folder)
+    log = views.impressions(spark, folder, spread=True)
     cells = [F.coalesce(F.col(c).cast("string"), F.lit("")) for c in RAW_LOG.names]
     cells[0] = F.col("row_id").cast("string")
     time = RAW_LOG.names.index("tweet_timestamp")

@@ -256,3 +256,28 @@ def test_one_file_of_no_rows(spark, tmp_path):
     onefile.write_one_file(empty, str(tmp_path / "bare.csv"), sep=",", header=False)
     assert (tmp_path / "named.csv").read_text() == "id,name\n"
     assert (tmp_path / "bare.csv").read_text() == ""
+
+
+def test_compressed_log_reads_as_the_plain_one(spark, small, tmp_path):
+    log = views.impressions(spark, small, spread=True)
+    writers.write_sample(log, f"{tmp_path}/packed", row_id="row_id", compression="gzip")
+    writers.write_sample(log, f"{tmp_path}/plain", row_id="row_id")
+    size = {n: sum(p.stat().st_size for p in (tmp_path / n).glob("part-*")) for n in ("packed", "plain")}
+    assert size["packed"] < size["plain"] / 2
+    packed, plain = (readers.read_raw_log(spark, f"{tmp_path}/{n}") for n in ("packed", "plain"))
+    assert plain.count() > 0 and packed.exceptAll(plain).count() == plain.exceptAll(packed).count() == 0
+
+
+def test_impressions_meet_their_texts_last(spark, small):
+    """Rows are narrow where they are shuffled for their users."""
+    plan = views.impressions(spark, small)._jdf.queryExecution().optimizedPlan().toString()
+    joins = [line for line in plan.splitlines() if "Join" in line]
+    assert len(joins) == 2 and "tweet_id" in joins[0] and "engaging_user_id" in joins[1]
+
+
+def test_checked_lines_are_cut_once(spark, tmp_path):
+    path = f"{tmp_path}/log"
+    spark.createDataFrame([("a\x01b",)], "value string").write.text(path)
+    for part in quarantine.read_checked(spark, path):
+        plan = part._jdf.queryExecution().optimizedPlan().toString()
+        assert not [line for line in plan.splitlines() if "Filter" in line and "split(" in line]
