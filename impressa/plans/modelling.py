@@ -32,18 +32,20 @@ _BUCKETS = (features.HASHTAG_BUCKETS, features.TEXT_BUCKETS)
 def _prepared(
     spark: SparkSession, folder: str, buckets: tuple[int, int] = _BUCKETS
 ) -> tuple[DataFrame, DataFrame]:
-    """(train, test) rows ready for the feature stages, written once for the passes of the fits.
+    """(train, test) rows ready for the feature stages.
 
-    Rows grow a lot when the term counts of the item come in, so they are dealt out evenly to an
-    explicit number of tasks while they are narrow.
+    What is written once for the passes of the fits is the narrow part, rows with their reader, and the
+    hashed items. Rows grow a lot when the term counts of the item come in, so they are dealt out evenly
+    to an explicit number of tasks before that, and joined with their items by each pass.
     """
     tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
     shown = views.exposures(spark, folder)
     # Written out, the hashed items have a known size, and each text is hashed once.
     seen = views.item_attributes(spark, folder).join(shown.select(ITEM).distinct(), ITEM, "left_semi")
     items = materialize(features.hash_items(seen, *buckets))
-    log = views.attach(shown.repartition(tasks, "row_id"), items, views.user_attributes(spark, folder))
-    prepared = materialize(features.prepare_hashed(log, keep=("row_id",)))
+    with_readers = views.attach_readers(shown, views.user_attributes(spark, folder))
+    narrow = materialize(with_readers.repartition(tasks, "row_id"))
+    prepared = features.prepare_hashed(views.attach_items(narrow, items), keep=("row_id",))
     return sampling.split(prepared, 0.9, 42, "row_id")
 
 
@@ -127,11 +129,7 @@ def _held_out(rows: DataFrame) -> dict[str, DataFrame]:
 def rf_job(spark, folder):
     """Both held-out parts, all labels."""
     train, test = _forest_rows(spark, folder)
-    parts = [
-        jobs.forest_job(train, part).withColumn("part", F.lit(name))
-        for name, part in _held_out(test).items()
-    ]
-    return reduce(DataFrame.unionByName, parts)
+    return jobs.forest_job(train, _held_out(test))
 
 
 @query("rf_grid_search")

@@ -4,7 +4,7 @@ import random
 
 import pytest
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
-from pyspark.ml.functions import vector_to_array
+from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
 from pyspark.sql import functions as F
 
@@ -497,3 +497,34 @@ def test_stackers_agree_with_the_library(spark):
         assert (r["both"], r["same"]) == (0, 0)
         assert [r["a"], r["b"], r["intercept"]] == pytest.approx([plain["a"], plain["b"], plain["intercept"]])
     assert stacking.fit_stackers(df.limit(0), ["a", "b"]).count() == 0
+
+
+def test_prepared_rows_are_written_without_their_texts(spark, small, monkeypatch):
+    """The hashed text is written once an item, not once an impression."""
+    written = []
+
+    def kept(df):
+        written.append(df.columns)
+        return df.localCheckpoint()
+
+    monkeypatch.setattr(modelling, "materialize", kept)
+    train, test = modelling._prepared(spark, small)
+    assert [("tweet_text_tf" in c, "row_id" in c) for c in written] == [(True, False), (False, True)]
+    assert {"tweet_text_tf", "hashtags_tf", "row_id"} <= set(train.columns) and train.count() > test.count() > 0
+
+
+def test_parts_share_their_forests(spark, monkeypatch):
+    rows = spark.range(60).select(
+        F.col("id").cast("string").alias(ITEM), F.lit("u").alias(USER), *[(F.col("id") % 2).cast("int").alias(e) for e in LABELS],
+        array_to_vector(F.array((F.col("id") % 2).cast("double"), F.lit(1.0))).alias(features.VECTOR),
+    ).localCheckpoint()
+    fits = []
+    fit = jobs.fit_forest
+    monkeypatch.setattr(jobs, "fit_forest", lambda *a, **b: fits.append(a[1]) or fit(*a, **b))
+    parts = {"first": rows.filter("tweet_id < 10"), "second": rows.filter("tweet_id >= 10")}
+    both = jobs.forest_job(rows, parts, trees=2)
+    assert fits == list(LABELS)
+    assert {(r["part"], r["n"]) for r in both.groupBy("part").agg(F.count("*").alias("n")).collect()} == {("first", 40), ("second", 200)}
+    alone = jobs.forest_job(rows, parts["second"], trees=2)
+    assert "part" not in alone.columns
+    assert both.filter("part = 'second'").drop("part").exceptAll(alone).count() == 0
