@@ -6,7 +6,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from impressa.functions import numbers, labels, similarity, text
+from impressa.functions import labels, numbers, similarity, text
 from impressa.operators import (
     aggregates,
     bootstrap,
@@ -22,6 +22,7 @@ from impressa.operators import (
     sketches,
     textweights,
 )
+from impressa.plans import textual
 from impressa.sources.schemas import ITEM, KEYS, LABELS, USER
 
 
@@ -667,3 +668,15 @@ def test_sketches_of_nulls_and_of_no_rows(spark):
     found = sketches.estimates(sketches.part_sketches(df, ["part"], ["who"], ["x"])).first()
     assert (found["n"], found["distinct_who"], found["quantiles_x"]) == (2, 0, None)
     assert sketches.merged(sketches.part_sketches(df.limit(0), ["part"], ["who"], ["x"]), ["part"]).count() == 0
+
+
+def test_normalized_weights_write_no_counts(spark, small, monkeypatch):
+    def refused(df):
+        raise AssertionError(f"written: {df.columns}")
+
+    monkeypatch.setattr(textual, "materialize", refused)
+    cells = textual.tfidf_normalized(spark, small)
+    plan = cells._jdf.queryExecution().executedPlan().toString()
+    assert "hashpartitioning(doc_id" in plan and not [
+        x for x in plan.splitlines() if "hashpartitioning(doc_id" in x and "term" in x
+    ]
