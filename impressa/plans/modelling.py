@@ -302,10 +302,8 @@ def hashed_fm_predict(spark, folder):
     rows = materialize(hashed.hashed_pairs(train, LABELS))
     pairs = materialize(hashed.hashed_pairs(test.select(*KEYS).distinct()))
     scored = [
-        hashed.scores(hashed.fit(rows, label), pairs).select(
-            USER, ITEM, F.lit(label).alias("engagement"), "prediction"
-        )
-        for label in LABELS
+        hashed.scores(model, pairs).select(USER, ITEM, F.lit(label).alias("engagement"), "prediction")
+        for label, model in hashed.fit_all(rows, LABELS).items()
     ]
     return reduce(DataFrame.unionByName, scored)
 

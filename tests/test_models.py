@@ -3,6 +3,7 @@
 import random
 
 import pytest
+from pyspark.ml.classification import FMClassifier
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
@@ -412,6 +413,25 @@ def test_hashed_pairs_of_unseen_and_null_ids_have_scores(spark, two_blocks):
     assert len(scored) == 3 and all(0 <= r["prediction"] <= 1 for r in scored)
 
 
+def test_machines_of_all_labels_equal_the_library_s(spark):
+    rng = random.Random(4)
+    some = lambda: None if rng.random() < 0.1 else str(rng.randint(0, 30))
+    rows = [(some(), some(), int(rng.random() < 0.3), int(rng.random() < 0.6)) for _ in range(400)]
+    table = spark.createDataFrame(rows + rows[:90], f"{USER} string, {ITEM} string, like int, reply int")
+    # So few buckets that ids share some.
+    pairs = hashed.hashed_pairs(table, ["like", "reply"], 1 << 6).cache()
+    assert hashed._blocks(pairs, ["like"]).agg(F.sum(F.size("rows"))).first()[0] < len(rows)
+    for label, found in hashed.fit_all(pairs, ["like", "reply"], iterations=6).items():
+        library = FMClassifier(
+            labelCol=label, factorSize=8, maxIter=6, stepSize=0.1, initStd=0.1, regParam=1e-4, solver="adamW", seed=42
+        ).fit(pairs)
+        assert found.intercept == pytest.approx(library.intercept, rel=1e-9)
+        assert found.linear == pytest.approx(library.linear.toArray(), abs=1e-9)
+        assert found.factors == pytest.approx(library.factors.toArray(), abs=1e-9)
+        want = library.transform(pairs).agg(F.sum(vector_to_array("probability")[1])).first()[0]
+        assert hashed.scores(found, pairs).agg(F.sum("prediction")).first()[0] == pytest.approx(want, rel=1e-9)
+
+
 def test_pairs_without_factors_are_counted(spark):
     known = [(u, i, float(1 + (u + i) % 5)) for u in range(12) for i in range(12)]
     model = recommend.fit_explicit(spark.createDataFrame(known, "user int, item int, rating double"), "user", "item", "rating")
