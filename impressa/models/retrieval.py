@@ -15,8 +15,12 @@ from pyspark.sql import functions as F
 from impressa.operators.ordering import number_rows, top_k
 from impressa.session import materialize
 
-# Queries and items of a cell at most, about; the first round is one block of items.
-QUERY_BLOCK, ITEM_BLOCK = 2048, 8192
+# Queries and items of a cell at most, about; the first round is one block of items. Items are sent once
+# per block of queries, so blocks of queries are large, but for few queries, so that all tasks have some.
+QUERY_BLOCK, ITEM_BLOCK = 16384, 8192
+_LEAST_QUERIES = 1024
+# Queries of a cell that are scored at once, and items of which only the best is looked at first.
+_STRETCH, _GROUP = 512, 16
 # What rounding can add to a bound.
 _SLACK = 1 + 1e-6
 
@@ -26,8 +30,18 @@ def _matrix(table: pa.Table) -> np.ndarray:
     return flat.reshape(table.num_rows, -1).astype(np.float64)
 
 
+def _lower_bound(scores: np.ndarray, k: int) -> np.ndarray:
+    """A number per row that its kth best score reaches: the kth best of the best scores of groups of items."""
+    n, m = scores.shape
+    groups = m // _GROUP
+    if groups >= k:
+        scores, m = scores[:, : groups * _GROUP].reshape(n, _GROUP, groups).max(axis=1), groups
+    kept = min(k, m)
+    return np.partition(scores, m - kept, axis=1)[:, m - kept]
+
+
 def _cell(k: int):
-    """The k best items of a cell for each of its queries that they can matter to, and all ties of the kth."""
+    """The k best items of a cell for each of its queries that they can matter to, with all ties and few others."""
 
     def best(queries: pa.Table, items: pa.Table) -> pa.Table:
         if queries.num_rows and items.num_rows:
@@ -36,15 +50,20 @@ def _cell(k: int):
         if not queries.num_rows or not items.num_rows:
             none = pa.array([], pa.int64())
             return pa.table({"query": none, "item": none, "score": pa.array([], pa.float64())})
-        scores = _matrix(queries) @ _matrix(items).T
-        kept = min(k, scores.shape[1])
-        least = np.partition(scores, -kept, axis=1)[:, -kept]
-        row, column = np.nonzero(scores >= np.maximum(least, queries["kth"].to_numpy())[:, None])
+        wanted, offered, known = _matrix(queries), _matrix(items).T, queries["kth"].to_numpy()
+        rows, columns, found = [], [], []
+        for at in range(0, len(wanted), _STRETCH):
+            scores = wanted[at : at + _STRETCH] @ offered
+            least = np.maximum(_lower_bound(scores, k), known[at : at + _STRETCH])
+            row, column = np.nonzero(scores >= least[:, None])
+            rows.append(row + at)
+            columns.append(column)
+            found.append(scores[row, column])
         return pa.table(
             {
-                "query": queries["id"].to_numpy()[row],
-                "item": items["id"].to_numpy()[column],
-                "score": scores[row, column],
+                "query": queries["id"].to_numpy()[np.concatenate(rows)],
+                "item": items["id"].to_numpy()[np.concatenate(columns)],
+                "score": np.concatenate(found),
             }
         )
 
@@ -65,23 +84,26 @@ def best_by_factors(queries: DataFrame, items: DataFrame, k: int) -> DataFrame:
     """
     items = materialize(number_rows(_factors(items), [F.desc("norm"), "id"], "place"))
     waiting = materialize(_factors(queries))
-    facts = items.agg(F.count("*").alias("n")).first()
-    n_items, n_queries = facts["n"], waiting.count()
+    n_items, n_queries = items.count(), waiting.count()
+    tasks = int(queries.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     found = None
     start, end = 0, ITEM_BLOCK
     while n_items and n_queries:
         chosen = items.filter((F.col("place") >= start) & (F.col("place") < end))
-        blocks = -(-(min(end, n_items) - start) // ITEM_BLOCK)
-        groups = -(-n_queries // QUERY_BLOCK)
-        every = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
+        block = F.floor((F.col("place") - start) / ITEM_BLOCK).cast("int")
+        # The largest norm of each block, falling: the blocks that matter to a query are the first ones.
+        firsts = chosen.filter((F.col("place") - start) % ITEM_BLOCK == 0).orderBy("place").collect()
+        largest = F.array(*[F.lit(r["norm"]) for r in firsts])
+        groups = max(-(-n_queries // QUERY_BLOCK), min(tasks, -(-n_queries // _LEAST_QUERIES)))
         kth = F.col("kth") if "kth" in waiting.columns else F.lit(float("-inf"))
-        left = waiting.select(
-            "id", "features", "norm", kth.alias("kth"),
-            F.pmod(F.xxhash64("id"), F.lit(groups)).cast("int").alias("i"), every(blocks).alias("j"),
+        reached = F.size(F.filter(largest, lambda top: F.col("norm") * top * _SLACK >= F.col("kth")))
+        left = waiting.withColumn("kth", kth).withColumn("reached", reached).filter("reached > 0").select(
+            "id", "features", "norm", "kth",
+            F.pmod(F.xxhash64("id"), F.lit(groups)).cast("int").alias("i"),
+            F.explode(F.sequence(F.lit(0), F.col("reached") - 1)).alias("j"),
         )
         right = chosen.select(
-            "id", "features", "norm", every(groups).alias("i"),
-            F.floor((F.col("place") - start) / ITEM_BLOCK).cast("int").alias("j"),
+            "id", "features", "norm", F.explode(F.sequence(F.lit(0), F.lit(groups - 1))).alias("i"), block.alias("j")
         )
         scored = left.groupBy("i", "j").cogroup(right.groupBy("i", "j")).applyInArrow(
             _cell(k), "query bigint, item bigint, score double"

@@ -2,6 +2,7 @@
 
 import random
 
+import numpy as np
 import pytest
 from pyspark.ml.classification import FMClassifier
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
@@ -347,6 +348,36 @@ def test_best_items_stop_early_and_lose_nothing(spark, monkeypatch):
     assert "CartesianProduct" not in found._jdf.queryExecution().executedPlan().toString()
 
 
+def test_best_items_send_a_query_to_the_blocks_that_matter_only(spark, monkeypatch):
+    whole = retrieval._cell
+
+    def checked(k):
+        best = whole(k)
+
+        def cell(queries, items):
+            tops = items["norm"].to_pylist()
+            for norm, kth in zip(queries["norm"].to_pylist(), queries["kth"].to_pylist(), strict=True):
+                if tops and norm * max(tops) * 1.001 < kth:
+                    raise ValueError("sent in vain")
+            return best(queries, items)
+
+        return cell
+
+    monkeypatch.setattr(retrieval, "ITEM_BLOCK", 4)
+    monkeypatch.setattr(retrieval, "_cell", checked)
+    schema = "id int, features array<float>"
+    items = spark.createDataFrame([(i, [10.0 if i < 8 else 0.01]) for i in range(12)], schema)
+    found = retrieval.best_by_factors(spark.createDataFrame([(1, [1.0])], schema), items, 4).collect()
+    assert sorted((r["rank"], r["item"]) for r in found) == [(1, 0), (2, 1), (3, 2), (4, 3)]
+
+
+def test_bounds_of_best_scores_are_close():
+    scores = np.random.default_rng(3).normal(size=(50, 4003))
+    bound, kth = retrieval._lower_bound(scores, 10), np.sort(scores, axis=1)[:, -10]
+    assert (bound <= kth).all() and ((scores >= bound[:, None]).sum(axis=1) < 20).all()
+    assert (retrieval._lower_bound(scores[:, :100], 10) == np.sort(scores[:, :100], axis=1)[:, -10]).all()
+
+
 def test_best_items_of_few_rows(spark):
     schema = "id int, features array<float>"
     some = spark.createDataFrame([(1, [1.0]), (2, [-2.0])], schema)
