@@ -90,7 +90,8 @@ def _with_factors(
 ) -> DataFrame:
     """Rows with arrays ``user_factors`` and ``item_factors``, null for unknown ids.
 
-    Frequent users and items are split over many tasks, which ``model.transform`` cannot do.
+    Frequent users and items are split over many tasks, which ``model.transform`` cannot do. Factors
+    travel as the floats they are, and are widened once all have met.
     """
     hot = frequent_ids(rows, user, item) if hot is None else hot
     joined = rows
@@ -100,10 +101,10 @@ def _with_factors(
     ):
         side = factors.select(
             F.col("id").cast(rows.schema[column].dataType).alias(column),
-            F.col("features").cast("array<double>").alias(name),
+            F.col("features").alias(name),
         )
         joined = spread_join(joined, side, column, spread_by, how="left", hot=hot[column])
-    return joined
+    return joined.withColumns({c: F.col(c).cast("array<double>") for c in ("user_factors", "item_factors")})
 
 
 def score_pairs(
@@ -183,10 +184,11 @@ def grid_search(
     hot = frequent_ids(test)
     for label in labels:
         rated = materialize(ratings(train, label))
+        judged = test.select(USER_INDEX, ITEM_INDEX, label)
         for alpha in alphas:
             for rank in ranks:
                 model = fit_implicit(train, label, rank, alpha, seed, rated=rated)
-                scored = score_pairs(model, test, hot=hot)
+                scored = score_pairs(model, judged, hot=hot)
                 table = evaluation.evaluation_table(scored, label, {"mf": "prediction"}, thresholds)
                 results.append(
                     table.drop("model_name").select(

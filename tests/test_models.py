@@ -388,6 +388,14 @@ def test_best_items_of_few_rows(spark):
         assert retrieval.best_by_factors(a, b, 5).collect() == []
 
 
+def test_grid_search_scores_narrow_rows(spark, indexed, monkeypatch):
+    rows, _ = indexed
+    scored, score = [], recommend.score_pairs
+    monkeypatch.setattr(recommend, "score_pairs", lambda m, r, **o: scored.append(r.columns) or score(m, r, **o))
+    recommend.grid_search(rows, rows, [0.1], labels=["like"], alphas=[1.0], ranks=[2])
+    assert scored == [[USER_INDEX, ITEM_INDEX, "like"]]
+
+
 def test_grid_search_has_a_row_per_setting(spark, indexed):
     rows, _ = indexed
     table = recommend.grid_search(rows, rows, [0.1], labels=["like"], alphas=[1.0, 10.0], ranks=[2, 3])
