@@ -79,7 +79,7 @@ def tfidf_normalized(spark, folder):
     laid_out = documents.select("doc_id", "text").repartition(tasks, "doc_id")
     counts = textweights.term_counts(laid_out, "doc_id", text.tokens("text", text.WHITESPACE))
     vocabulary = textweights.fit_vocabulary(counts, documents, "doc_id")
-    weighted = textweights.weighted_terms(counts, vocabulary, "doc_id")
+    weighted = textweights.weighted_terms(counts, vocabulary, "doc_id", tasks)
     vectors = textweights.document_vectors(weighted, "doc_id")
     cells = vectors.select("doc_id", F.inline("terms"))
     return cells.withColumn("weight", rounded("weight", 6))

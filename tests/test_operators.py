@@ -680,3 +680,28 @@ def test_normalized_weights_write_no_counts(spark, small, monkeypatch):
     assert "hashpartitioning(doc_id" in plan and not [
         x for x in plan.splitlines() if "hashpartitioning(doc_id" in x and "term" in x
     ]
+
+
+def test_counts_of_frequent_terms_are_not_shuffled(spark, monkeypatch):
+    texts = [(i % 40, f"a b b c{i % 3} d{i}") for i in range(60)] + [(41, ""), (42, None), (None, "a z")]
+    documents = spark.createDataFrame(texts, "doc_id long, text string").repartition(3, "doc_id")
+    counts = textweights.term_counts(documents, "doc_id", text.tokens("text", text.WHITESPACE))
+    vocabulary = textweights.fit_vocabulary(counts, documents, "doc_id")
+    weigh = lambda: textweights.weighted_terms(counts, vocabulary, "doc_id", 3)
+    whole = weigh()
+    monkeypatch.setattr(textweights, "HEAD_TERMS", 4)
+    split = weigh()
+    assert sorted(map(str, split.collect())) == sorted(map(str, whole.collect()))
+    assert whole.count() == counts.count() > 60
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        vectors = textweights.document_vectors(weigh(), "doc_id")
+        rows = textweights.document_vectors(whole, "doc_id").count()
+        assert vectors.count() == rows
+        plan = vectors._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    # By term only what the frequent terms leave; by document each table once, and nothing after the two meet.
+    by_term = [x for x in plan.splitlines() if "hashpartitioning(term" in x]
+    assert len(by_term) == 2 and "LeftAnti" in plan
+    assert "hashpartitioning(doc_id" not in plan.split("Union")[0]
