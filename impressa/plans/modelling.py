@@ -29,6 +29,15 @@ _BUCKETS = (features.HASHTAG_BUCKETS, features.TEXT_BUCKETS)
 # ---------------------------------------------------------------- feature vectors
 
 
+def _even_files(spark: SparkSession) -> int:
+    """Files of rows that many passes read: two a core.
+
+    A pass packs files into tasks of a core's share, up to a fixed size that counts each file's opening. 200 small
+    files make 7 tasks on 6 cores, the last alone in every pass; two a core make one task a core, or two if large.
+    """
+    return 2 * spark.sparkContext.defaultParallelism
+
+
 def _prepared(
     spark: SparkSession, folder: str, buckets: tuple[int, int] = _BUCKETS, whole: bool = False
 ) -> tuple[DataFrame, DataFrame]:
@@ -46,8 +55,10 @@ def _prepared(
     items = materialize(features.hash_items(seen, *buckets))
     users = views.user_attributes(spark, folder)
     if whole:
-        log = views.attach(shown.repartition(tasks, "row_id"), items, users)
-        return sampling.split(materialize(features.prepare_hashed(log, keep=("row_id",))), 0.9, 42, "row_id")
+        files = _even_files(spark)
+        log = views.attach(shown.repartition(-(-tasks // files) * files, "row_id"), items, users)
+        prepared = features.prepare_hashed(log, keep=("row_id",)).coalesce(files)
+        return sampling.split(materialize(prepared), 0.9, 42, "row_id")
     with_readers = views.attach_readers(shown, users)
     narrow = materialize(with_readers.repartition(tasks, "row_id"))
     prepared = features.prepare_hashed(views.attach_items(narrow, items), keep=("row_id",))

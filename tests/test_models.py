@@ -587,3 +587,22 @@ def test_parts_share_their_forests(spark, monkeypatch):
     alone = jobs.forest_job(rows, parts["second"], trees=2)
     assert "part" not in alone.columns
     assert both.filter("part = 'second'").drop("part").exceptAll(alone).count() == 0
+
+
+def test_forest_rows_lie_in_two_files_a_core(spark, small, monkeypatch):
+    """A file per shuffle partition packs unevenly, so that a task of every pass runs alone."""
+    files = []
+
+    def kept(df):
+        files.append(("row_id" in df.columns, df.rdd.getNumPartitions()))
+        return df.localCheckpoint()
+
+    monkeypatch.setattr(modelling, "materialize", kept)
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "35")
+    try:
+        train, test = modelling._prepared(spark, small, modelling._FOREST_BUCKETS, whole=True)
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    assert [n for rows, n in files if rows] == [2 * spark.sparkContext.defaultParallelism]
+    assert train.count() + test.count() == 1000
