@@ -4,15 +4,16 @@ import random
 
 import numpy as np
 import pytest
-from pyspark.ml.classification import FMClassifier
+from pyspark.ml.classification import DecisionTreeClassifier, FMClassifier
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.ml.linalg import Vectors
 from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
 from pyspark.sql import functions as F
 
 import __spark_entry__ as entry_points
 from impressa.functions.hashing import table_checksum
-from impressa.models import classify, features, grid, hashed, jobs, recommend, retrieval, stacking
+from impressa.models import classify, features, grid, hashed, jobs, recommend, retrieval, stacking, trees
 from impressa.models.recommend import ITEM_INDEX, USER_INDEX
 from impressa.operators import ids, joins
 from impressa.operators.sampling import fold_number
@@ -606,3 +607,83 @@ def test_forest_rows_lie_in_two_files_a_core(spark, small, monkeypatch):
         spark.conf.set("spark.sql.shuffle.partitions", before)
     assert [n for rows, n in files if rows] == [2 * spark.sparkContext.defaultParallelism]
     assert train.count() + test.count() == 1000
+
+
+# ---------------------------------------------------------------- forests over whole texts
+
+
+def test_forests_read_whole_texts(spark, small):
+    for rows in modelling._forest_rows(spark, small):
+        row = rows.select(vector_to_array(features.VECTOR).alias("v")).first()["v"]
+        names = [a["name"] for kind in rows.schema[features.VECTOR].metadata["ml_attr"]["attrs"].values() for a in kind]
+        assert len(row) == len(names)
+        assert sum(n.startswith("hashtags_idf") for n in names) == 1024
+        assert sum(n.startswith("tweet_text_idf") for n in names) == 16384
+
+
+@pytest.fixture(scope="module")
+def sparse_rows(spark):
+    """600 rows: three numbers of their own and the text of one of 40 items, with the names of both."""
+    draw = random.Random(8)
+    items = [{s: draw.choice([1.0, 2.0, 2.5]) for s in range(2, 62) if draw.random() < 0.2} for _ in range(40)]
+    rows = []
+    for i in range(600):
+        item = draw.randrange(40)
+        slots = items[item] | {0: draw.gauss(0, 1), 1: float(draw.random() < 0.5), 62: draw.random()}
+        like = int(2 * slots[0] + 3 * slots.get(7, 0) - 2 * slots.get(9, 0) + slots[62] + draw.gauss(0, 1) > 0.6)
+        kept = sorted(s for s, v in slots.items() if v)
+        rows.append((i, f"u{i % 50}", f"t{item}", like, Vectors.sparse(63, kept, [slots[s] for s in kept])))
+    names = ["follows", "verified", *[f"tweet_text_idf_{s}" for s in range(60)], "numeric_scaled_0"]
+    attrs = {"ml_attr": {"attrs": {"numeric": [{"idx": i, "name": n} for i, n in enumerate(names)]}, "num_attrs": 63}}
+    table = spark.createDataFrame(rows, ["row_id", USER, ITEM, "like", "v"])
+    return table.select("row_id", USER, ITEM, "like", F.col("v").alias(features.VECTOR, metadata=attrs)).cache()
+
+
+def test_trees_follow_the_library_s_rules(sparse_rows, monkeypatch):
+    """Without draws a tree is the library's tree: thresholds, gains, least rows, joined leaves."""
+    monkeypatch.setattr(trees, "_draws", lambda ids, seed, number: np.ones(len(ids)))
+    rows = trees.encoded(sparse_rows, ["like"])
+    assert rows.slots.own.tolist() == [0, 1, 62]
+    block = trees._merged(list(trees._loaded(rows.blocks.toArrow().to_batches())))
+    assert (len(block.ids), block.patterns) == (600, 40)
+    for depth, least in ((3, 1), (6, 3), (9, 10)):
+        limits = trees.Limits(depth, least, 63)
+        tree = trees._grow(block, rows.slots, np.arange(600), block.labels[:, 0] > 0, 0, limits, 1)
+        mine = trees.ForestModel([tree], rows.slots, depth).transform(sparse_rows)
+        library = DecisionTreeClassifier(
+            labelCol="like", featuresCol=features.VECTOR, maxDepth=depth, minInstancesPerNode=least
+        ).fit(sparse_rows).transform(sparse_rows)
+        want, found = (
+            {r["row_id"]: r["p"] for r in t.select("row_id", vector_to_array("probability")[1].alias("p")).collect()} for t in (library, mine)
+        )
+        differ = sum(abs(found[k] - want[k]) > 1e-9 for k in want)
+        # Equal gains are settled in another order, which deep in a tree moves a few rows.
+        assert differ <= (0 if depth == 3 else 30), (depth, differ)
+
+
+def shapes(forest):
+    return [[getattr(t, n).tolist() for n in ("slot", "bin", "left", "right", "counts")] for t in forest]
+
+
+def test_levels_over_blocks_grow_the_same_trees(sparse_rows, monkeypatch):
+    rows = trees.encoded(sparse_rows.repartition(5), ["like"])
+    whole = trees.fit(rows, "like", 4, 7)
+    monkeypatch.setattr(trees, "LOCAL_BYTES", 0)
+    monkeypatch.setattr(trees, "_PASS_NODES", 5)
+    assert shapes(trees.fit(rows, "like", 4, 7)) == shapes(whole)
+    # Other partitions, other order: the same forest.
+    assert shapes(trees.fit(trees.encoded(sparse_rows.orderBy(F.rand(2)).coalesce(2), ["like"]), "like", 4, 7)) == shapes(whole)
+
+
+def test_many_patterns_and_blocks_grow_the_same_trees(sparse_rows, monkeypatch):
+    whole = trees.fit(trees.encoded(sparse_rows, ["like"]), "like", 3, 6)
+    for name, value in (("BLOCK_PATTERNS", 7), ("BLOCK_ROWS", 50), ("_NODES", 3), ("_ENTRIES", 20)):
+        monkeypatch.setattr(trees, name, value)
+    assert shapes(trees.fit(trees.encoded(sparse_rows, ["like"]), "like", 3, 6)) == shapes(whole)
+
+
+def test_rows_alike_are_drawn_one_by_one(sparse_rows):
+    same = sparse_rows.filter("row_id = 3").crossJoin(sparse_rows.sparkSession.range(400).select(F.lit(1).alias("one"))).drop("one")
+    block = trees._merged(list(trees._loaded(trees.encoded(same.coalesce(1), ["like"]).blocks.toArrow().to_batches())))
+    drawn = trees._draws(block.ids, 42, 0)
+    assert len(drawn) == 400 and 300 < drawn.sum() < 500 and len(set(drawn)) > 3
