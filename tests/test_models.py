@@ -687,3 +687,23 @@ def test_rows_alike_are_drawn_one_by_one(sparse_rows):
     block = trees._merged(list(trees._loaded(trees.encoded(same.coalesce(1), ["like"]).blocks.toArrow().to_batches())))
     drawn = trees._draws(block.ids, 42, 0)
     assert len(drawn) == 400 and 300 < drawn.sum() < 500 and len(set(drawn)) > 3
+
+
+def test_a_family_of_forests_is_fitted_once_and_each_judged_as_if_alone(sparse_rows, tmp_path, monkeypatch):
+    asked, areas = [], grid.growth.areas
+    monkeypatch.setattr(grid.growth, "areas", lambda *a: asked.append(a[1:6]) or areas(*a))
+    settings = grid.grid((2, 4), (2, 5), (1, 3))
+    metrics = grid.search(sparse_rows, ["like"], ["row_id"], settings, folds=2, folder=str(tmp_path)).collect()
+    assert sorted((a[3], a[4]) for a in asked) == [(1, 0), (1, 1), (3, 0), (3, 1)] and len(metrics) == 16
+    rows = sparse_rows.withColumn("fold", fold_number(2, grid.SEED, "row_id"))
+    judge = BinaryClassificationEvaluator(labelCol="like", rawPredictionCol="probability", metricName="areaUnderPR", numBins=0)
+    known = trees.encoded(rows, ["like"], "fold")
+    for r in metrics:
+        alone = trees.fit(known, "like", r["numTrees"], r["maxDepth"], r["minInstancesPerNode"], grid.SEED, r["fold"])
+        model = trees.ForestModel(alone, known.slots, r["maxDepth"])
+        assert r["areaUnderPR"] == pytest.approx(judge.evaluate(model.transform(rows.filter(F.col("fold") == r["fold"]))), abs=1e-9)
+    # Rows that are too many for one task give the same areas.
+    monkeypatch.setattr(trees, "LOCAL_BYTES", 0)
+    found = trees.areas(known, "like", [2, 4], [2, 5], 3, 1, grid.SEED)
+    want = {(r["numTrees"], r["maxDepth"]): r["areaUnderPR"] for r in metrics if r["minInstancesPerNode"] == 3 and r["fold"] == 1}
+    assert found == pytest.approx(want, abs=1e-9)
