@@ -1,5 +1,6 @@
 """Invariants of fitted models, and the queries without oracle SQL."""
 
+import pickle
 import random
 
 import numpy as np
@@ -707,3 +708,13 @@ def test_a_family_of_forests_is_fitted_once_and_each_judged_as_if_alone(sparse_r
     found = trees.areas(known, "like", [2, 4], [2, 5], 3, 1, grid.SEED)
     want = {(r["numTrees"], r["maxDepth"]): r["areaUnderPR"] for r in metrics if r["minInstancesPerNode"] == 3 and r["fold"] == 1}
     assert found == pytest.approx(want, abs=1e-9)
+
+
+def test_thresholds_go_to_tasks_only_where_values_are_read(spark, small):
+    """Each of the 240 jobs of a grid sends them else, 31 numbers for each of 17,000 slots."""
+    train, _ = modelling._forest_rows(spark, small)
+    slots = trees.encoded(train, LABELS).slots
+    back = pickle.loads(pickle.dumps(slots))
+    assert np.array_equal(back.splits, slots.splits) and back.splits.shape[0] == back.count > 17408
+    assert np.array_equal(slots.bins(np.arange(slots.count), np.zeros(slots.count)), slots.zero)
+    assert len(pickle.dumps(slots.light)) < 100_000 < slots.splits.nbytes
